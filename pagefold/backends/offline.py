@@ -50,9 +50,8 @@ class HashingEmbedder(Embedder):
                 slots.append(slot)
                 signs.append(sign)
         flat = np.asarray(rows, dtype=np.int64) * self.dim + np.asarray(slots, dtype=np.int64)
-        weights = np.asarray(signs, dtype=np.float64)
-        sums = np.bincount(flat, weights=weights, minlength=len(texts) * self.dim)
-        sums = sums.reshape(len(texts), self.dim)
+        sums = np.bincount(flat, weights=signs, minlength=len(texts) * self.dim)
+        sums = sums.astype(np.float64).reshape(len(texts), self.dim)
         norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
         return np.divide(sums, norms, out=np.zeros_like(sums), where=norms > 0).astype(np.float32)
 

@@ -70,23 +70,23 @@ def assemble(found: DataFrame, graded: bool) -> DataFrame:
     Grading drops blank documents and passes when any is left; when none is, the sources stay
     as they were retrieved. At most ``k`` rows meet per question.
     """
-    usable = ~is_blank(F.col("document"))
+    entry = F.struct("rank", "document", source_struct().alias("source"))
     grouped = found.groupBy("question_id").agg(
-        F.array_sort(F.collect_list(F.struct("rank", source_struct().alias("source")))).alias("every"),
-        F.array_sort(
-            F.collect_list(F.when(usable, F.struct("rank", source_struct().alias("source"))))
-        ).alias("good"),
-        F.array_sort(F.collect_list(F.struct("rank", "document"))).alias("texts"),
-        F.array_sort(F.collect_list(F.when(usable, F.struct("rank", "document")))).alias("good_texts"),
-    )
+        F.array_sort(F.collect_list(entry)).alias("every")
+    ).withColumn("good", F.filter("every", lambda e: ~is_blank(e["document"])))
     passed = F.size("good") > 0
     chosen = F.when(passed, F.col("good")).otherwise(F.col("every")) if graded else F.col("every")
-    texts = F.when(passed, F.col("good_texts")).otherwise(F.col("texts")) if graded else F.col("texts")
-    return grouped.select(
-        "question_id",
-        (passed if graded else F.lit(True)).alias("grade_passed"),
-        F.array_join(F.transform(texts, lambda t: t["document"]), CONTEXT_SEPARATOR).alias("context"),
-        F.transform(chosen, lambda s: s["source"]).alias("sources"),
+    return (
+        grouped.withColumn("grade_passed", passed if graded else F.lit(True))
+        .withColumn("chosen", chosen)
+        .select(
+            "question_id",
+            "grade_passed",
+            F.array_join(
+                F.transform("chosen", lambda e: e["document"]), CONTEXT_SEPARATOR
+            ).alias("context"),
+            F.transform("chosen", lambda e: e["source"]).alias("sources"),
+        )
     )
 
 
@@ -104,7 +104,10 @@ def prompt(question: Column, context: Column) -> Column:
 
 
 def generate_column(question: Column, context: Column, generator: Generator) -> Column:
-    """Answer and error per question; an error is reported instead of failing the task."""
+    """Answer and error per question; an error is reported instead of failing the task.
+
+    A null question never reaches the model.
+    """
 
     @F.pandas_udf("struct<answer:string,error:string>")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -112,6 +115,10 @@ def generate_column(question: Column, context: Column, generator: Generator) ->
         for prompts, contexts in batches:
             answers, errors = [], []
             for p, c in zip(prompts, contexts):
+                if p is None:
+                    answers.append(None)
+                    errors.append(None)
+                    continue
                 try:
                     answers.append(generator.answer([p], [c])[0])
                     errors.append(None)
@@ -144,17 +151,16 @@ def answer_questions(
     rows = questions.join(graded_rows, "question_id", "left").withColumn(
         "grade_passed", F.coalesce("grade_passed", F.lit(not graded))
     ).withColumn("context", F.coalesce("context", F.lit("")))
-    to_ask = rows.where("grade_passed").withColumn(
-        "generated", generate_column(F.col("question"), F.col("context"), generator)
+    asked_rows = rows.withColumn(
+        "generated",
+        generate_column(F.when(F.col("grade_passed"), F.col("question")), F.col("context"), generator),
     )
     failed = F.col("generated.error").isNotNull()
-    columns = ["question_id", "question", "context", "grade_passed"]
-    answered = to_ask.select(
-        *columns,
-        F.col("generated.answer").alias("answer"),
+    return asked_rows.select(
+        "question_id",
+        "question",
+        "context",
+        "grade_passed",
+        F.coalesce("generated.answer", F.lit(REFUSAL)).alias("answer"),
         F.when(~failed, F.col("sources")).alias("sources"),
     )
-    refused = rows.where(~F.col("grade_passed")).select(
-        *columns, F.lit(REFUSAL).alias("answer"), "sources"
-    )
-    return answered.unionByName(refused)
