@@ -11,6 +11,7 @@ from pagefold.functions.recursive import recursive_chunks
 from pagefold.functions.splitting import fixed_windows, merge_sentences, sentences
 from pagefold.functions.structure import structure_types
 from pagefold.functions.text import is_blank
+from pagefold.operators.rows import unnest
 from pagefold.settings import Settings
 
 METHOD_NAMES = {"semantic": "semantic", "recursive": "langchain", "basic": "basic"}
@@ -102,7 +103,8 @@ def split_pages(
         "pieces", F.when(F.size("pieces") > 0, F.col("pieces")).otherwise(F.array(F.lit("")))
     )
     numbered = number_chunks(rows, "pieces", max_pages, settings.pages_per_block)
-    exploded = numbered.select("*", F.posexplode("pieces").alias("piece_no", "chunk_text"))
+    kept = [c for c in numbered.columns if c != "pieces"]
+    exploded = unnest(numbered, kept, F.col("pieces"), "piece_no", "chunk_text")
     return exploded.select(
         "source_file",
         (F.col("first_id") + F.col("piece_no")).cast("int").alias("chunk_id"),

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from pagefold.functions.cleaning import LINE_RULES, clean_ocr_text, clean_text, line_rule, stripped_lines
 
+from pagefold.operators.rows import unnest
+
 
 def clean_loaded(pages: DataFrame) -> DataFrame:
     """What every loader does to its text: remove noise lines."""
@@ -20,13 +22,13 @@ def clean_pages(pages: DataFrame) -> DataFrame:
 
 def explain_lines(texts: DataFrame, key: str) -> DataFrame:
     """One row per line with the rule that removes it, null when it is kept."""
-    lines = texts.select(key, F.posexplode(stripped_lines(F.col("text"))).alias("line_no", "line"))
+    lines = unnest(texts, [key], stripped_lines(F.col("text")), "line_no", "line")
     return lines.withColumn("rule", line_rule(F.col("line")))
 
 
 def count_rules(texts: DataFrame) -> DataFrame:
     """Lines per deciding rule. The keys are the few rule names, so map-side sums do the work."""
-    lines = texts.select(F.explode(stripped_lines(F.col("text"))).alias("line"))
+    lines = unnest(texts, [], stripped_lines(F.col("text")), "line_no", "line")
     rules = lines.select(F.coalesce(line_rule(F.col("line")), F.lit("kept")).alias("rule"))
     return rules.groupBy("rule").agg(F.count("*").alias("lines"))
 

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from pagefold.settings import Settings
 
@@ -77,6 +78,7 @@ def _broadcast_top(index: DataFrame, rows: list, k: int, key: T.DataType) -> Dat
     spark = index.sparkSession
     shared = spark.sparkContext.broadcast((names, questions))
     id_type = index.schema["id"].dataType
+    key_type = to_arrow_type(key)
     schema = T.StructType(
         [
             T.StructField("question_id", key),
@@ -98,7 +100,7 @@ def _broadcast_top(index: DataFrame, rows: list, k: int, key: T.DataType) -> Dat
         owners, ids, distances = best.rows()
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([names[i] for i in owners]),
+                pa.array([names[i] for i in owners], type=key_type),
                 pa.array(ids.tolist(), type=arrow_id),
                 pa.array(distances),
             ],

@@ -36,6 +36,7 @@ from pagefold.operators.privacy import (
     page_reports,
 )
 from pagefold.operators.retrieval import top_k
+from pagefold.operators.rows import unnest
 from pagefold.operators.rollup import document_headers, document_records, run_summary
 from pagefold.operators.vector_index import (
     VectorIndex,
@@ -124,7 +125,7 @@ def doc_type_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def structure_lines(spark: SparkSession, folder: str) -> DataFrame:
     memo = derived.memos(spark, folder)
-    items = memo.select("memo_id", F.explode(structure_items(F.col("text"))).alias("s"))
+    items = unnest(memo, ["memo_id"], structure_items(F.col("text")), "n", "s")
     return items.select("memo_id", F.col("s.line").alias("line"), F.col("s.type").alias("kind"), F.col("s.text").alias("text"))
 
 
@@ -140,7 +141,7 @@ def structure_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def sentence_rows(spark: SparkSession, folder: str) -> DataFrame:
     docs = derived.documents(spark, folder)
-    return docs.select("doc_id", F.posexplode(sentences(F.col("text"))).alias("pos", "sentence"))
+    return unnest(docs, ["doc_id"], sentences(F.col("text")), "pos", "sentence")
 
 
 def _chunks(settings: Settings) -> Query:
@@ -193,7 +194,7 @@ def entity_rules(text: Column) -> Column:
 
 
 def _span_rows(found: DataFrame) -> DataFrame:
-    return found.select("doc_id", F.explode("spans").alias("s")).select(
+    return unnest(found, ["doc_id"], F.col("spans"), "n", "s").select(
         "doc_id",
         F.col("s.start").alias("start_at"),
         F.col("s.end").alias("end_at"),
@@ -271,7 +272,7 @@ def normalization_totals(spark: SparkSession, folder: str) -> DataFrame:
 def model_windows(spark: SparkSession, folder: str) -> DataFrame:
     docs = derived.documents(spark, folder)
     words = F.filter(F.split("text", "[ \n]+"), lambda w: F.length(w) > 0)
-    windows = docs.select("doc_id", F.posexplode(token_windows(words)).alias("window_no", "w"))
+    windows = unnest(docs, ["doc_id"], token_windows(words), "window_no", "w")
     return windows.select(
         "doc_id", "window_no", F.size("w").alias("tokens"), F.array_join("w", " ").alias("text")
     )
@@ -279,7 +280,7 @@ def model_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 def correction_batches(spark: SparkSession, folder: str) -> DataFrame:
     docs = derived.documents(spark, folder)
-    parts = docs.select("doc_id", F.posexplode(sentence_batches(F.col("text"))).alias("part_no", "p"))
+    parts = unnest(docs, ["doc_id"], sentence_batches(F.col("text")), "part_no", "p")
     return parts.select("doc_id", "part_no", F.col("p.correct").alias("correct"), F.col("p.text").alias("text"))
 
 
@@ -362,9 +363,7 @@ def embedded_chunks(spark: SparkSession, folder: str) -> DataFrame:
     embedder = HashingEmbedder()
     vectors = vector_table(embed_chunks(_turn_chunks(spark, folder), embedder), embedder)
     rounded = F.transform("embedding", lambda x: F.round(x.cast("double"), 4))
-    return vectors.select("source_file", "chunk_id", F.posexplode(rounded).alias("dim", "value")).where(
-        "value <> 0"
-    )
+    return unnest(vectors, ["source_file", "chunk_id"], rounded, "dim", "value").where("value <> 0")
 
 
 def zero_vectors(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording a call site per expression costs several driver round trips each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Files and vectors travel to Python in batches bounded by bytes, not only by rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
 }
