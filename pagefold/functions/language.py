@@ -28,7 +28,7 @@ def guess_language(text: Column) -> Column:
     counts = F.struct(
         count_in(text, HANGUL).alias("ko"),
         count_in(text, "A-Za-z").alias("en"),
-        count_in(text, KANA).alias("ja"),
+        F.when(text.rlike(f"[{KANA}]"), count_in(text, KANA)).otherwise(0).alias("ja"),
     )
     # One early-exit search settles texts without any East Asian letter; only the rest is counted.
     by_count = let(

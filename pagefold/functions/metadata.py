@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagefold.functions.text import UNICODE_SPACE, strip
 
 MAX_TITLE_CHARS = 100
 DOC_TYPE_SCOPE = 200
-_SP = UNICODE_SPACE[4:]
+# Only the space class needs the Unicode flag; over a whole pattern it slows every literal.
+_SP = f"(?U:{UNICODE_SPACE[4:]}*)"
 
 # Endings that rule a first line out as a title.
 TITLE_STOPS = (".", "。", "?", "!")
 # What a date, a department and an author look like.
-DATE_PATTERN = rf"(?U)\p{{Nd}}{{4}}[-년./]{_SP}*\p{{Nd}}{{1,2}}[-월./]{_SP}*\p{{Nd}}{{1,2}}"
-LABELLED_DEPARTMENT = rf"(?U)(소속|부서|팀){_SP}*[:：]?{_SP}*([가-힣]+(?:팀|부|과|센터))"
+DATE_PATTERN = rf"\p{{Nd}}{{4}}[-년./]{_SP}\p{{Nd}}{{1,2}}[-월./]{_SP}\p{{Nd}}{{1,2}}"
+LABELLED_DEPARTMENT = rf"(소속|부서|팀){_SP}[:：]?{_SP}([가-힣]+(?:팀|부|과|센터))"
 BARE_DEPARTMENT = r"([가-힣]+(?:팀|부|과|센터))"
 AUTHOR = (
-    rf"(?U)(작성자|기안자|담당자){_SP}*[:：]?{_SP}*([가-힣]{{2,4}}){_SP}*"
+    rf"(작성자|기안자|담당자){_SP}[:：]?{_SP}([가-힣]{{2,4}}){_SP}"
     r"(팀원|대리|과장|차장|부장|이사)?"
 )
 # Document types and the words that show them, in order of precedence.
@@ -57,8 +58,9 @@ def department(text: Column) -> Column:
 
 def author(text: Column) -> Column:
     """Labelled name, with the rank when one follows."""
-    name = _found(text, AUTHOR, 2)
-    return F.when(name.isNotNull(), F.concat_ws(" ", name, _found(text, AUTHOR, 3)))
+    found = F.regexp_extract(text, AUTHOR, 0)
+    name = _found(found, AUTHOR, 2)
+    return F.when(F.length(found) > 0, F.concat_ws(" ", name, _found(found, AUTHOR, 3)))
 
 
 def document_type(text: Column) -> Column:
@@ -82,8 +84,22 @@ FIELDS = {
 }
 
 
-def metadata_map(text: Column) -> Column:
-    """Map of the fields found; null when there is none."""
-    pairs = [part for name, field in FIELDS.items() for part in (F.lit(name), field(text))]
-    found = F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
-    return F.when(F.size(found) > 0, found)
+def with_metadata(df: DataFrame, text: Column, name: str = "metadata") -> DataFrame:
+    """Add a map of the fields found; null when there is none.
+
+    The fields are columns of their own first, where generated code shares their common parts;
+    inside the map functions they would be interpreted one by one.
+    """
+    staged = df.select("*", *[field(text).alias(f"_{key}") for key, field in FIELDS.items()])
+    columns = {key: F.col(f"_{key}") for key in FIELDS}
+    entries = F.array_compact(
+        F.array(
+            *[
+                F.when(value.isNotNull(), F.struct(F.lit(key).alias("key"), value.alias("value")))
+                for key, value in columns.items()
+            ]
+        )
+    )
+    some = F.coalesce(*columns.values()).isNotNull()
+    found = F.when(some, F.map_from_entries(entries))
+    return staged.withColumn(name, found).drop(*[f"_{key}" for key in FIELDS])

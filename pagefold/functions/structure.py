@@ -6,14 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagefold.functions.cleaning import stripped_lines
-from pagefold.functions.text import UNICODE_SPACE
+from pagefold.functions.text import UNICODE_SPACE, let
 
 MAX_HEADING_CHARS = 100
-_SP = UNICODE_SPACE[4:]
+_SP = f"(?U:{UNICODE_SPACE[4:]})"
+_SPS = f"(?U:{UNICODE_SPACE[4:]}*)"
 # Line shapes.
-NUMBERED_HEADING = rf"(?U)^[\p{{Nd}}가-힣]+[.)]{_SP}*[가-힣]"
+NUMBERED_HEADING = rf"^[\p{{Nd}}가-힣]+[.)]{_SPS}[가-힣]"
 BRACKET_HEADING = r"(?s)^\[.+\]$"
-LIST_ITEM = rf"(?U)^{_SP}*(?:[-*•]|\p{{Nd}}+[.)]){_SP}"
+LIST_ITEM = rf"^{_SPS}(?:[-*•]|\p{{Nd}}+[.)]){_SP}"
 TABLE_MARKS = ("\t", "|", "│")
 
 
@@ -64,8 +65,11 @@ def structure_items(text: Column) -> Column:
 
 def structure_types(text: Column) -> Column:
     """Kinds that occur, in alphabetical order; null when there is none."""
-    lines = stripped_lines(text)
-    kinds = F.array_compact(
-        F.array(*[F.when(F.exists(lines, KINDS[kind]), F.lit(kind)) for kind in sorted(KINDS)])
-    )
-    return F.when(F.size(kinds) > 0, kinds)
+
+    def kinds(lines: Column) -> Column:
+        return F.array_compact(
+            F.array(*[F.when(F.exists(lines, KINDS[kind]), F.lit(kind)) for kind in sorted(KINDS)])
+        )
+
+    found = let(stripped_lines(text), kinds)
+    return let(found, lambda some: F.when(F.size(some) > 0, some))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagefold.functions.language import guess_language
-from pagefold.functions.metadata import metadata_map
+from pagefold.functions.metadata import with_metadata
 from pagefold.functions.recursive import recursive_chunks
 from pagefold.functions.splitting import fixed_windows, merge_sentences, sentences
 from pagefold.functions.structure import structure_types
@@ -86,17 +86,20 @@ def split_pages(
         *columns, *extra, "text", chunk_texts(text, settings).alias("pieces")
     )
     if settings.strategy == "semantic":
-        full = ~is_blank(text)
-        rows = (
-            rows.withColumn("language", F.when(full, guess_language(text)))
-            .withColumn("metadata", F.when(full, metadata_map(text)))
-            .withColumn("structure_types", F.when(full, structure_types(text)))
+        # A blank text has no metadata and no structure; only its language needs the test.
+        rows = with_metadata(rows, text).withColumns(
+            {
+                "language": F.when(~is_blank(text), guess_language(text)),
+                "structure_types": structure_types(text),
+            }
         )
     else:
-        rows = (
-            rows.withColumn("language", F.lit(None).cast("string"))
-            .withColumn("metadata", F.lit(None).cast("map<string,string>"))
-            .withColumn("structure_types", F.lit(None).cast("array<string>"))
+        rows = rows.withColumns(
+            {
+                "language": F.lit(None).cast("string"),
+                "metadata": F.lit(None).cast("map<string,string>"),
+                "structure_types": F.lit(None).cast("array<string>"),
+            }
         )
     # A page that a splitter leaves without pieces has only blanks in it.
     rows = rows.drop("text").withColumn(

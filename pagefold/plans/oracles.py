@@ -6,9 +6,7 @@ look-arounds, recursive queries instead of folds, joins instead of array maps.
 
 from __future__ import annotations
 
-from pagefold.functions.spans import DEFAULT_LABELS  # noqa: F401  (documents the scope of spans)
 from pagefold.functions.text import WHITESPACE
-from pagefold.operators.answering import REFUSAL
 from pagefold.plans.derived import MEMO_SQL
 
 # RE2 spellings of the character sets.
@@ -156,8 +154,9 @@ CLEANED_DOCS = f"""{_ocr_ctes('documents', 'doc_id')},
     cleaned AS (SELECT doc_id, {_clean_basic('text')} AS text FROM ocr)"""
 
 
-def _turns(blank_system: bool) -> str:
+def _turns(blank_system: bool, cleaned: bool = False) -> str:
     text = "CASE WHEN role = 'system' THEN ' ' || chr(9) || chr(10) || ' ' ELSE text END" if blank_system else "text"
+    text = _clean_basic("text") if cleaned else text
     return f"""turns AS (SELECT conv_id::VARCHAR AS source_file, (turn + 1)::INT AS page_num, {text} AS text
       FROM conversations),
     pieces AS (SELECT source_file, page_num,
@@ -174,11 +173,11 @@ def _turns(blank_system: bool) -> str:
 
 def _matches(pattern: str, entity: str, score: float, order: int) -> str:
     """Matches of a pattern with offsets, from the lengths of the pieces between them."""
-    return f"""SELECT doc_id, {order} AS detector, i, at::INT AS start_at, (at + length(hits[i]))::INT AS end_at,
+    return f"""SELECT doc_id, {order} AS detector, i, place::INT AS start_at, (place + length(hits[i]))::INT AS end_at,
         {_q(entity)} AS entity, hits[i] AS text, {score}::DOUBLE AS score
       FROM (SELECT doc_id, hits, i,
           list_sum(list_transform(gaps[1:i], lambda g: length(g)))
-            + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS at
+            + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS place
         FROM (SELECT doc_id, hits, gaps, unnest(range(1, len(hits) + 1)) AS i
           FROM (SELECT doc_id, regexp_extract_all(text, {_q(pattern)}) AS hits,
                   string_split_regex(text, {_q(pattern)}) AS gaps FROM documents)))"""
@@ -432,6 +431,11 @@ ORACLES: dict[str, str] = {
         count(DISTINCT page_num) AS total_pages, count(*) AS total_chunks, sum(char_count)::BIGINT AS total_characters,
         round_even(coalesce(sum(char_count) / nullif(count_if(char_count > 0), 0)::DOUBLE, 0), 2) AS average_chunk_size,
         'txt' AS methods_used FROM chunks GROUP BY source_file""",
+    "document_parts": f"""WITH {_turns(False, cleaned=True)},
+        sized AS (SELECT *, count(*) OVER (PARTITION BY source_file) AS total_chunks FROM chunks)
+        SELECT source_file, (chunk_id // 3)::INT AS part, total_chunks, count(*)::INT AS chunks,
+          string_agg(chunk_id, ',' ORDER BY chunk_id) AS ids, string_agg(text, {NL} ORDER BY chunk_id) AS text
+        FROM sized GROUP BY ALL""",
     "run_summary": f"""WITH docs AS (SELECT 'd' || doc_id AS k, text FROM documents
           UNION ALL SELECT 'c' || c_custkey, 'customer nation segment' || {NL} || c_custkey || ' ' || c_nationkey || ' ' || c_mktsegment FROM customer),
         {_ocr_ctes('docs', 'k')},
@@ -477,7 +481,7 @@ ORACLES: dict[str, str] = {
           coalesce(sum(n) FILTER (WHERE filled), 0)::BIGINT AS vectors FROM docs""",
     "index_upsert": f"""SELECT conv_id || '_' || turn AS id, turn::INT AS chunk_id, length(text)::INT AS char_count,
         CASE WHEN role = 'user' THEN {_strip("'old ' || text")} ELSE CASE WHEN {_blank('text')} THEN ' ' ELSE {_strip('text')} END END AS document
-        FROM conversations""".replace("length(text)::INT AS char_count", "length(text)::INT AS char_count"),
+        FROM conversations""",
     "upload_summary": """WITH docs AS (SELECT role, conv_id, count(*) AS n FROM conversations GROUP BY ALL)
         SELECT 'paired' AS measure, count_if(role <> 'system')::BIGINT AS value FROM conversations
         UNION ALL SELECT 'in_index', count_if(role <> 'system')::BIGINT FROM conversations
@@ -512,4 +516,3 @@ ORACLES: dict[str, str] = {
         SELECT r.question_id, r.rank::INT AS rank, r.id, round(r.distance, 5) AS distance,
           substring(e.text, 1, 100) || '...' AS preview FROM ranked r JOIN entries e ON r.id = e.id""",
 }
-del REFUSAL

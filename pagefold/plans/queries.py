@@ -18,7 +18,7 @@ from pagefold.functions.masks import (
     sentence_batches,
     token_windows,
 )
-from pagefold.functions.metadata import FIELDS, document_type, metadata_map, title
+from pagefold.functions.metadata import FIELDS, document_type, title, with_metadata
 from pagefold.functions.spans import entity_name, pattern_spans
 from pagefold.functions.splitting import sentences
 from pagefold.functions.structure import structure_items, structure_types
@@ -113,7 +113,7 @@ def hangul_validity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def meta_fields(spark: SparkSession, folder: str) -> DataFrame:
-    memo = derived.memos(spark, folder).select("memo_id", metadata_map(F.col("text")).alias("m"))
+    memo = with_metadata(derived.memos(spark, folder), F.col("text"), "m")
     return memo.select("memo_id", *[F.element_at("m", F.lit(f)).alias(f) for f in FIELDS])
 
 
@@ -224,7 +224,7 @@ def pii_masked(spark: SparkSession, folder: str) -> DataFrame:
 
 def pii_findings(spark: SparkSession, folder: str) -> DataFrame:
     found = detect(derived.documents(spark, folder), entities=entity_rules(F.col("text")))
-    by_type = findings_by_type(found, ["doc_id"])
+    by_type = findings_by_type(stage_table(found.select("doc_id", "spans"), "spans"), ["doc_id"])
     return by_type.withColumn("examples", F.array_join("examples", " | "))
 
 
@@ -302,9 +302,9 @@ def document_record(spark: SparkSession, folder: str) -> DataFrame:
 
 def document_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Nested records, several per large document; checked through what they hold."""
-    settings = BASIC.with_(chunks_per_record=3, privacy=True)
+    settings = BASIC.with_(chunks_per_record=3)
     pages = _turn_pages(spark, folder)
-    records = document_records(ingest_pages(pages, settings), settings)
+    records = document_records(stage_table(ingest_pages(pages, settings), "chunks"), settings)
     return records.select(
         "source_file",
         "part",
@@ -319,7 +319,7 @@ def ingest_summary(spark: SparkSession, folder: str) -> DataFrame:
     files = derived.csv_files(spark, folder).union(derived.text_files(spark, folder))
     legacy = F.when(F.col("path").endswith(".CSV"), F.regexp_replace("path", "CSV$", "xls"))
     files = files.union(files.select(legacy.alias("path"), "content").where("path is not null"))
-    pages = load_pages(files)
+    pages = stage_table(load_pages(files), "pages")
     good = pages.where(F.col("status") == OK)
     chunks = split_pages(good, BASIC, max_pages=1)
     return run_summary(pages.select("path", "source_file"), document_headers(chunks))
@@ -399,10 +399,11 @@ def index_upsert(spark: SparkSession, folder: str) -> DataFrame:
         "text",
         zero.alias("embedding"),
     )
-    first = index_entries(turns.where("role = 'user'").withColumn("text", F.concat(F.lit("old "), "text")))
-    index = VectorIndex(spark, f"{shared_folder(spark)}/index-{uuid.uuid4().hex}")
-    index.add(first)
-    fresh = new_entries(index_entries(turns), index.read())
+    old = turns.where("role = 'user'").withColumn("text", F.concat(F.lit("old "), "text"))
+    settings = Settings(index_buckets=8)
+    index = VectorIndex(spark, f"{shared_folder(spark)}/index-{uuid.uuid4().hex}", settings)
+    index.add(index_entries(old, settings))
+    fresh = new_entries(index_entries(turns, settings), index.read())
     return index.read().unionByName(fresh).select("id", "document", "chunk_id", "char_count")
 
 
