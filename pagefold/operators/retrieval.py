@@ -122,18 +122,18 @@ def _grid_top(
     """
     id_type = index.schema["id"].dataType.simpleString()
     key_type = questions.schema["question_id"].dataType.simpleString()
-    left = (
-        questions.select("question_id", "embedding")
-        .withColumn("q_block", F.pmod(F.xxhash64("question_id"), F.lit(question_blocks)))
-        .withColumn("e_block", F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1))))
-    )
-    right = (
-        index.select("id", "embedding")
-        .withColumn("e_block", F.pmod(F.xxhash64("id"), F.lit(index_blocks)).cast("int"))
-        .withColumn(
-            "q_block", F.explode(F.sequence(F.lit(0), F.lit(question_blocks - 1))).cast("long")
+
+    def dealt(rows: DataFrame, key: str, own: str, blocks: int, other: str, copies: int) -> DataFrame:
+        every = F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))
+        return rows.select(
+            key,
+            "embedding",
+            F.pmod(F.xxhash64(key), F.lit(blocks)).cast("long").alias(own),
+            F.explode(every).alias(other),
         )
-    )
+
+    left = dealt(questions, "question_id", "q_block", question_blocks, "e_block", index_blocks)
+    right = dealt(index, "id", "e_block", index_blocks, "q_block", question_blocks)
 
     def cell(asked: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         columns = ["question_id", "id", "distance"]
@@ -188,7 +188,7 @@ def top_k_with_bound(
     if len(rows) <= most:
         small = len(rows) * k * 256 <= settings.broadcast_bytes
         return _broadcast_top(index, rows, k, key), small
-    cell_rows = max(1, most // 4)
-    question_blocks = -(-asked.count() // cell_rows)
-    index_blocks = max(1, -(-index.count() // cell_rows))
+    # Bytes moved fall with the size of a cell; a cell takes one block of either side in memory.
+    question_blocks = -(-asked.count() // most)
+    index_blocks = max(1, -(-index.count() // (4 * most)))
     return _grid_top(index, asked, k, question_blocks, index_blocks), False
