@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -77,10 +78,11 @@ def test_large_documents_are_split_into_parts(spark):
 def test_stream_indexes_each_file_once(spark, tmp_path):
     raw = raw_folder(tmp_path)
     index = VectorIndex(spark, str(tmp_path / "index"))
+    name = uuid.uuid4().hex
 
     def run():
         files = watch_folder(spark, str(raw), files_per_batch=1)
-        index_stream(files, index, HashingEmbedder(), name=tmp_path.name).awaitTermination()
+        index_stream(files, index, HashingEmbedder(), name=name).awaitTermination()
         return index.count()
 
     first = run()

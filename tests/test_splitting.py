@@ -72,19 +72,27 @@ def test_merge(spark):
 
 def test_recursive_properties(column):
     rng = random.Random(11)
-    words = ["alpha", "be", "긴단어", "x" * 70, "end.", "why?", "so,", "\n", "\n\n", "다。"]
-    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 80))) for _ in range(150)]
+    words = ["alpha", "be", "긴단어", "long", "end.", "why?", "so,", "\n", "\n\n", "다。"]
+
+    # Numbered words and long runs without repetition: every chunk occurs once in its text.
+    def word(i):
+        run = "".join(chr(0x4E00 + 70 * i + j) for j in range(70))
+        return f"{i}{rng.choice(words)}".replace("long", run)
+
+    texts = [" ".join(word(i) for i in range(rng.randint(1, 80))) for _ in range(150)]
     size, overlap = 50, 12
     for text, chunks in zip(texts, column(lambda c: recursive_chunks(c, size, overlap), texts)):
         assert chunks == split_recursive(text, size, overlap)
         assert all(0 < len(c) <= size and c == c.strip() and c in text for c in chunks)
-        # Nothing but whitespace may be missing, and chunks follow each other.
-        covered, at = set(), 0
+        # Chunks follow each other, and only whitespace may lie between the end of one and the
+        # start of the next.
+        last, end = -1, 0
         for chunk in chunks:
-            start = text.index(chunk, max(0, at - size))
-            covered.update(range(start, start + len(chunk)))
-            at = start + len(chunk)
-        assert all(i in covered or text[i].isspace() for i in range(len(text)))
+            reach = end + len(text[end:]) - len(text[end:].lstrip())
+            start = text.rfind(chunk, last + 1, reach + len(chunk))
+            assert last < start <= reach
+            last, end = start, start + len(chunk)
+        assert not text[end:].strip()
 
 
 def test_recursive_known_cases():
