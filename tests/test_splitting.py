@@ -152,4 +152,4 @@ def test_strategies_name_their_method(spark):
         assert (row["metadata"] is not None) == (strategy == "semantic")
     row = split_pages(frame, Settings()).collect()[0]
     assert row["language"] == "ko" and row["metadata"]["doc_type"] == "회의록"
-    assert row["has_structure"] and row["structure_types"] == ["heading"]
+    assert row["has_structure"] and row["structure_types"] == ["heading", "list"]
