@@ -11,7 +11,9 @@ from pagefold.backends.base import (
     EntityRecognizer,
     Generator,
     ImageReader,
+    LanguageDetector,
     PdfReader,
+    SentenceSplitter,
 )
 from pagefold.backends.offline import FirstSentence, HashingEmbedder, Unchanged
 
@@ -24,6 +26,8 @@ __all__ = [
     "Generator",
     "HashingEmbedder",
     "ImageReader",
+    "LanguageDetector",
     "PdfReader",
+    "SentenceSplitter",
     "Unchanged",
 ]

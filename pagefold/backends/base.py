@@ -32,6 +32,18 @@ class Corrector(Backend):
         """Rewritten texts; mask tokens in them must be left alone."""
 
 
+class SentenceSplitter(Backend):
+    @abstractmethod
+    def split(self, texts: list[str], languages: list[str]) -> list[list[str]]:
+        """Sentences of every text, stripped and without blanks."""
+
+
+class LanguageDetector(Backend):
+    @abstractmethod
+    def detect(self, texts: list[str]) -> list[str]:
+        """Language code of every text."""
+
+
 class EntityRecognizer(Backend):
     @abstractmethod
     def recognize(self, texts: list[str]) -> list[list[tuple[int, int, str, str, float]]]:

@@ -7,12 +7,30 @@ import io
 
 import numpy as np
 
-from pagefold.backends.base import Embedder, ImageReader, PdfReader
+from pagefold.backends.base import (
+    Corrector,
+    Embedder,
+    EntityRecognizer,
+    Generator,
+    ImageReader,
+    PdfReader,
+)
+from pagefold.functions.spans import DEFAULT_LABELS
 
 
 def capabilities() -> dict[str, bool]:
     """Which optional libraries can be imported."""
-    names = ("pypdf", "pdf2image", "pytesseract", "PIL", "olefile", "sentence_transformers")
+    names = (
+        "pypdf",
+        "pdf2image",
+        "pytesseract",
+        "PIL",
+        "olefile",
+        "sentence_transformers",
+        "transformers",
+        "gliner",
+        "langchain_groq",
+    )
     return {name: importlib.util.find_spec(name) is not None for name in names}
 
 
@@ -74,3 +92,113 @@ class SentenceEmbedder(Embedder):
 
     def encode(self, texts: list[str]) -> np.ndarray:
         return self._model.encode(texts, batch_size=len(texts), convert_to_numpy=True)
+
+
+class TokenClassifier(EntityRecognizer):
+    """A transformers token-classification model; the first candidate that loads is used."""
+
+    name = "token-classification"
+    # Models tried in order.
+    CANDIDATES = (
+        "soddokayo/klue-roberta-large-klue-ner",
+        "vitus9988/klue-roberta-large-ner-identified",
+        "Leo97/KoELECTRA-small-v3-modu-ner",
+    )
+
+    def __init__(self, model: str | None = None) -> None:
+        self.models = ((model,) if model else ()) + self.CANDIDATES
+        self._run = None
+
+    def load(self) -> None:
+        from transformers import pipeline
+
+        for model in self.models if self._run is None else ():
+            try:
+                self._run = pipeline("ner", model=model, aggregation_strategy="simple")
+                return
+            except Exception:
+                continue
+
+    def recognize(self, texts: list[str]) -> list[list[tuple[int, int, str, str, float]]]:
+        if self._run is None:
+            return [[] for _ in texts]
+        return [
+            [(e["start"], e["end"], e["word"], e["entity_group"], float(e["score"])) for e in found]
+            for found in self._run(texts)
+        ]
+
+
+class LabelledRecognizer(EntityRecognizer):
+    """An open-vocabulary recogniser asked for a list of labels."""
+
+    def __init__(self, model: str = "taeminlee/gliner_ko", labels: tuple[str, ...] = DEFAULT_LABELS) -> None:
+        self.name, self.labels = model, labels
+        self._model = None
+
+    def load(self) -> None:
+        if self._model is None:
+            from gliner import GLiNER
+
+            self._model = GLiNER.from_pretrained(self.name)
+
+    def recognize(self, texts: list[str]) -> list[list[tuple[int, int, str, str, float]]]:
+        # Everything is reported; the threshold is applied by the span functions.
+        return [
+            [
+                (e["start"], e["end"], e["text"], e["label"], float(e["score"]))
+                for e in self._model.predict_entities(text, list(self.labels), threshold=0.0)
+            ]
+            for text in texts
+        ]
+
+
+class SpellingCorrector(Corrector):
+    """A sequence-to-sequence model, decoded greedily."""
+
+    # The model, its instruction and its generation limits.
+    PROMPT = "다음 문장의 철자와 띄어쓰기만 교정하고, 의미/숫자/기호/마스크는 바꾸지 마세요:\n"
+    LIMITS = {"max_length": 512, "num_beams": 1, "no_repeat_ngram_size": 2}
+
+    def __init__(self, model: str = "j5ng/et5-typos-corrector") -> None:
+        self.name = model
+        self._tokenizer = self._model = None
+
+    def load(self) -> None:
+        if self._model is None:
+            from transformers import T5ForConditionalGeneration, T5TokenizerFast
+
+            self._tokenizer = T5TokenizerFast.from_pretrained(self.name)
+            self._model = T5ForConditionalGeneration.from_pretrained(self.name).eval()
+
+    def tokens(self, text: str) -> list[str]:
+        # Offsets keep the exact characters, so that the tokens join to the text.
+        spans = self._tokenizer(
+            text, return_offsets_mapping=True, add_special_tokens=False
+        )["offset_mapping"]
+        cuts = [0, *(start for start, _ in spans[1:]), len(text)]
+        return [text[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def correct(self, texts: list[str]) -> list[str]:
+        inputs = self._tokenizer(
+            [self.PROMPT + t for t in texts],
+            return_tensors="pt", max_length=512, truncation=True, padding=True,
+        )
+        outputs = self._model.generate(**inputs, **self.LIMITS)
+        return [t.strip() for t in self._tokenizer.batch_decode(outputs, skip_special_tokens=True)]
+
+
+class ChatGenerator(Generator):
+    """A hosted chat model; its key is read from the environment of the executors."""
+
+    def __init__(self, model: str = "llama-3.3-70b-versatile") -> None:
+        self.name = model
+        self._chat = None
+
+    def load(self) -> None:
+        if self._chat is None:
+            from langchain_groq import ChatGroq
+
+            self._chat = ChatGroq(model=self.name, temperature=0)
+
+    def answer(self, prompts: list[str], contexts: list[str]) -> list[str]:
+        return [self._chat.invoke(prompt).content for prompt in prompts]

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pagefold.functions.text import ALNUM, DIGIT_EXTRA, HANGUL, LATIN, count_in, let, strip
 
 KANA = r"\x{3040}-\x{30ff}"
+# Languages that are told apart, and the one every other counts as.
+LANGUAGES = ("ko", "en", "ja")
 DEFAULT_LANGUAGE = "ko"
 # Punctuation that counts as legible, as the body of a regex class.
 LEGIBLE_MARKS = r" \n\t.,!?\-()\[\]{}:;@#%&*+=/<>\x22\x27"

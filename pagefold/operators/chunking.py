@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagefold.functions.language import guess_language
+from pagefold.backends.base import LanguageDetector, SentenceSplitter
+from pagefold.functions.language import DEFAULT_LANGUAGE, LANGUAGES, guess_language
 from pagefold.functions.metadata import with_metadata
 from pagefold.functions.recursive import recursive_chunks
 from pagefold.functions.splitting import fixed_windows, merge_sentences, sentences
@@ -18,11 +22,42 @@ METHOD_NAMES = {"semantic": "semantic", "recursive": "langchain", "basic": "basi
 NO_TEXT = "no_text"
 
 
-def chunk_texts(text: Column, settings: Settings) -> Column:
-    """Chunk texts of one page; a blank page gives one empty chunk."""
+def detected_language(text: Column, detector: LanguageDetector | None) -> Column:
+    """Language of a text; what a detector reports outside the known ones is the default."""
+    if detector is None:
+        return guess_language(text)
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        detector.load()
+        for texts in batches:
+            yield pd.Series(detector.detect(list(texts)), dtype=object)
+
+    found = run(F.coalesce(text, F.lit("")))
+    return F.when(found.isin(*LANGUAGES), found).otherwise(DEFAULT_LANGUAGE)
+
+
+def sentence_list(text: Column, language: Column, splitter: SentenceSplitter | None) -> Column:
+    if splitter is None:
+        return sentences(text)
+
+    @F.pandas_udf("array<string>")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        splitter.load()
+        for texts, languages in batches:
+            yield pd.Series(splitter.split(list(texts), list(languages)))
+
+    return run(F.coalesce(text, F.lit("")), language)
+
+
+def chunk_texts(text: Column, settings: Settings, parts: Column | None = None) -> Column:
+    """Chunk texts of one page; a blank page gives one empty chunk.
+
+    ``parts`` are the sentences to merge, found by rule unless given.
+    """
     size, overlap = settings.chunk_size, settings.chunk_overlap
     if settings.strategy == "semantic":
-        pieces = merge_sentences(sentences(text), size, overlap)
+        pieces = merge_sentences(sentences(text) if parts is None else parts, size, overlap)
     elif settings.strategy == "recursive":
         # Not inside the CASE below: a Python function runs for every row anyway.
         pieces = recursive_chunks(text, size, overlap)
@@ -71,28 +106,35 @@ def number_chunks(
 
 
 def split_pages(
-    pages: DataFrame, settings: Settings | None = None, max_pages: int | None = None
+    pages: DataFrame,
+    settings: Settings | None = None,
+    max_pages: int | None = None,
+    splitter: SentenceSplitter | None = None,
+    detector: LanguageDetector | None = None,
 ) -> DataFrame:
     """Page rows to chunk rows; ids run from 0 over all pages of a document.
 
     Page facts (language, metadata, structure) are computed once per page and repeated on its
-    chunks; only the semantic strategy has them.
+    chunks; only the semantic strategy has them. ``splitter`` and ``detector`` are model
+    backends for it; without them both steps are built-in expressions.
     """
     settings = settings or Settings()
     text = F.col("text")
     columns = ["source_file", "page_num"]
     extra = [c for c in ("file_type", "method", "findings") if c in pages.columns]
-    rows = pages.select(
-        *columns, *extra, "text", chunk_texts(text, settings).alias("pieces")
-    )
+    rows = pages.select(*columns, *extra, "text")
+    parts = None
     if settings.strategy == "semantic":
-        # A blank text has no metadata and no structure; only its language needs the test.
-        rows = with_metadata(rows, text).withColumns(
-            {
-                "language": F.when(~is_blank(text), guess_language(text)),
-                "structure_types": structure_types(text),
-            }
+        rows = rows.withColumn(
+            "language", F.when(~is_blank(text), detected_language(text, detector))
         )
+        if splitter is not None:
+            rows = rows.withColumn("_parts", sentence_list(text, F.col("language"), splitter))
+            parts = F.col("_parts")
+    rows = rows.withColumn("pieces", chunk_texts(text, settings, parts)).drop("_parts")
+    if settings.strategy == "semantic":
+        # A blank text has no metadata and no structure.
+        rows = with_metadata(rows, text).withColumn("structure_types", structure_types(text))
     else:
         rows = rows.withColumns(
             {

@@ -8,7 +8,7 @@ final ranking.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,8 @@ _ROWS_PER_BLOCK = 4096
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim).astype(np.float64)
+    """The vectors of a batch as they lie in the Arrow buffer, without a copy."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
 class _Best:
@@ -37,11 +38,13 @@ class _Best:
         self.distances = [np.empty(0) for _ in questions]
         self.ids: list[np.ndarray] = [np.empty(0, dtype=object) for _ in questions]
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        for at in range(0, len(ids), _ROWS_PER_BLOCK):
-            self._add_block(ids[at : at + _ROWS_PER_BLOCK], vectors[at : at + _ROWS_PER_BLOCK])
+    def add(self, pick: Callable[[np.ndarray], np.ndarray], vectors: np.ndarray) -> None:
+        """Offer entries; ``pick`` returns the ids at the given positions, for candidates only."""
+        for at in range(0, len(vectors), _ROWS_PER_BLOCK):
+            block = vectors[at : at + _ROWS_PER_BLOCK].astype(np.float64)
+            self._add_block(lambda positions, at=at: pick(positions + at), block)
 
-    def _add_block(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def _add_block(self, pick: Callable[[np.ndarray], np.ndarray], vectors: np.ndarray) -> None:
         squares = (vectors * vectors).sum(axis=1)
         rough = squares[None, :] + self.squares[:, None] - 2.0 * (self.questions @ vectors.T)
         # The product form rounds; whatever could still be among the k best is measured exactly.
@@ -57,7 +60,7 @@ class _Best:
                 continue
             delta = vectors[close] - self.questions[q]
             exact = np.concatenate([self.distances[q], (delta * delta).sum(axis=1)])
-            names = np.concatenate([self.ids[q], ids[close]])
+            names = np.concatenate([self.ids[q], pick(close)])
             order = np.lexsort((names, exact))[: self.k]
             self.distances[q], self.ids[q] = exact[order], names[order]
 
@@ -92,9 +95,12 @@ def _broadcast_top(index: DataFrame, rows: list, k: int, key: T.DataType) -> Dat
         best = _Best(questions, k)
         arrow_id = None
         for batch in batches:
-            arrow_id = batch.column(0).type
-            ids = np.asarray(batch.column(0).to_pylist(), dtype=object)
-            best.add(ids, _matrix(batch.column(1), dim))
+            ids = batch.column(0)
+            arrow_id = ids.type
+            best.add(
+                lambda at, ids=ids: np.array(ids.take(pa.array(at)).to_pylist(), dtype=object),
+                _matrix(batch.column(1), dim),
+            )
         if arrow_id is None:
             return
         owners, ids, distances = best.rows()
@@ -140,10 +146,8 @@ def _grid_top(
         if asked.empty or entries.empty:
             return pd.DataFrame(columns=columns)
         best = _Best(np.stack(asked["embedding"].to_list()).astype(np.float64), k)
-        best.add(
-            entries["id"].to_numpy(dtype=object),
-            np.stack(entries["embedding"].to_list()).astype(np.float64),
-        )
+        ids = entries["id"].to_numpy(dtype=object)
+        best.add(lambda at: ids[at], np.stack(entries["embedding"].to_list()))
         owners, ids, distances = best.rows()
         return pd.DataFrame(
             {"question_id": asked["question_id"].to_numpy()[owners], "id": ids, "distance": distances}

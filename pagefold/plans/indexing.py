@@ -12,6 +12,7 @@ from pagefold.operators.vector_index import (
     pair_vectors,
     upload_summary,
 )
+from pagefold.session import stage_table
 from pagefold.settings import Settings
 from pagefold.sinks.chunk_documents import write_vectors
 
@@ -36,6 +37,11 @@ def upload_vectors(
 
 
 def index_chunks(index: VectorIndex, chunks: DataFrame, embedder: Embedder) -> None:
-    """Embed and add in one flow, without storing the vectors on their own."""
-    embedded = embed_chunks(embeddable(chunks), embedder, index.settings)
+    """Embed and add in one flow, without storing the vectors on their own.
+
+    The chunks are looked at twice (which documents have text, then their vectors), so they
+    are written once instead of being parsed and split twice.
+    """
+    stored = stage_table(chunks, "chunks")
+    embedded = embed_chunks(embeddable(stored), embedder, index.settings)
     index.add(index_entries(embedded, index.settings))

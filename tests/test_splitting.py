@@ -153,3 +153,20 @@ def test_strategies_name_their_method(spark):
     row = split_pages(frame, Settings()).collect()[0]
     assert row["language"] == "ko" and row["metadata"]["doc_type"] == "회의록"
     assert row["has_structure"] and row["structure_types"] == ["heading", "list"]
+
+
+def test_model_backends_for_sentences_and_language(spark):
+    from pagefold.backends.base import LanguageDetector, SentenceSplitter
+
+    class Lines(SentenceSplitter):
+        def split(self, texts, languages):
+            return [[f"{lang}:{x}" for x in t.split("\n") if x] for t, lang in zip(texts, languages)]
+
+    class French(LanguageDetector):
+        def detect(self, texts):
+            return ["en" if "e" in t else "fr" for t in texts]
+
+    frame = pages_frame(spark, [("a", 1, "one\ntwo"), ("b", 1, "xx"), ("c", 1, " ")])
+    rows = split_pages(frame, Settings(), splitter=Lines(), detector=French()).collect()
+    found = {r["source_file"]: (r["language"], r["text"]) for r in rows}
+    assert found == {"a": ("en", "en:one en:two"), "b": ("ko", "ko:xx"), "c": (None, "")}
