@@ -36,6 +36,9 @@ MIN_VOWEL_RATIO, MAX_VOWEL_RATIO = 0.15, 0.85
 LOOSE_JAMO = "ㄱㄴㄷㄹㅁㅂㅅㅇㅈㅊㅋㅌㅍㅎㅏㅑㅓㅕㅗㅛㅜㅠㅡㅣㅐㅔ"
 # Block range that holds all of them.
 JAMO_RANGE = r"[\x{3131}-\x{3163}]"
+# Holds only where at least a third of the characters are letters or digits: words with at most
+# two marks between them and one at either end. Settles ordinary lines without counting.
+MOSTLY_SIGNAL = f"^[^{ALNUM}]?+[{ALNUM}]++(?:[^{ALNUM}]{{1,2}}+[{ALNUM}]++)*+[^{ALNUM}]?+$"
 VOWELS = r"AEIOUaeiou\x{130}"
 # The divider every ruled line is rewritten to.
 DIVIDER = "─" * 40
@@ -79,7 +82,7 @@ def _rule_tests(line: Column) -> dict[str, Column]:
         "blank": size == 0,
         "too_short": size < MIN_LINE_CHARS,
         "specials_only": ~starts_alnum & line.rlike(f"^[^{ALNUM}_]+$"),
-        "low_signal": count_in(line, ALNUM) < size * MIN_SIGNAL_RATIO,
+        "low_signal": ~line.rlike(MOSTLY_SIGNAL) & (count_in(line, ALNUM) < size * MIN_SIGNAL_RATIO),
         "few_letters": short & (count_in(line, LATIN + HANGUL) < MIN_SHORT_LETTERS),
         "mostly_digits": short & ((size - not_digit_alnum) > size * MAX_SHORT_DIGIT_RATIO),
         "repeated_special": ~starts_alnum & line.rlike(r"(?s)(.)\1{2,}"),

@@ -14,7 +14,8 @@ TERMINALS = ".!?。！？"
 def sentences(col: Column) -> Column:
     """Cut after a run of terminals that whitespace follows; strip and drop blanks."""
     # Whitespace first, then a look behind it: far fewer positions are looked behind.
-    pieces = F.split(col, f"{UNICODE_SPACE}(?<=[{TERMINALS}](?s:.)){UNICODE_SPACE[4:]}*")
+    space = UNICODE_SPACE[4:]
+    pieces = F.split(col, f"(?U:{space})(?<=[{TERMINALS}](?s:.))(?U:{space}*)")
     return F.filter(F.transform(pieces, strip), lambda s: F.length(s) > 0)
 
 

@@ -99,7 +99,8 @@ def number_chunks(
     inside = before.partitionBy("source_file", "page_block")
     placed = blocked.withColumn("within", F.coalesce(F.sum(count).over(inside), F.lit(0)))
     return (
-        placed.join(starts, ["source_file", "page_block"])
+        # A left join on unique keys: it disappears from plans that do not use the ids.
+        placed.join(starts, ["source_file", "page_block"], "left")
         .withColumn("first_id", F.col("block_start") + F.col("within"))
         .drop("page_block", "block_start", "within")
     )

@@ -67,15 +67,15 @@ def new_entries(entries: DataFrame, existing: DataFrame) -> DataFrame:
 
     Only ids of buckets the new entries touch are read: the semi-join on the partition column
     lets the planner prune the index folders. Ids are hashed with their bucket, so a document
-    with many chunks is no hot key.
+    with many chunks is no hot key. Known ids go first, and what remains is already placed for
+    the window that drops repeated ones.
     """
-    order = Window.partitionBy("source_bucket", "id").orderBy("document")
-    once = (
-        entries.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
-    )
     touched = entries.select("source_bucket").distinct()
     ids = existing.select("source_bucket", "id").join(touched, "source_bucket", "left_semi")
-    return once.join(ids, ["source_bucket", "id"], "left_anti").select(entries.columns)
+    fresh = entries.join(ids, ["source_bucket", "id"], "left_anti")
+    order = Window.partitionBy("source_bucket", "id").orderBy("document")
+    once = fresh.withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    return once.select(entries.columns)
 
 
 class VectorIndex:

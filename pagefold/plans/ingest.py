@@ -26,11 +26,15 @@ def ingest_pages(
     settings: Settings | None = None,
     max_pages: int | None = None,
     corrector: Corrector | None = None,
+    tidy: bool = False,
     **detectors: object,
 ) -> DataFrame:
-    """Loaded pages to chunks: whitespace, masking if wanted, splitting, normalising if wanted."""
+    """Loaded pages to chunks: whitespace, masking if wanted, splitting, normalising if wanted.
+
+    ``tidy`` pages come from a loader, whose noise filter leaves no whitespace to normalise.
+    """
     settings = settings or Settings()
-    cleaned = clean_pages(pages)
+    cleaned = pages if tidy else clean_pages(pages)
     if settings.privacy:
         cleaned = mask_pages(cleaned, settings, **detectors)
     chunks = split_pages(cleaned, settings, max_pages)
@@ -67,7 +71,7 @@ def ingest_folder(
         loaded = reparse_short_previews(files, loaded, recognition)
     pages = stage_table(loaded, "pages")
     good = pages.where(F.col("status") == OK)
-    chunks = stage_table(ingest_pages(good, settings, **options), "chunks")
+    chunks = stage_table(ingest_pages(good, settings, tidy=True, **options), "chunks")
     write_chunk_documents(document_records(chunks, settings), output)
     every_file = pages.select("path", "source_file").distinct()
     return IngestRun(pages, chunks, run_summary(every_file, document_headers(chunks)))

@@ -68,9 +68,9 @@ def _on_documents(name: str, make: Callable[[Column], Column]) -> Query:
 
 
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as they are after loading and ingestion cleaning, before splitting."""
+    """Documents as they are after loading; the noise filter leaves no whitespace to normalise."""
     return derived.documents(spark, folder).select(
-        "doc_id", clean_text(clean_ocr_text(F.col("text"))).alias("text")
+        "doc_id", clean_ocr_text(F.col("text")).alias("text")
     )
 
 
@@ -383,7 +383,7 @@ def embedding_totals(spark: SparkSession, folder: str) -> DataFrame:
         F.concat_ws("-", "conv_id", "role"),
         F.col("turn") + 1,
     )
-    chunks = split_pages(pages, BASIC)
+    chunks = stage_table(split_pages(pages, BASIC), "chunks")
     return embedding_summary(chunks, embeddable(chunks))
 
 

@@ -46,7 +46,7 @@ def index_stream(
 
     def add_batch(batch: DataFrame, _: int) -> None:
         pages = load_pages(batch, recognition).where(F.col("status") == OK)
-        index_chunks(index, ingest_pages(pages, settings), embedder)
+        index_chunks(index, ingest_pages(pages, settings, tidy=True), embedder)
 
     return (
         files.writeStream.foreachBatch(add_batch)
