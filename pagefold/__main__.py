@@ -11,7 +11,7 @@ from pagefold.operators.answering import answer_questions
 from pagefold.operators.vector_index import VectorIndex
 from pagefold.plans.indexing import embed_documents, upload_vectors
 from pagefold.plans.ingest import ingest_folder
-from pagefold.session import get_session
+from pagefold.session import drop_staged, get_session
 from pagefold.settings import Settings
 from pagefold.sources.chunk_documents import chunk_rows, read_chunk_documents, read_vectors
 from pagefold.sources.questions import DEMO_QUESTIONS, dialogue, questions_frame
@@ -67,6 +67,7 @@ def main(arguments: list[str] | None = None) -> None:
             spark, args.raw, args.chunks, settings, _recognition(settings), args.hangul
         )
         run.summary.show(truncate=False)
+        drop_staged(spark)
         return
     if args.command == "ask":
         index = VectorIndex(spark, args.index).read()

@@ -25,7 +25,6 @@ def capabilities() -> dict[str, bool]:
         "pdf2image",
         "pytesseract",
         "PIL",
-        "olefile",
         "sentence_transformers",
         "transformers",
         "gliner",

@@ -20,15 +20,15 @@ MEMO_SQL = """
       CASE o_orderpriority WHEN '1-URGENT' THEN '승인 요청 문서' WHEN '2-HIGH' THEN '주간 회의록'
         WHEN '3-MEDIUM' THEN '진행 보고 내용.' WHEN '4-NOT SPECIFIED' THEN '신규 계획서'
         ELSE '일반 안내' END, chr(10),
-      '작성일: ', CAST(year(o_orderdate) AS VARCHAR(4)), '년 ',
-      CAST(month(o_orderdate) AS VARCHAR(2)), '월 ', CAST(day(o_orderdate) AS VARCHAR(2)), '일', chr(10),
+      '작성일: ', CAST(year(o_orderdate) AS STRING), '년 ',
+      CAST(month(o_orderdate) AS STRING), '월 ', CAST(day(o_orderdate) AS STRING), '일', chr(10),
       CASE o_orderstatus WHEN 'O' THEN '소속: 개발팀' WHEN 'F' THEN '검토 결과' ELSE '부서 ： 영업부' END, chr(10),
       CASE o_orderstatus WHEN 'P' THEN '담당자 ' ELSE '작성자: ' END,
-      translate(CAST(o_custkey AS VARCHAR(12)), '0123456789', '김이박최정강조윤장임'),
+      translate(CAST(o_custkey AS STRING), '0123456789', '김이박최정강조윤장임'),
       CASE o_orderstatus WHEN 'O' THEN ' 대리' WHEN 'F' THEN '  과장' ELSE '' END, chr(10), chr(10),
       '1. 금액 안내', chr(10),
-      '금액 | ', CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR(20)), ' | 원', chr(10),
-      '- 고객 ', CAST(o_custkey AS VARCHAR(12)), ' 확인했습니다. 다음 단계로 진행합니다！ 끝', chr(10),
+      '금액 | ', CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING), ' | 원', chr(10),
+      '- 고객 ', CAST(o_custkey AS STRING), ' 확인했습니다. 다음 단계로 진행합니다！ 끝', chr(10),
       '[', translate(o_orderpriority, '-', ' '), ']', chr(10),
       '-----', chr(10), '*** ㅁㅁ', chr(10), '가', chr(10),
       '2) 처리', chr(9), chr(9), '상태 ', o_orderstatus

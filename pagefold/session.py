@@ -45,14 +45,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_staged: dict[str, list[str]] = {}
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables this application has staged, once nothing reads them any more."""
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(configuration).delete(hadoop_path, True)
+    return len(paths)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan with fewer partitions than cores one partition per core.
 

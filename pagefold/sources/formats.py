@@ -14,6 +14,8 @@ from xml.etree import ElementTree
 
 import pandas as pd
 
+from pagefold.sources.compound import read_stream
+
 Page = tuple[list[str], str]
 
 # Encodings tried in order, and the line that introduces table rows.
@@ -219,16 +221,10 @@ def read_hwpx(content: bytes) -> list[Page]:
 
 
 def read_hwp(content: bytes) -> list[Page]:
-    """The preview text stream of a compound file."""
-    try:
-        import olefile
-    except ImportError as missing:
-        raise Unsupported("reading this format needs olefile") from missing
-    if not olefile.isOleFile(io.BytesIO(content)):
-        raise ValueError("not a compound file")
-    with olefile.OleFileIO(io.BytesIO(content)) as container:
-        data = container.openstream("PrvText").read() if container.exists("PrvText") else b""
-    return [([data.decode("utf-16le", errors="ignore").replace("\x00", "").strip()], "hwp_prvtext")]
+    """The preview text of a compound file."""
+    data = read_stream(content, "PrvText") or b""
+    text = data.decode("utf-16le", errors="ignore").replace("\x00", "")
+    return [([text], "hwp_prvtext")]
 
 
 def unsupported(_: bytes) -> list[Page]:

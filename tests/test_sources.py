@@ -181,3 +181,73 @@ def test_html(spark):
 
 def test_dialogue():
     assert list(dialogue(["a", " ", " b ", "QUIT", "c"])) == ["a", "b"]
+
+
+def compound_file(streams: dict[str, bytes]) -> bytes:
+    """A small compound file: one allocation table, small streams in the mini stream."""
+    import struct
+
+    end, free, width, mini = 0xFFFFFFFE, 0xFFFFFFFF, 512, 64
+    sectors: list[bytes] = []
+    table: list[int] = []
+
+    def store(data: bytes) -> int:
+        if not data:
+            return end
+        first = len(sectors)
+        count = -(-len(data) // width)
+        for i in range(count):
+            sectors.append(data[i * width : (i + 1) * width].ljust(width, b"\0"))
+            table.append(first + i + 1 if i + 1 < count else end)
+        return first
+
+    store(b"\0" * width)  # place of the allocation table
+    entries, small, mini_table = [], b"", []
+    for name, data in streams.items():
+        if len(data) >= 4096:
+            entries.append((name, 2, store(data), len(data)))
+            continue
+        start, count = len(mini_table), -(-len(data) // mini)
+        mini_table += [start + i + 1 for i in range(count - 1)] + [end] * bool(count)
+        small += data.ljust(count * mini, b"\0")
+        entries.append((name, 2, start if count else end, len(data)))
+    entries.insert(0, ("Root Entry", 5, store(small), len(small)))
+    directory = b""
+    for name, kind, start, size in entries:
+        raw = name.encode("utf-16le") + b"\0\0"
+        directory += struct.pack("<64sHB49xIQ", raw, len(raw), kind, start, size)
+    first_entry = store(directory)
+    first_mini = store(struct.pack(f"<{len(mini_table)}I", *mini_table))
+    table[0] = 0xFFFFFFFD
+    assert len(table) <= 128
+    sectors[0] = struct.pack("<128I", *(table + [free] * (128 - len(table))))
+    header = b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1".ljust(24, b"\0") + struct.pack("<HHHHH6x", 62, 3, 0xFFFE, 9, 6)
+    header += struct.pack("<4xI", 1) + struct.pack("<7I", first_entry, 0, 4096, first_mini, 1, end, 0)
+    header += struct.pack("<109I", 0, *[free] * 108)
+    return header + b"".join(sectors)
+
+
+def test_hangul_preview(spark):
+    from pagefold.sources.compound import read_stream
+
+    short, long = "미리보기 문서의 본문입니다.\r\n둘째 줄의 내용입니다.", "긴 본문 문장입니다. " * 400
+    streams = {"FileHeader": b"x" * 100, "PrvText": short.encode("utf-16le"), "Body": b"y" * 5000}
+    content = compound_file(streams)
+    for name, data in streams.items():
+        assert read_stream(content, name) == data
+    assert read_stream(content, "Missing") is None
+    assert read_stream(compound_file({"PrvText": long.encode("utf-16le")}), "PrvText").decode("utf-16le") == long
+    with pytest.raises(ValueError):
+        read_stream(b"not one", "PrvText")
+    files = [
+        ("a.hwp", content),
+        ("b.hwp", compound_file({"PrvText": long.encode("utf-16le")})),
+        ("c.hwp", compound_file({"Other": b"1"})),
+        ("d.hwp", b"damaged"),
+    ]
+    rows = {r["path"]: r for r in load_pages(spark.createDataFrame(files, "path string, content binary")).collect()}
+    assert rows["a.hwp"]["text"] == "미리보기 문서의 본문입니다.\n둘째 줄의 내용입니다."
+    assert (rows["a.hwp"]["method"], rows["a.hwp"]["preview_enough"]) == ("hwp_prvtext", False)
+    assert rows["b.hwp"]["preview_enough"]
+    assert rows["c.hwp"]["status"] == "failed: no text"
+    assert rows["d.hwp"]["status"].startswith("failed")
