@@ -18,7 +18,6 @@ from pagefold.settings import Settings
 # The answer when nothing usable was found.
 REFUSAL = "I don't have enough information to answer this question."
 CONTEXT_SEPARATOR = "\n\n"
-QUESTION_LOG_CHARS = 50
 
 
 def embed_questions(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagefold.functions.cleaning import LINE_RULES, clean_ocr_text, clean_text, line_rule, stripped_lines
+from pagefold.functions.cleaning import clean_ocr_text, clean_text, line_rule, stripped_lines
 
 from pagefold.operators.rows import unnest
 
@@ -31,6 +31,3 @@ def count_rules(texts: DataFrame) -> DataFrame:
     lines = unnest(texts, [], stripped_lines(F.col("text")), "line_no", "line")
     rules = lines.select(F.coalesce(line_rule(F.col("line")), F.lit("kept")).alias("rule"))
     return rules.groupBy("rule").agg(F.count("*").alias("lines"))
-
-
-RULE_NAMES = (*LINE_RULES, "kept")

@@ -21,6 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pagefold.settings import Settings
 
 _ROWS_PER_BLOCK = 4096
+_FEW = 64
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -181,14 +182,15 @@ def top_k_with_bound(
     settings = settings or Settings()
     asked = questions.select("question_id", "embedding")
     key = asked.schema["question_id"].dataType
-    probe = asked.limit(1).collect()
+    # A handful is the usual case and one fetch; it also tells the dimension.
+    probe = asked.limit(_FEW).collect()
     if not probe:
         names = f"question_id {key.simpleString()}, id {index.schema['id'].dataType.simpleString()}"
         empty = f"{names}, distance double, rank int"
         return index.sparkSession.createDataFrame([], empty), True
     row_bytes = 8 * len(probe[0]["embedding"]) + 256
     most = max(1, settings.broadcast_bytes // row_bytes)
-    rows = asked.limit(most + 1).collect()
+    rows = probe if len(probe) < _FEW else asked.limit(most + 1).collect()
     if len(rows) <= most:
         small = len(rows) * k * 256 <= settings.broadcast_bytes
         return _broadcast_top(index, rows, k, key), small

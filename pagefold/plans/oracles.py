@@ -13,7 +13,6 @@ from pagefold.plans.derived import MEMO_SQL
 _SPACE = (
     r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
-_INLINE = _SPACE.replace(r"\x09-\x0d", r"\x09\x0b-\x0d")
 _LATIN = r"A-Za-z\x{130}\x{212a}"
 _HANGUL = r"\x{ac00}-\x{d7a3}"
 _DIGIT = (

@@ -527,13 +527,16 @@ def _answers(graded: bool) -> Query:
     return run
 
 
+def document_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Index entries of all documents."""
+    chunks = split_pages(_document_pages(spark, folder), SEMANTIC, max_pages=1)
+    return index_entries(embed_chunks(chunks, HashingEmbedder())).drop("source_bucket")
+
+
 def retrieve_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Flagship: documents to chunks to vectors to the three nearest per question."""
     embedder = HashingEmbedder()
-    chunks = split_pages(_document_pages(spark, folder), SEMANTIC, max_pages=1)
-    index = stage_table(
-        index_entries(embed_chunks(chunks, embedder)).drop("source_bucket"), "document-index"
-    )
+    index = stage_table(document_index(spark, folder), "document-index")
     found = retrieve(index, embed_questions(_items(spark, folder), embedder), 3)
     return found.select(
         "question_id",

@@ -3,10 +3,6 @@
 from __future__ import annotations
 
 RAW_FILES = "path string, modificationTime timestamp, length long, content binary"
-PAGES = (
-    "source_file string, file_type string, page_num int, text string, method string, "
-    "elements_count int"
-)
 CHUNK_FIELDS = (
     "chunk_id:int,page_num:int,text:string,char_count:int,split_method:string,language:string,"
     "metadata:map<string,string>,has_structure:boolean,structure_types:array<string>,warning:string"

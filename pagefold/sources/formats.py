@@ -15,6 +15,7 @@ from xml.etree import ElementTree
 import pandas as pd
 
 from pagefold.sources.compound import read_stream
+from pagefold.sources.folder import LEGACY_SUFFIXES
 
 Page = tuple[list[str], str]
 
@@ -155,9 +156,9 @@ def _number(text: str, is_date: bool) -> str:
     return str(float(text)) if re.search(r"[.eE]", text) else str(int(text))
 
 
-def _column(reference: str) -> int:
+def _column(cell: str) -> int:
     number = 0
-    for letter in re.match(r"[A-Z]+", reference).group(0):
+    for letter in re.match(r"[A-Z]+", cell).group(0):
         number = number * 26 + ord(letter) - ord("A") + 1
     return number
 
@@ -239,7 +240,5 @@ READERS = {
     "xlsx": read_xlsx,
     "hwp": read_hwp,
     "hwpx": read_hwpx,
-    "doc": unsupported,
-    "ppt": unsupported,
-    "xls": unsupported,
+    **{suffix: unsupported for suffix in LEGACY_SUFFIXES},
 }

@@ -49,20 +49,18 @@ def test_merge_golden(spark):
 
 
 def test_merge_random(spark):
-    def reference(spans):
+    def resolved(spans):
         kept = []
         for span in sorted(spans, key=lambda s: (s[0], -s[1])):
-            for i, other in enumerate(kept):
-                if span[0] >= other[0] and span[1] <= other[1]:
-                    if span[3] > other[3]:
-                        kept[i] = span
-                    break
-                if span[0] < other[1] and span[1] > other[0]:
-                    if span[1] - span[0] > other[1] - other[0]:
-                        kept[i] = span
-                    break
-            else:
+            rivals = [k for k in kept if k[0] < span[1] and span[0] < k[1]]
+            assert len(rivals) <= 1
+            if not rivals:
                 kept.append(span)
+                continue
+            inside = span[1] <= rivals[0][1]
+            weights = [x[3] if inside else x[1] - x[0] for x in (span, rivals[0])]
+            if weights[0] > weights[1]:
+                kept[kept.index(rivals[0])] = span
         return kept
 
     rng = random.Random(2)
@@ -73,7 +71,7 @@ def test_merge_random(spark):
             start = rng.randint(0, 30)
             case.append((start, start + rng.randint(1, 12), f"T{j}", rng.choice((0.5, 0.7, 0.9))))
         cases.append(case)
-    assert merge(spark, cases) == [reference(c) for c in cases]
+    assert merge(spark, cases) == [resolved(c) for c in cases]
 
 
 def test_mask_and_findings(spark):
@@ -158,22 +156,18 @@ def test_token_windows(spark):
 def test_sentence_batches(column):
     import re
 
-    def reference(text):
-        parts, batch = [], ""
-        for i, piece in enumerate(re.split(r"([.!?]\s+|\n\n)", text)):
-            if i % 2:
-                parts.append((piece, False))
-                continue
-            piece = piece.strip()
-            if not piece:
-                continue
-            if len(batch) + len(piece) > 300:
-                if batch:
-                    parts.append((batch, True))
-                batch = piece
-            else:
-                batch = f"{batch} {piece}" if batch else piece
-        return parts + ([(batch, True)] if batch else [])
+    def expected(text):
+        parts, batch, at = [], "", 0
+        for mark in [*re.finditer(r"[.!?]\s+|\n\n", text), None]:
+            piece = text[at : mark.start() if mark else None].strip()
+            if piece and batch and len(batch) + len(piece) > 300:
+                parts.append((batch, True))
+                batch = ""
+            batch = " ".join(filter(None, (batch, piece)))
+            if mark:
+                parts.append((mark.group(), False))
+                at = mark.end()
+        return parts + [(batch, True)] * bool(batch)
 
     rng = random.Random(4)
     texts = [
@@ -181,4 +175,4 @@ def test_sentence_batches(column):
         for _ in range(60)
     ] + ["", "a", ". "]
     for text, parts in zip(texts, column(sentence_batches, texts)):
-        assert [(p["text"], p["correct"]) for p in parts] == reference(text)
+        assert [(p["text"], p["correct"]) for p in parts] == expected(text)
