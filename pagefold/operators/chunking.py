@@ -16,6 +16,7 @@ from pagefold.functions.splitting import fixed_windows, merge_sentences, sentenc
 from pagefold.functions.structure import structure_types
 from pagefold.functions.text import is_blank
 from pagefold.operators.rows import unnest
+from pagefold.session import stage_table
 from pagefold.settings import Settings
 
 METHOD_NAMES = {"semantic": "semantic", "recursive": "langchain", "basic": "basic"}
@@ -132,6 +133,9 @@ def split_pages(
         if splitter is not None:
             rows = rows.withColumn("_parts", sentence_list(text, F.col("language"), splitter))
             parts = F.col("_parts")
+    if max_pages != 1 and (splitter is not None or detector is not None):
+        # Numbering reads the rows twice; a model must not run twice for that.
+        rows = stage_table(rows, "sentences")
     rows = rows.withColumn("pieces", chunk_texts(text, settings, parts)).drop("_parts")
     if settings.strategy == "semantic":
         # A blank text has no metadata and no structure.

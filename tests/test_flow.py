@@ -90,3 +90,23 @@ def test_stream_indexes_each_file_once(spark, tmp_path):
     assert run() == first
     (raw / "later.txt").write_text("나중에 온 문서입니다.", encoding="utf-8")
     assert run() == first + 1
+
+
+def test_models_run_once_per_page(spark, tmp_path):
+    """Numbering looks at the pages twice, but a recogniser sees every page once."""
+    from pagefold.backends.base import EntityRecognizer
+
+    seen = spark.sparkContext.accumulator(0)
+
+    class Counting(EntityRecognizer):
+        def recognize(self, texts):
+            seen.add(len(texts))
+            return [[(0, 2, t[:2], "PS", 0.9)] for t in texts]
+
+    pages = [("a", p, "본문 문장입니다.") for p in range(1, 31)]
+    frame = table_pages(spark.createDataFrame(pages, "d string, p int, text string"), F.col("d"), F.col("p"))
+    chunks = ingest_pages(frame, Settings(privacy=True, pages_per_block=4), entities=Counting())
+    rows = chunks.orderBy("chunk_id").collect()
+    assert [r["chunk_id"] for r in rows] == list(range(30))
+    assert all(r["text"] == "[PERSON] 문장입니다." for r in rows)
+    assert seen.value == 30
