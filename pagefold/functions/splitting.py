@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagefold.functions.text import UNICODE_SPACE, strip
+from pagefold.functions.kernels import chunk_bounds_column
+from pagefold.functions.text import UNICODE_SPACE, let, strip
 
 # Sentence terminals (ASCII and full-width).
 TERMINALS = ".!?。！？"
@@ -40,58 +41,17 @@ def fixed_windows(col: Column, size: int, overlap: int) -> Column:
 
 
 def merge_sentences(parts: Column, size: int, overlap: int) -> Column:
-    """Greedy merge of sentences into chunks, as one higher-order fold.
+    """Greedy merge of sentences into chunks of ``size``, sharing up to ``overlap``.
 
-    State: finished chunks, open sentences and their summed length. When a sentence would
-    exceed ``size`` the open ones are emitted and their longest suffix within ``overlap``
-    is carried over. Joining spaces do not count.
+    Only the lengths leave the JVM; the bounds that come back cut and join the sentences here.
+    ``parts`` is used twice, so it should be a column and not an expression.
     """
+    bounds = chunk_bounds_column(F.transform(parts, F.length), size, overlap)
+    both = F.struct(parts.alias("parts"), bounds.alias("bounds"))
 
-    def suffix(open_parts: Column) -> Column:
-        start = F.struct(
-            F.array().cast("array<string>").alias("keep"),
-            F.lit(0).alias("used"),
-            F.lit(False).alias("stop"),
+    def cut(row: Column) -> Column:
+        return F.transform(
+            row["bounds"], lambda b: F.array_join(F.slice(row["parts"], b[0], b[1]), " ")
         )
 
-        def step(acc: Column, s: Column) -> Column:
-            fits = ~acc["stop"] & (acc["used"] + F.length(s) <= overlap)
-            return F.struct(
-                F.when(fits, F.concat(F.array(s), acc["keep"])).otherwise(acc["keep"]).alias("keep"),
-                F.when(fits, acc["used"] + F.length(s)).otherwise(acc["used"]).alias("used"),
-                (~fits).alias("stop"),
-            )
-
-        return F.aggregate(F.reverse(open_parts), start, step)
-
-    zero = F.struct(
-        F.array().cast("array<string>").alias("done"),
-        F.array().cast("array<string>").alias("open"),
-        F.lit(0).alias("used"),
-    )
-
-    def add(acc: Column, s: Column) -> Column:
-        over = (acc["used"] + F.length(s) > size) & (F.size(acc["open"]) > 0)
-        kept = suffix(acc["open"])
-        return F.when(
-            over,
-            F.struct(
-                F.concat(acc["done"], F.array(F.array_join(acc["open"], " "))).alias("done"),
-                F.concat(kept["keep"], F.array(s)).alias("open"),
-                (kept["used"] + F.length(s)).alias("used"),
-            ),
-        ).otherwise(
-            F.struct(
-                acc["done"].alias("done"),
-                F.concat(acc["open"], F.array(s)).alias("open"),
-                (acc["used"] + F.length(s)).alias("used"),
-            )
-        )
-
-    def finish(acc: Column) -> Column:
-        return F.when(
-            F.size(acc["open"]) > 0,
-            F.concat(acc["done"], F.array(F.array_join(acc["open"], " "))),
-        ).otherwise(acc["done"])
-
-    return F.aggregate(parts, zero, add, finish)
+    return let(both, cut)

@@ -54,11 +54,11 @@ def sentence_list(text: Column, language: Column, splitter: SentenceSplitter | N
 def chunk_texts(text: Column, settings: Settings, parts: Column | None = None) -> Column:
     """Chunk texts of one page; a blank page gives one empty chunk.
 
-    ``parts`` are the sentences to merge, found by rule unless given.
+    ``parts`` are the sentences that the semantic strategy merges.
     """
     size, overlap = settings.chunk_size, settings.chunk_overlap
     if settings.strategy == "semantic":
-        pieces = merge_sentences(sentences(text) if parts is None else parts, size, overlap)
+        pieces = merge_sentences(parts, size, overlap)
     elif settings.strategy == "recursive":
         # Not inside the CASE below: a Python function runs for every row anyway.
         pieces = recursive_chunks(text, size, overlap)
@@ -130,9 +130,8 @@ def split_pages(
         rows = rows.withColumn(
             "language", F.when(~is_blank(text), detected_language(text, detector))
         )
-        if splitter is not None:
-            rows = rows.withColumn("_parts", sentence_list(text, F.col("language"), splitter))
-            parts = F.col("_parts")
+        rows = rows.withColumn("_parts", sentence_list(text, F.col("language"), splitter))
+        parts = F.col("_parts")
     if max_pages != 1 and (splitter is not None or detector is not None):
         # Numbering reads the rows twice; a model must not run twice for that.
         rows = stage_table(rows, "sentences")
