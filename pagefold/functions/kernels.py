@@ -1,8 +1,8 @@
-"""Linear-time helpers for order-dependent steps, over the numbers of one text.
+"""The order-dependent step of splitting, over the numbers of one text.
 
 A higher-order fold copies its accumulator at every element, which is quadratic in a large
-text. These helpers see only lengths and offsets (masking also the text), one Arrow batch at
-a time; cutting and joining strings stays in the JVM.
+text. The helper is linear and sees only lengths, one Arrow batch at a time; cutting and
+joining strings stays in the JVM.
 """
 
 from __future__ import annotations
@@ -36,64 +36,9 @@ def chunk_bounds(lengths: Sequence[int], size: int, overlap: int) -> list[tuple[
     return bounds
 
 
-def kept_spans(
-    starts: Sequence[int], ends: Sequence[int], scores: Sequence[float], cover_all: bool
-) -> list[tuple[int, int, int]]:
-    """Number (from 1), start and end of every kept span; spans come in order."""
-    kept: list[tuple[int, int, int]] = []
-    winner = low = high = -1
-    for i, (start, end, score) in enumerate(zip(starts, ends, scores)):
-        inside = winner >= 0 and start >= low and end <= high
-        meets = winner >= 0 and start < high and end > low
-        if not (inside or meets):
-            if winner >= 0:
-                kept.append((winner + 1, low, high))
-            winner, low, high = i, start, end
-            continue
-        wins = score > scores[winner] if inside else end - start > high - low
-        if wins:
-            winner = i
-        if cover_all:
-            high = max(high, end)
-        elif wins:
-            low, high = start, end
-    if winner >= 0:
-        kept.append((winner + 1, low, high))
-    return kept
-
-
-def masked(text: str, starts: Sequence[int], ends: Sequence[int], types: Sequence[str]) -> str:
-    parts, at = [], 0
-    for start, end, kind in zip(starts, ends, types):
-        parts += (text[at:start], f"[{kind}]")
-        at = end
-    return "".join((*parts, text[at:]))
-
-
 def chunk_bounds_column(lengths: Column, size: int, overlap: int) -> Column:
     @F.pandas_udf("array<array<int>>")
     def run(rows: pd.Series) -> pd.Series:
         return rows.map(lambda r: None if r is None else chunk_bounds(r.tolist(), size, overlap))
 
     return run(lengths)
-
-
-def kept_spans_column(starts: Column, ends: Column, scores: Column, cover_all: bool) -> Column:
-    @F.pandas_udf("array<array<int>>")
-    def run(starts: pd.Series, ends: pd.Series, scores: pd.Series) -> pd.Series:
-        rows = zip(starts, ends, scores)
-        return pd.Series(
-            [None if a is None else kept_spans(a.tolist(), b.tolist(), c.tolist(), cover_all) for a, b, c in rows],
-            dtype=object,
-        )
-
-    return run(starts, ends, scores)
-
-
-def masked_column(text: Column, starts: Column, ends: Column, types: Column) -> Column:
-    @F.pandas_udf("string")
-    def run(text: pd.Series, starts: pd.Series, ends: pd.Series, types: pd.Series) -> pd.Series:
-        rows = zip(text, starts, ends, types)
-        return pd.Series([None if t is None else masked(t, a, b, c) for t, a, b, c in rows], dtype=object)
-
-    return run(text, starts, ends, types)

@@ -176,3 +176,36 @@ def test_sentence_batches(column):
     ] + ["", "a", ". "]
     for text, parts in zip(texts, column(sentence_batches, texts)):
         assert [(p["text"], p["correct"]) for p in parts] == expected(text)
+
+
+def test_many_spans_in_one_text(spark):
+    """Offsets are placed block by block; the result must not show it."""
+    from pagefold.functions.spans import BLOCK, pattern_spans
+
+    text = "가 " + " ".join(f"n{i} word{i}" for i in range(5 * BLOCK))
+    frame = spark.createDataFrame([(text,), ("n1 x",), ("none",)], "text string").withColumn(
+        "spans", pattern_spans(F.col("text"), r"n[0-9]+", "N", 0.5)
+    )
+    rows = frame.withColumn("merged", merge_spans(F.col("spans"))).select(
+        "*", mask_text(F.col("text"), F.col("merged")).alias("masked")
+    ).collect()
+    assert [len(r["merged"]) for r in rows] == [5 * BLOCK, 1, 0]
+    assert all(r["text"][s["start"] : s["end"]] == s["text"] for r in rows for s in r["merged"])
+    assert rows[0]["masked"] == "가 " + " ".join(f"[N] word{i}" for i in range(5 * BLOCK))
+    assert [r["masked"] for r in rows[1:]] == ["[N] x", "none"]
+    rng = random.Random(9)
+    case = []
+    for j in range(6 * BLOCK):
+        start = rng.randint(0, 3000)
+        case.append((start, start + rng.randint(1, 12), f"T{j}", rng.choice((0.5, 0.7, 0.9))))
+    for cover_all in (False, True):
+        (long,) = merge(spark, [case], cover_all)
+        # The same spans in runs that touch nothing outside: cut where nothing overlaps.
+        ordered, runs, high = sorted(case, key=lambda s: (s[0], -s[1])), [], -1
+        for span in ordered:
+            if span[0] >= high:
+                runs.append([])
+            runs[-1].append(span)
+            high = max(high, span[1])
+        assert max(map(len, runs)) <= BLOCK
+        assert long == [s for out in merge(spark, runs, cover_all) for s in out]
