@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagefold.llm import decontamination, mixing, sharding, simhash
+from pagefold.llm import decontamination, mixing, sharding, simhash, toxicity
 from pagefold.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.group_report(load_table(spark, folder, "documents"))
 
 
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_report(load_table(spark, folder, "documents"), load_table(spark, folder, "labels"))
+
+
 def kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_report(load_table(spark, folder, "documents"))
 
@@ -34,5 +38,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_mixing": mixture,
     "op5_decontamination": decontamination_hits,
     "op6_simhash": simhash_groups,
+    "op9_toxicity": toxicity_scores,
     "op10_sharding": kd_shards,
 }
