@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagefold.llm import decontamination, mixing, sharding, simhash, toxicity
+from pagefold.llm import decontamination, mixing, quality_rules, sharding, simhash, toxicity
 from pagefold.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(load_table(spark, folder, "documents"))
 
 
+def quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.rule_report(load_table(spark, folder, "documents"))
+
+
 def decontamination_hits(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.overlap_report(
         load_table(spark, folder, "documents"), load_table(spark, folder, "benchmark")
@@ -36,6 +40,7 @@ def kd_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_mixing": mixture,
+    "op2_quality_rules": quality_votes,
     "op5_decontamination": decontamination_hits,
     "op6_simhash": simhash_groups,
     "op9_toxicity": toxicity_scores,

@@ -210,21 +210,15 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     each = rows.select("toxic", F.explode_outer(words).alias("word")).where(F.length("word") > 2)
     whole = each.select("toxic", F.lit(True).alias("whole"), F.col("word").alias("entry"), F.lit(1).alias("n"))
     hold = rows.select("toxic", words.alias("words"))
-    begun = [
-        hold.select(
-            "toxic",
-            F.explode_outer(
-                F.array_distinct(
-                    F.transform(
-                        F.filter("words", lambda w, k=k: F.length(w) > k), lambda w, k=k: F.substring(w, 1, k)
-                    )
-                )
-            ).alias("entry"),
-        ).select("toxic", F.lit(False).alias("whole"), "entry", F.lit(1).alias("n"))
-        for k in STEMS
-    ]
-    for stems in begun:
-        whole = whole.unionAll(stems.where(F.col("entry").isNotNull()))
+
+    def stems_of(k: int) -> DataFrame:
+        longer = F.filter("words", lambda w: F.length(w) > k)
+        stems = F.array_distinct(F.transform(longer, lambda w: F.substring(w, 1, k)))
+        made = hold.select("toxic", F.explode_outer(stems).alias("entry"))
+        return made.select("toxic", F.lit(False).alias("whole"), "entry", F.lit(1).alias("n"))
+
+    for k in STEMS:
+        whole = whole.unionAll(stems_of(k).where(F.col("entry").isNotNull()))
     t, c = F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)), F.sum(F.when(F.col("toxic") == 1, 0).otherwise(1))
     seen = whole.groupBy("entry", "whole").agg(t.alias("t"), c.alias("c")).where(F.col("t") >= max(4, bad // 100))
     evidence = F.log((F.col("t") + 0.5) / (bad + 1) / ((F.col("c") + 0.5) / (good + 1)))
