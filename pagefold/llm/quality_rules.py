@@ -23,6 +23,8 @@ def rules() -> dict[str, tuple[Column, Column]]:
     enough = F.col("n_words") >= 20
     return {
         "symbols": (F.col("n_symbols") > 0.3 * words, F.col("n_symbols") < 0.1 * words),
+        "symbol_density": (F.col("n_symbols") > 0.04 * chars, F.col("n_symbols") < 0.01 * chars),
+        "other_characters": (F.col("n_other") > 0.2 * chars, F.col("n_other") < 0.12 * chars),
         "marks": (F.col("n_marks") > 0.3 * words, F.col("n_marks") < 0.1 * words),
         "capitals": (F.col("n_upper") > 0.5 * letters, F.col("n_upper") < 0.25 * letters),
         "lines": (F.col("n_dup_lines") > 0.3 * lines, F.col("n_dup_lines") < 0.1 * lines),

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 BLANKS = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ASCII = bytes(range(128))
 LETTERS = CAPITALS + CAPITALS.lower()
 WINDOW = 5
 
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-    "n_lines", "n_distinct", "n_upper", "n_letters", "n_marks", "longest_run",
+    "n_lines", "n_distinct", "n_upper", "n_letters", "n_other", "n_marks", "longest_run",
 )
 
 
@@ -40,7 +41,7 @@ def repeated(words: list[bytes], window: int = WINDOW) -> int:
 def text_counts(text: bytes) -> tuple[int, ...]:
     """The numbers named in ``COUNTS``, of UTF-8 text; ``bytes`` splits at ASCII blanks only.
 
-    Capitals and letters are those of ASCII.
+    Capitals and letters are those of ASCII; ``n_other`` are its characters that are neither blank nor letter.
     """
     words = text.split()
     bare = text.translate(None, BLANKS)
@@ -58,6 +59,7 @@ def text_counts(text: bytes) -> tuple[int, ...]:
         len(set(words)),
         len(bare) - len(bare.translate(None, CAPITALS)),
         len(bare) - len(bare.translate(None, LETTERS)),
+        len(bare.translate(None, LETTERS)) - len(bare.translate(None, ASCII)),
         bare.count(b"!") + bare.count(b"?"),
         max((b - a for a, b in zip(edges, edges[1:], strict=False)), default=0),
     )

@@ -6,38 +6,44 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GOOD, BAD, NONE = 1, 0, -1
+GOOD, BAD, NONE = 1, -1, 0
 ROUNDS = 200
 
 
-def posteriors(patterns: list[tuple[list[int], int]], prior: float = 0.85) -> tuple[list[float], list[list[float]]]:
-    """Posterior quality of each vote pattern (votes, times seen), and the voters' two accuracies.
+# How voters are taken to vote before any text is seen: bad, abstain, good.
+ON_GOOD = (0.02, 0.18, 0.80)
+ON_BAD = (0.35, 0.20, 0.45)
+PULL = 0.05
 
-    A voter that does not abstain votes rightly on good texts with one probability and on bad ones
-    with another; both are estimated, from 0.9 and 0.7, with a weak pull towards them, which also
-    keeps the two classes from changing places. Abstaining says nothing. Order does not matter.
+
+def posteriors(patterns: list[tuple[list[int], int]], prior: float = 0.85) -> tuple[list[float], list]:
+    """Posterior quality of each vote pattern (votes, times seen), and how each voter votes per class.
+
+    Two classes of texts; in each, a voter votes bad, abstains or votes good with rates of its own.
+    A voter is accurate where its rates differ between the classes. Rates start at ``ON_GOOD`` and
+    ``ON_BAD`` and are drawn back to them by ``PULL`` of all texts, which keeps the classes from
+    changing places and single voters from certainty. The order of patterns does not matter.
     """
     if not patterns:
         return [], []
-    votes = np.array([v for v, _ in patterns], dtype=int).reshape(len(patterns), -1)
     seen = np.array([n for _, n in patterns], dtype=float)
-    yes, no = votes == GOOD, votes == BAD
-    on_good, on_bad = np.full(votes.shape[1], 0.9), np.full(votes.shape[1], 0.7)
-    share, pull = prior, 0.02 * seen.sum() / 10 + 2.0
-    quality = np.full(len(patterns), prior)
+    cast = np.array([v for v, _ in patterns], dtype=int).reshape(len(patterns), -1)
+    one = np.stack([cast == BAD, cast == NONE, cast == GOOD], axis=2).astype(float)
+    voters = one.shape[1]
+    start = [np.tile(ON_BAD, (voters, 1)), np.tile(ON_GOOD, (voters, 1))]
+    rates, share, pull = list(start), prior, PULL * seen.sum() + 2.0
+    quality = np.full(len(patterns), -1.0)
     for _ in range(ROUNDS):
-        good = np.log(share) + yes @ np.log(on_good) + no @ np.log(1 - on_good)
-        bad = np.log(1 - share) + yes @ np.log(1 - on_bad) + no @ np.log(on_bad)
-        fresh = 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
+        bad, good = (np.einsum("pvc,vc->p", one, np.log(r)) for r in rates)
+        fresh = 1 / (1 + np.exp(np.clip(bad + np.log(1 - share) - good - np.log(share), -700, 700)))
         done = np.abs(fresh - quality).max() < 1e-12
         quality = fresh
         if done:
             break
-        w, u = seen * quality, seen * (1 - quality)
-        on_good = (w @ yes + 0.9 * pull) / (w @ (yes | no) + pull)
-        on_bad = (u @ no + 0.7 * pull) / (u @ (yes | no) + pull)
-        share = float(np.clip((w.sum() + prior * pull) / (seen.sum() + pull), 0.02, 0.98))
-    return [round(float(q), 9) for q in quality], [on_good.tolist(), on_bad.tolist()]
+        for k, w in enumerate((seen * (1 - quality), seen * quality)):
+            rates[k] = (np.einsum("p,pvc->vc", w, one) + pull * start[k]) / (w.sum() + pull)
+        share = float(np.clip(((seen * quality).sum() + prior * pull) / (seen.sum() + pull), 0.02, 0.98))
+    return [round(float(q), 9) for q in quality], [r.tolist() for r in rates]
 
 
 def votes(bad: Column, good: Column) -> Column:
