@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagefold.llm import decontamination, mixing, quality_classifier, quality_rules, sharding, simhash, toxicity
+from pagefold.llm import decontamination, mixing, pii, quality_classifier, quality_rules, sharding, simhash, toxicity
 from pagefold.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.rule_report(load_table(spark, folder, "documents"))
 
 
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.spans_report(load_table(spark, folder, "documents"))
+
+
 def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.classify(load_table(spark, folder, "documents"))
 
@@ -45,6 +49,7 @@ def kd_shards(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op1_mixing": mixture,
     "op2_quality_rules": quality_votes,
+    "op3_pii": personal_data,
     "op4_quality_classifier": quality_scores,
     "op5_decontamination": decontamination_hits,
     "op6_simhash": simhash_groups,
