@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagefold.llm import decontamination, mixing, pii, quality_classifier, quality_rules, sharding, simhash, substring, toxicity
+from pagefold.llm import decontamination, mixing, pii, quality_classifier, quality_rules, sharding, simhash, substring, token_counts, toxicity
 from pagefold.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return substring.removal_report(load_table(spark, folder, "documents"))
 
 
+def edited_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.edit_report(load_table(spark, folder, "documents"))
+
+
 def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_report(load_table(spark, folder, "documents"), load_table(spark, folder, "labels"))
 
@@ -58,6 +62,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op5_decontamination": decontamination_hits,
     "op6_simhash": simhash_groups,
     "op7_substring": repeated_passages,
+    "op8_token_counts": edited_token_counts,
     "op9_toxicity": toxicity_scores,
     "op10_sharding": kd_shards,
 }
