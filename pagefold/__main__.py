@@ -70,7 +70,7 @@ def main(arguments: list[str] | None = None) -> None:
         drop_staged(spark)
         return
     if args.command == "ask":
-        index = VectorIndex(spark, args.index).read()
+        index = VectorIndex(spark, args.index)
 
         def answer(texts: tuple[str, ...]) -> None:
             frame = questions_frame(spark, texts)

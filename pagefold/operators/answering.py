@@ -12,7 +12,7 @@ from pagefold.backends.base import Embedder, Generator
 from pagefold.functions.text import is_blank, preview
 from pagefold.operators.embedding import embed_column
 from pagefold.operators.retrieval import top_k_with_bound
-from pagefold.operators.vector_index import bucket_of
+from pagefold.operators.vector_index import VectorIndex, bucket_of
 from pagefold.settings import Settings
 
 # The answer when nothing usable was found.
@@ -31,23 +31,24 @@ def embed_questions(
 
 
 def retrieve(
-    index: DataFrame, questions: DataFrame, k: int, settings: Settings | None = None
+    index: DataFrame | VectorIndex, questions: DataFrame, k: int, settings: Settings | None = None
 ) -> DataFrame:
     """Nearest entries of every question with their text and position.
 
     The ranking reads ids and vectors only. The texts of the few entries that remain are
-    fetched by joining on the id; in a stored index the folder follows from the id, so only
-    the folders of those entries are read.
+    fetched by joining on the id. In a stored index the folder follows from the id and the
+    index's own number of buckets, so only the folders of those entries are read.
     """
     settings = settings or Settings()
-    asked = questions.where(F.col("embedding").isNotNull())
-    ranked, small = top_k_with_bound(index, asked, k, settings)
+    layout = index.layout() if isinstance(index, VectorIndex) else None
+    table = index.read() if isinstance(index, VectorIndex) else index
+    ranked, small = top_k_with_bound(table, questions, k, settings)
     keys = ["id"]
-    if "source_bucket" in index.columns:
+    if layout is not None:
         keys.append("source_bucket")
         document = F.regexp_replace("id", "_[0-9]+$", "")
-        ranked = ranked.withColumn("source_bucket", bucket_of(document, settings.index_buckets))
-    entries = index.select(*keys, "document", "source_file", "page_num")
+        ranked = ranked.withColumn("source_bucket", bucket_of(document, layout.buckets))
+    entries = table.select(*keys, "document", "source_file", "page_num")
     found = entries.join(F.broadcast(ranked) if small else ranked, keys)
     return found.drop("source_bucket")
 
@@ -130,7 +131,7 @@ def generate_column(question: Column, context: Column, generator: Generator) ->
 
 
 def answer_questions(
-    index: DataFrame,
+    index: DataFrame | VectorIndex,
     questions: DataFrame,
     embedder: Embedder,
     generator: Generator,

@@ -1,27 +1,30 @@
 """Exact nearest neighbours: the ``k`` entries closest to every question.
 
 Distance is squared Euclidean, summed in double precision; ties go to the smaller id. No pair
-of question and entry ever becomes a row. Every task compares its entries with a block of
-questions as matrices and passes on its own ``k`` best per question; only those meet in the
-final ranking.
+of question and entry ever becomes a row, and the vectors of the index never move. Questions are
+dealt into blocks of bounded bytes; for each block the index is scanned once, every task compares
+its entries with it as matrices and passes on its own ``k`` best per question, and only those meet
+in the final ranking.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from pagefold.session import stage_table
 from pagefold.settings import Settings
 
-_ROWS_PER_BLOCK = 4096
-_FEW = 64
+# Bytes of the matrix of distances that a task holds at a time, and questions compared with one scan.
+_MATRIX_BYTES = 32 * 1024 * 1024
+_QUESTIONS_PER_SCAN = 4096
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -41,8 +44,9 @@ class _Best:
 
     def add(self, pick: Callable[[np.ndarray], np.ndarray], vectors: np.ndarray) -> None:
         """Offer entries; ``pick`` returns the ids at the given positions, for candidates only."""
-        for at in range(0, len(vectors), _ROWS_PER_BLOCK):
-            block = vectors[at : at + _ROWS_PER_BLOCK].astype(np.float64)
+        step = max(1, _MATRIX_BYTES // (8 * max(1, len(self.questions))))
+        for at in range(0, len(vectors), step):
+            block = vectors[at : at + step].astype(np.float64)
             self._add_block(lambda positions, at=at: pick(positions + at), block)
 
     def _add_block(self, pick: Callable[[np.ndarray], np.ndarray], vectors: np.ndarray) -> None:
@@ -50,8 +54,9 @@ class _Best:
         rough = squares[None, :] + self.squares[:, None] - 2.0 * (self.questions @ vectors.T)
         # The product form rounds; whatever could still be among the k best is measured exactly.
         slack = 1e-9 * (1.0 + squares.max(initial=0.0) + self.squares)
-        for q, row in enumerate(rough):
-            limit = np.inf
+        worst = np.array([d[-1] if len(d) == self.k else np.inf for d in self.distances])
+        for q in np.flatnonzero(rough.min(axis=1, initial=np.inf) <= worst + 2 * slack):
+            row, limit = rough[q], np.inf
             if len(self.distances[q]) == self.k:
                 limit = self.distances[q][-1]
             if len(row) > self.k:
@@ -118,83 +123,54 @@ def _broadcast_top(index: DataFrame, rows: list, k: int, key: T.DataType) -> Dat
     return _rank(usable.mapInArrow(scan, schema), k)
 
 
-def _grid_top(
-    index: DataFrame, questions: DataFrame, k: int, question_blocks: int, index_blocks: int
-) -> DataFrame:
-    """The same ranking with neither side held whole anywhere.
-
-    Questions and entries are dealt into blocks, and every pair of blocks is one cell: each
-    question is copied to every block of entries and each entry to every block of questions,
-    so a cell holds bounded shares of both, whatever the values.
-    """
-    id_type = index.schema["id"].dataType.simpleString()
-    key_type = questions.schema["question_id"].dataType.simpleString()
-
-    def dealt(rows: DataFrame, key: str, own: str, blocks: int, other: str, copies: int) -> DataFrame:
-        every = F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))
-        return rows.select(
-            key,
-            "embedding",
-            F.pmod(F.xxhash64(key), F.lit(blocks)).cast("long").alias(own),
-            F.explode(every).alias(other),
-        )
-
-    left = dealt(questions, "question_id", "q_block", question_blocks, "e_block", index_blocks)
-    right = dealt(index, "id", "e_block", index_blocks, "q_block", question_blocks)
-
-    def cell(asked: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-        columns = ["question_id", "id", "distance"]
-        if asked.empty or entries.empty:
-            return pd.DataFrame(columns=columns)
-        best = _Best(np.stack(asked["embedding"].to_list()).astype(np.float64), k)
-        ids = entries["id"].to_numpy(dtype=object)
-        best.add(lambda at: ids[at], np.stack(entries["embedding"].to_list()))
-        owners, ids, distances = best.rows()
-        return pd.DataFrame(
-            {"question_id": asked["question_id"].to_numpy()[owners], "id": ids, "distance": distances}
-        )
-
-    best = (
-        left.groupBy("q_block", "e_block")
-        .cogroup(right.groupBy("q_block", "e_block"))
-        .applyInPandas(cell, f"question_id {key_type}, id {id_type}, distance double")
-    )
-    return _rank(best, k)
-
-
 def top_k(
     index: DataFrame, questions: DataFrame, k: int, settings: Settings | None = None
 ) -> DataFrame:
     """``question_id, id, distance, rank`` of the ``k`` nearest entries of every question.
 
-    ``index`` has ``id, embedding`` and ``questions`` has ``question_id, embedding``. Questions
-    are normally few: they are fetched with a limit that follows from the size bound, and if
-    all of them are within it they are broadcast and the index is scanned once, without a
-    shuffle of its vectors. Past the bound both sides are dealt into a grid of blocks.
+    ``index`` has ``id, embedding`` and ``questions`` has ``question_id, embedding``. The dimension
+    is that of the first question by id. Questions and entries without a vector, or with one of
+    another dimension, take no part; ``left_out`` counts them.
     """
     return top_k_with_bound(index, questions, k, settings)[0]
 
 
+def left_out(index: DataFrame, questions: DataFrame, dimension: int) -> DataFrame:
+    """``side, rows`` of what a ranking at this dimension leaves out."""
+    other = ~F.coalesce(F.size("embedding") == dimension, F.lit(False))
+    sides = [
+        rows.where(other).agg(F.count("*").alias("rows")).select(F.lit(side).alias("side"), "rows")
+        for side, rows in (("index", index), ("questions", questions))
+    ]
+    return sides[0].unionAll(sides[1])
+
+
 def top_k_with_bound(
     index: DataFrame, questions: DataFrame, k: int, settings: Settings | None = None
 ) -> tuple[DataFrame, bool]:
-    """The ranking, and whether it is known to be small enough to broadcast."""
+    """The ranking, and whether it is known to be small enough to broadcast.
+
+    Question vectors may come from a model, so they are stored once and read from there.
+    """
     settings = settings or Settings()
-    asked = questions.select("question_id", "embedding")
-    key = asked.schema["question_id"].dataType
-    # A handful is the usual case and one fetch; it also tells the dimension.
-    probe = asked.limit(_FEW).collect()
-    if not probe:
+    key = questions.schema["question_id"].dataType
+    # A filter before would be pushed down and run a model once more.
+    asked = stage_table(questions.select("question_id", "embedding"), "questions")
+    asked = asked.where(F.col("embedding").isNotNull())
+    first = asked.orderBy("question_id").select(F.size("embedding")).first()
+    if first is None:
         names = f"question_id {key.simpleString()}, id {index.schema['id'].dataType.simpleString()}"
         empty = f"{names}, distance double, rank int"
         return index.sparkSession.createDataFrame([], empty), True
-    row_bytes = 8 * len(probe[0]["embedding"]) + 256
-    most = max(1, settings.broadcast_bytes // row_bytes)
-    rows = probe if len(probe) < _FEW else asked.limit(most + 1).collect()
-    if len(rows) <= most:
-        small = len(rows) * k * 256 <= settings.broadcast_bytes
-        return _broadcast_top(index, rows, k, key), small
-    # Bytes moved fall with the size of a cell; a cell takes one block of either side in memory.
-    question_blocks = -(-asked.count() // most)
-    index_blocks = max(1, -(-index.count() // (4 * most)))
-    return _grid_top(index, asked, k, question_blocks, index_blocks), False
+    dimension = first[0]
+    usable = index.where(F.size("embedding") == dimension)
+    asked = asked.where(F.size("embedding") == dimension)
+    row_bytes = 8 * dimension + 256
+    most = max(1, min(_QUESTIONS_PER_SCAN, settings.broadcast_bytes // row_bytes))
+    count = asked.count()
+    # Dealt by hash, a block may exceed its share a little; half as many again keep it in bounds.
+    blocks = 1 if count <= most else -(-3 * count // (2 * most))
+    dealt = F.pmod(F.xxhash64("question_id"), F.lit(blocks))
+    parts = [asked if blocks == 1 else asked.where(dealt == n) for n in range(blocks)]
+    scans = [_broadcast_top(usable, rows, k, key) for part in parts if (rows := part.collect())]
+    return reduce(DataFrame.unionAll, scans), count * k * 256 <= settings.broadcast_bytes

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,14 @@ from pagefold.sources.tables import path_exists
 CUSTOM_PREFIX = "custom_"
 
 
+@dataclass(frozen=True)
+class Layout:
+    """What an index was made with; it is stored beside the entries and no caller's setting changes it."""
+
+    buckets: int
+    dimension: int
+
+
 def entry_id(source_file: Column, chunk_id: Column) -> Column:
     return F.concat_ws("_", source_file, chunk_id.cast("string"))
 
@@ -44,9 +54,8 @@ def unpaired_documents(chunks: DataFrame, vectors: DataFrame) -> DataFrame:
     )
 
 
-def index_entries(embedded: DataFrame, settings: Settings | None = None) -> DataFrame:
+def index_entries(embedded: DataFrame) -> DataFrame:
     """Chunk rows with vectors to index rows; a blank document is stored as one space."""
-    settings = settings or Settings()
     text = F.col("text")
     metadata = F.col("metadata") if "metadata" in embedded.columns else F.lit(None)
     return embedded.select(
@@ -58,22 +67,16 @@ def index_entries(embedded: DataFrame, settings: Settings | None = None) -> Data
         F.coalesce("page_num", F.lit(1)).alias("page_num"),
         F.coalesce("char_count", F.lit(0)).alias("char_count"),
         flatten_metadata(metadata.cast("map<string,string>")).alias("custom"),
-        bucket_of(F.col("source_file"), settings.index_buckets).alias("source_bucket"),
     )
 
 
 def new_entries(entries: DataFrame, existing: DataFrame) -> DataFrame:
-    """Entries whose id the index lacks, each id once (the first chunk text wins).
+    """Entries whose id is not among the ids of ``existing``, each id once (the first text wins).
 
-    Only ids of buckets the new entries touch are read: the semi-join on the partition column
-    lets the planner prune the index folders. Ids are hashed with their bucket, so a document
-    with many chunks is no hot key. Known ids go first, and what remains is already placed for
-    the window that drops repeated ones.
+    Known ids go first, and what remains is already placed for the window that drops repeated ones.
     """
-    touched = entries.select("source_bucket").distinct()
-    ids = existing.select("source_bucket", "id").join(touched, "source_bucket", "left_semi")
-    fresh = entries.join(ids, ["source_bucket", "id"], "left_anti")
-    order = Window.partitionBy("source_bucket", "id").orderBy("document")
+    fresh = entries.join(existing.select("id"), "id", "left_anti")
+    order = Window.partitionBy("id").orderBy("document")
     once = fresh.withColumn("_n", F.row_number().over(order)).where("_n = 1")
     return once.select(entries.columns)
 
@@ -95,27 +98,66 @@ class VectorIndex:
             return self.spark.createDataFrame([], schemas.INDEX)
         return self.spark.read.schema(schemas.INDEX).parquet(self.path)
 
-    def _write(self, entries: DataFrame, mode: str) -> None:
+    def layout(self) -> Layout | None:
+        """The stored layout; none before the first entries."""
+        path = f"{self.path}/_layout"
+        if not path_exists(self.spark, path):
+            return None
+        return Layout(*self.spark.read.schema("buckets int, dimension int").json(path).first())
+
+    def _keep_layout(self, layout: Layout) -> None:
+        row = self.spark.range(1).select(
+            F.lit(layout.buckets).alias("buckets"), F.lit(layout.dimension).alias("dimension")
+        )
+        row.coalesce(1).write.mode("overwrite").json(f"{self.path}/_layout")
+
+    def _write(self, entries: DataFrame, layout: Layout, mode: str) -> None:
         # Rebalancing makes files of even size: big buckets are split, small ones share a task.
         columns = [f.split()[0] for f in schemas.INDEX.split(", ")]
+        fits = F.size("embedding") == layout.dimension
+        wrong = F.concat(F.lit("vector of another dimension: "), F.coalesce("id", F.lit("")))
         (
-            entries.select(columns)
+            entries.withColumn("embedding", F.when(fits, F.col("embedding")).otherwise(F.raise_error(wrong)))
+            .withColumn("source_bucket", bucket_of(F.col("source_file"), layout.buckets))
+            .select(columns)
             .hint("rebalance", "source_bucket")
             .write.mode(mode)
             .partitionBy("source_bucket")
             .parquet(self.path)
         )
 
+    def fresh(self, entries: DataFrame) -> DataFrame:
+        """Those of ``entries`` whose id the index lacks.
+
+        Only ids of buckets the entries touch are read, by the stored number of buckets: the
+        semi-join on the partition column lets the planner prune the folders.
+        """
+        layout = self.layout()
+        if layout is None:
+            return new_entries(entries, self.read())
+        touched = entries.select(bucket_of(F.col("source_file"), layout.buckets).alias("source_bucket")).distinct()
+        return new_entries(entries, self.read().join(touched, "source_bucket", "left_semi"))
+
     def add(self, entries: DataFrame) -> None:
-        """Append the entries that are not there yet; running it again adds nothing."""
-        fresh = new_entries(entries, self.read()) if self.exists() else new_entries(
-            entries, self.spark.createDataFrame([], schemas.INDEX)
-        )
-        self._write(fresh, "append")
+        """Append the entries that are not there yet; running it again adds nothing.
+
+        The first entries settle the dimension; a vector of another one fails the write.
+        """
+        layout = self.layout()
+        if layout is None:
+            sizes = entries.where(F.col("embedding").isNotNull()).select(F.size("embedding")).first()
+            if sizes is None:
+                return
+            layout = Layout(self.settings.index_buckets, sizes[0])
+            self._keep_layout(layout)
+        self._write(self.fresh(entries), layout, "append")
 
     def reset(self) -> None:
-        """Empty the index and keep it in place."""
-        self._write(self.spark.createDataFrame([], schemas.INDEX), "overwrite")
+        """Empty the index and keep it, and its layout, in place."""
+        layout = self.layout() or Layout(self.settings.index_buckets, 0)
+        self._write(self.spark.createDataFrame([], schemas.INDEX), layout, "overwrite")
+        if layout.dimension:
+            self._keep_layout(layout)
 
     def count(self) -> int:
         return self.read().count()

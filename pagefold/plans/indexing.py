@@ -32,7 +32,7 @@ def upload_vectors(
     """Add the chunks that have vectors to the index; returns the summary."""
     if reset:
         index.reset()
-    index.add(index_entries(pair_vectors(chunks, vectors), index.settings))
+    index.add(index_entries(pair_vectors(chunks, vectors)))
     return upload_summary(chunks, vectors, index.read())
 
 
@@ -44,4 +44,4 @@ def index_chunks(index: VectorIndex, chunks: DataFrame, embedder: Embedder) -> N
     """
     stored = stage_table(chunks, "chunks")
     embedded = embed_chunks(embeddable(stored), embedder, index.settings)
-    index.add(index_entries(embedded, index.settings))
+    index.add(index_entries(embedded))

@@ -42,7 +42,6 @@ from pagefold.operators.vector_index import (
     VectorIndex,
     flatten_metadata,
     index_entries,
-    new_entries,
     pair_vectors,
     unpaired_documents,
     upload_summary,
@@ -400,11 +399,12 @@ def index_upsert(spark: SparkSession, folder: str) -> DataFrame:
         zero.alias("embedding"),
     )
     old = turns.where("role = 'user'").withColumn("text", F.concat(F.lit("old "), "text"))
-    settings = Settings(index_buckets=8)
-    index = VectorIndex(spark, f"{shared_folder(spark)}/index-{uuid.uuid4().hex}", settings)
-    index.add(index_entries(old, settings))
-    fresh = new_entries(index_entries(turns, settings), index.read())
-    return index.read().unionByName(fresh).select("id", "document", "chunk_id", "char_count")
+    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    VectorIndex(spark, path, Settings(index_buckets=8)).add(index_entries(old))
+    # Another setting on the second run: the stored layout decides.
+    index = VectorIndex(spark, path, Settings(index_buckets=5))
+    index.add(index_entries(turns))
+    return index.read().select("id", "document", "chunk_id", "char_count")
 
 
 def paired_upload(spark: SparkSession, folder: str) -> DataFrame:
@@ -497,7 +497,7 @@ def _turn_index(spark: SparkSession, folder: str) -> DataFrame:
     """Index over all turns, written once so that ranking and fetching read the same table."""
     embedder = HashingEmbedder()
     entries = index_entries(embed_chunks(_turn_chunks(spark, folder), embedder))
-    return stage_table(entries.drop("source_bucket"), "turn-index")
+    return stage_table(entries, "turn-index")
 
 
 def _items(spark: SparkSession, folder: str) -> DataFrame:
@@ -530,7 +530,7 @@ def _answers(graded: bool) -> Query:
 def document_index(spark: SparkSession, folder: str) -> DataFrame:
     """Index entries of all documents."""
     chunks = split_pages(_document_pages(spark, folder), SEMANTIC, max_pages=1)
-    return index_entries(embed_chunks(chunks, HashingEmbedder())).drop("source_bucket")
+    return index_entries(embed_chunks(chunks, HashingEmbedder()))
 
 
 def retrieve_documents(spark: SparkSession, folder: str) -> DataFrame:

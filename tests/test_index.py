@@ -9,8 +9,8 @@ from pagefold.backends.base import Corrector, Generator
 from pagefold.operators.answering import REFUSAL, answer_questions, assemble, retrieve
 from pagefold.operators.embedding import embed_chunks, embeddable
 from pagefold.operators.normalization import normalize_chunks
-from pagefold.operators.retrieval import top_k
-from pagefold.operators.vector_index import VectorIndex, index_entries
+from pagefold.operators.retrieval import left_out, top_k
+from pagefold.operators.vector_index import Layout, VectorIndex, index_entries
 from pagefold.settings import Settings
 
 CHUNK = "source_file string, chunk_id int, page_num int, text string, char_count int"
@@ -35,7 +35,7 @@ def test_add_is_idempotent_and_keeps_the_first(spark, tmp_path):
     embedder = HashingEmbedder()
 
     def entries(rows):
-        return index_entries(embed_chunks(chunks(spark, rows), embedder), index.settings)
+        return index_entries(embed_chunks(chunks(spark, rows), embedder))
 
     index.add(entries([("a.txt", i, f"text {i}") for i in range(20)] + [("b.txt", 0, " ")]))
     assert index.count() == 21
@@ -49,6 +49,51 @@ def test_add_is_idempotent_and_keeps_the_first(spark, tmp_path):
     assert index.count() == 1
 
 
+def test_the_stored_layout_decides(spark, tmp_path):
+    """Written with one number of buckets, added to and read with another: nothing twice, nothing lost."""
+    rows = [(f"d{i}.txt", 0, f"word{i}") for i in range(50)]
+    entries = index_entries(embed_chunks(chunks(spark, rows), HashingEmbedder()))
+    path = str(tmp_path / "index")
+    VectorIndex(spark, path, Settings(index_buckets=8)).add(entries)
+    index = VectorIndex(spark, path)
+    index.add(entries)
+    assert index.count() == 50 and index.layout() == Layout(8, 64)
+    asked = embed_chunks(chunks(spark, [("q", 0, "word7")]), HashingEmbedder()).select(
+        F.lit(1).alias("question_id"), "embedding"
+    )
+    assert retrieve(index, asked, 10).count() == 10 == retrieve(index.read(), asked, 10).count()
+    with pytest.raises(Exception, match="another dimension"):
+        index.add(entries.withColumn("id", F.lit("new")).withColumn("embedding", F.array(F.lit(1.0).cast("float"))))
+
+
+@pytest.mark.parametrize("limit", [32 * 1024 * 1024, 600])
+def test_one_rule_for_dimensions(spark, limit):
+    index = spark.createDataFrame(
+        [(i, [float(i), 0.0]) for i in range(9)] + [(100, [0.0]), (101, None)], "id long, embedding array<float>"
+    )
+    asked = spark.createDataFrame(
+        [(q, [float(q), 0.0]) for q in range(6)] + [(50, [1.0]), (51, None)], "question_id long, embedding array<float>"
+    )
+    rows = top_k(index, asked, 1, Settings(broadcast_bytes=limit)).collect()
+    assert sorted((r["question_id"], r["id"]) for r in rows) == [(q, q) for q in range(6)]
+    assert {r["side"]: r["rows"] for r in left_out(index, asked, 2).collect()} == {"index": 2, "questions": 2}
+
+
+def test_questions_are_embedded_once(spark, tmp_path):
+    folder = str(tmp_path)
+
+    class Counting(HashingEmbedder):
+        def encode(self, texts):
+            with open(f"{folder}/calls", "a") as out:
+                out.write("x" * len(texts))
+            return super().encode(texts)
+
+    index = indexed(spark, tmp_path / "i", [("a", 0, "Red apples grow."), ("b", 0, "Blue cars drive.")])
+    asked = spark.createDataFrame([(i, f"question {i}") for i in range(5)], "question_id long, question string")
+    answer_questions(index, asked, Counting(), FirstSentence()).collect()
+    assert len((tmp_path / "calls").read_text()) == 5
+
+
 def brute(vectors, questions, k):
     out = {}
     for q, asked in questions:
@@ -95,8 +140,8 @@ def test_grading(spark):
 
 def indexed(spark, tmp_path, rows):
     index = VectorIndex(spark, str(tmp_path / "index"))
-    index.add(index_entries(embed_chunks(chunks(spark, rows), HashingEmbedder()), index.settings))
-    return index.read()
+    index.add(index_entries(embed_chunks(chunks(spark, rows), HashingEmbedder())))
+    return index
 
 
 def test_answers(spark, tmp_path):
@@ -120,7 +165,7 @@ def test_refusal_and_failure(spark, tmp_path):
     full = indexed(spark, tmp_path / "y", [("a", 0, "text")])
     row = answer_questions(full, asked, HashingEmbedder(), Failing()).first()
     assert row["answer"] == "Error: offline" and row["sources"] is None
-    empty = full.where("false")
+    empty = full.read().where("false")
     row = answer_questions(empty, asked, HashingEmbedder(), Failing()).first()
     assert (row["answer"], row["grade_passed"]) == (REFUSAL, False)
 

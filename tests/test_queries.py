@@ -10,6 +10,8 @@ import pytest
 from conftest import TABLES
 
 import __spark_entry__ as driver
+from pagefold.plans.oracles import ORACLES
+from pagefold.plans.queries import QUERIES
 
 NO_SQL = {"chunks_recursive", "correction_batches"}
 
@@ -28,8 +30,8 @@ def plain(value):
 
 
 def test_every_query_is_checked():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == NO_SQL
-    assert set(driver.oracle_sql()) <= set(driver.queries())
+    assert set(QUERIES) - set(ORACLES) == NO_SQL
+    assert set(driver.oracle_sql()) <= set(driver.queries()) and set(QUERIES) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
