@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagefold.functions.kernels import batch_parts_column
 from pagefold.functions.splitting import check_window
-from pagefold.functions.text import UNICODE_SPACE, strip
+from pagefold.functions.text import UNICODE_SPACE, let, strip
 
 # What a mask looks like and the token that stands in for the i-th one.
 MASK = r"\[[A-Z가-힣_]+\]"
@@ -25,25 +26,35 @@ def _token(position: Column) -> Column:
 
 def protect_masks(text: Column) -> Column:
     """The i-th mask becomes the i-th token."""
-    gaps = F.split(text, MASK, -1)
-    parts = F.transform(
-        gaps, lambda gap, i: F.when(i < F.size(gaps) - 1, F.concat(gap, _token(i))).otherwise(gap)
-    )
-    return F.when(text.rlike(MASK), F.array_join(parts, "")).otherwise(text)
+
+    def joined(gaps: Column) -> Column:
+        last = F.size(gaps) - 1
+        parts = F.transform(gaps, lambda gap, i: F.when(i < last, F.concat(gap, _token(i))).otherwise(gap))
+        return F.array_join(parts, "")
+
+    return F.when(text.rlike(MASK), let(F.split(text, MASK, -1), joined)).otherwise(text)
 
 
 def restore_masks(text: Column, masks: Column) -> Column:
-    """Replace every occurrence of each token by its mask, in order."""
-    zero = F.struct(text.alias("text"), F.lit(0).alias("i"))
-    return F.aggregate(
-        masks,
-        zero,
-        lambda acc, mask: F.struct(
-            F.replace(acc["text"], _token(acc["i"]), mask).alias("text"),
-            (acc["i"] + 1).alias("i"),
-        ),
-        lambda acc: acc["text"],
+    """Replace every occurrence of each token by its mask; tokens beyond the masks stay."""
+    token = f"{TOKEN_HEAD}(0|[1-9][0-9]*){TOKEN_TAIL}"
+
+    def joined(row: Column) -> Column:
+        def part(gap: Column, number: Column) -> Column:
+            back = F.coalesce(
+                F.get(row["masks"], number.cast("int")),
+                F.concat(F.lit(TOKEN_HEAD), number, F.lit(TOKEN_TAIL)),
+            )
+            return F.when(number.isNull(), gap).otherwise(F.concat(gap, back))
+
+        return F.array_join(F.zip_with(row["gaps"], row["numbers"], part), "")
+
+    row = F.struct(
+        F.split(text, token, -1).alias("gaps"),
+        F.regexp_extract_all(text, F.lit(token), F.lit(1)).alias("numbers"),
+        masks.alias("masks"),
     )
+    return F.when(text.rlike(token), let(row, joined)).otherwise(text)
 
 
 def token_windows(tokens: Column, size: int = WINDOW_TOKENS, overlap: int = WINDOW_OVERLAP) -> Column:
@@ -65,34 +76,25 @@ def sentence_batches(text: Column, limit: int = BATCH_CHARS) -> Column:
     pattern = f"(?U){delimiter}"
     gaps = F.split(text, pattern, -1)
     marks = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.zip_with(
-        gaps, marks, lambda gap, mark: F.struct(strip(gap).alias("gap"), mark.alias("mark"))
-    )
-    parts_type = "array<struct<text:string,correct:boolean>>"
-    zero = F.struct(F.array().cast(parts_type).alias("parts"), F.lit("").alias("batch"))
-
-    def part(value: Column, correct: bool) -> Column:
-        return F.array(F.struct(value.alias("text"), F.lit(correct).alias("correct")))
-
-    def step(acc: Column, p: Column) -> Column:
-        full = (F.length(p["gap"]) > 0) & (F.length(acc["batch"]) + F.length(p["gap"]) > limit)
-        flush = full & (F.length(acc["batch"]) > 0)
-        batch = (
-            F.when(F.length(p["gap"]) == 0, acc["batch"])
-            .when(full | (F.length(acc["batch"]) == 0), p["gap"])
-            .otherwise(F.concat(acc["batch"], F.lit(" "), p["gap"]))
-        )
-        parts = F.when(flush, F.concat(acc["parts"], part(acc["batch"], True))).otherwise(acc["parts"])
-        return F.struct(
-            F.when(p["mark"].isNull(), parts)
-            .otherwise(F.concat(parts, part(p["mark"], False)))
-            .alias("parts"),
-            batch.alias("batch"),
+    row = F.struct(F.transform(gaps, strip).alias("gaps"), marks.alias("marks"))
+    lengths = F.transform(gaps, lambda gap: F.length(strip(gap)))
+    parts = batch_parts_column(lengths, F.size(marks), limit)
+
+    def built(x: Column) -> Column:
+        def part(p: Column) -> Column:
+            words = F.array_join(F.slice(x["filled"], F.get(p, 1), F.get(p, 2)), " ")
+            correct = F.get(p, 0) == 1
+            return F.struct(
+                F.when(correct, words).otherwise(F.get(x["marks"], F.get(p, 1) - 1)).alias("text"),
+                correct.alias("correct"),
+            )
+
+        return F.transform(x["parts"], part)
+
+    def with_filled(x: Column) -> Column:
+        filled = F.filter(x["row"]["gaps"], lambda gap: F.length(gap) > 0)
+        return let(
+            F.struct(filled.alias("filled"), x["row"]["marks"].alias("marks"), x["parts"].alias("parts")), built
         )
 
-    def finish(acc: Column) -> Column:
-        return F.when(
-            F.length(acc["batch"]) > 0, F.concat(acc["parts"], part(acc["batch"], True))
-        ).otherwise(acc["parts"])
-
-    return F.aggregate(pieces, zero, step, finish)
+    return let(F.struct(row.alias("row"), parts.alias("parts")), with_filled)

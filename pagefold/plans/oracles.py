@@ -22,7 +22,10 @@ _DIGIT = (
 )
 _JAMO = "ㄱㄴㄷㄹㅁㅂㅅㅇㅈㅊㅋㅌㅍㅎㅏㅑㅓㅕㅗㅛㅜㅠㅡㅣㅐㅔ"
 _EMAIL = r"[A-Za-z0-9._%+\-]+@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}"
-_PHONE = r"\+?\b(?:[0-9]{1,3}[-. ])?[0-9]{2,4}[-. ][0-9]{3,4}[-. ][0-9]{4}\b"
+# Written from the format: [country] (area) or area, group of 3 or 4, group of 4.
+_PHONE = (
+    r"(?:(?:\+?\b\d{1,3}[ .-])?\(\d{2,4}\)[ .-]?|\+?\b(?:\d{1,3}[ .-])?\d{2,4}[ .-])\d{3,4}[ .-]\d{4}\b"
+)
 NL = "chr(10)"
 
 

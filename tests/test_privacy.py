@@ -19,17 +19,18 @@ from pagefold.functions.spans import (
     contact_spans,
     entity_name,
     findings,
-    mask_text,
+    merge_and_mask,
     merge_spans,
+    pattern_spans,
 )
 from pagefold.operators.privacy import detect, filter_text, findings_by_type
 from pagefold.settings import Settings
 
 
-def merge(spark, cases, cover_all=False):
+def merge(spark, cases):
     rows = [(i, [(a, b, "", t, s) for a, b, t, s in case]) for i, case in enumerate(cases)]
     frame = spark.createDataFrame(rows, f"i int, spans {SPANS}")
-    out = frame.select("i", merge_spans(F.col("spans"), cover_all).alias("out")).collect()
+    out = frame.select("i", merge_spans(F.col("spans")).alias("out")).collect()
     return [[(s["start"], s["end"], s["type"], s["score"]) for s in r["out"]] for r in sorted(out)]
 
 
@@ -45,7 +46,6 @@ GOLDEN = [
 
 def test_merge_golden(spark):
     assert merge(spark, [c for c, _ in GOLDEN]) == [e for _, e in GOLDEN]
-    assert merge(spark, [GOLDEN[3][0]], cover_all=True) == [[(0, 12, "A", 0.9)]]
 
 
 def test_merge_random(spark):
@@ -77,7 +77,7 @@ def test_merge_random(spark):
 def test_mask_and_findings(spark):
     spans = [(0, 3, "abc", "A", 0.5), (5, 7, "fg", "B", 0.9)]
     frame = spark.createDataFrame([("abcdefgh", spans), ("xyz", [])], f"text string, spans {SPANS}")
-    rows = frame.select(mask_text(F.col("text"), F.col("spans")).alias("m"), findings(F.col("spans")).alias("f")).collect()
+    rows = frame.select(merge_and_mask(F.col("text"), F.col("spans"))["text"].alias("m"), findings(F.col("spans")).alias("f")).collect()
     assert [r["m"] for r in rows] == ["[A]de[B]h", "xyz"]
     assert [(f["type"], f["count"], f["examples"], f["avg_confidence"]) for f in rows[0]["f"]] == [
         ("A", 1, ["abc"], 0.5), ("B", 1, ["fg"], 0.9),
@@ -92,6 +92,42 @@ def test_contact_offsets(column):
     assert "010-1234-5678" in [s["text"] for s in found]
 
 
+def test_telephone_numbers(column):
+    """Numbers as people write them; cards, addresses and dates stay out."""
+    numbers = ["+1 (521) 555-2373", "(02) 555-2373", "1 (800)555-1234", "010-1234-5678", "+82 10-1234-5678", "02.123.4567"]
+    other = ["4111 1111 1111 1111", "4111-1111-1111-1111", "97.51.17.173", "2024-01-02", "4111111111111111", "(521)"]
+    for number in numbers:
+        found = column(contact_spans, [f"call {number}, or {number} now"])[0]
+        assert [s["text"] for s in found] == [number] * 2, number
+    assert all(not found for found in column(contact_spans, [f"see {x} there" for x in other]))
+    assert len(column(contact_spans, ["010-1234-5678 010-1234-5679"])[0]) == 2
+
+
+@pytest.mark.parametrize("make", ["spans", "masks", "batches"])
+def test_work_grows_with_the_text(spark, make):
+    """Twice the text takes about twice the time; a quadratic step would take four times."""
+    import time
+
+    def run(n):
+        text = {"spans": "n1 word ", "masks": "[A] word ", "batches": "Some words here. "}[make] * n
+        frame = spark.createDataFrame([(text,)], "text string")
+        t = F.col("text")
+        if make == "spans":
+            frame = frame.withColumn("s", pattern_spans(t, "n[0-9]", "N", 0.5))
+            out = merge_and_mask(t, F.col("s"))["text"]
+        elif make == "masks":
+            out = restore_masks(protect_masks(t), masks_in(t))
+        else:
+            out = F.size(sentence_batches(t)).cast("string")
+        start = time.perf_counter()
+        frame.select(F.length(out)).collect()
+        return time.perf_counter() - start
+
+    run(100)
+    small, large = min(run(20_000) for _ in range(2)), min(run(80_000) for _ in range(2))
+    assert large < 8 * small + 1
+
+
 def test_names(column):
     assert column(entity_name, ["PS", "lc", "XX", "Org"]) == ["PERSON", "LOCATION", "XX", "ORGANIZATION"]
 
@@ -186,8 +222,8 @@ def test_many_spans_in_one_text(spark):
     frame = spark.createDataFrame([(text,), ("n1 x",), ("none",)], "text string").withColumn(
         "spans", pattern_spans(F.col("text"), r"n[0-9]+", "N", 0.5)
     )
-    rows = frame.withColumn("merged", merge_spans(F.col("spans"))).select(
-        "*", mask_text(F.col("text"), F.col("merged")).alias("masked")
+    rows = frame.withColumn("out", merge_and_mask(F.col("text"), F.col("spans"))).select(
+        "text", F.col("out.spans").alias("merged"), F.col("out.text").alias("masked")
     ).collect()
     assert [len(r["merged"]) for r in rows] == [5 * BLOCK, 1, 0]
     assert all(r["text"][s["start"] : s["end"]] == s["text"] for r in rows for s in r["merged"])
@@ -198,14 +234,12 @@ def test_many_spans_in_one_text(spark):
     for j in range(6 * BLOCK):
         start = rng.randint(0, 3000)
         case.append((start, start + rng.randint(1, 12), f"T{j}", rng.choice((0.5, 0.7, 0.9))))
-    for cover_all in (False, True):
-        (long,) = merge(spark, [case], cover_all)
-        # The same spans in runs that touch nothing outside: cut where nothing overlaps.
-        ordered, runs, high = sorted(case, key=lambda s: (s[0], -s[1])), [], -1
-        for span in ordered:
-            if span[0] >= high:
-                runs.append([])
-            runs[-1].append(span)
-            high = max(high, span[1])
-        assert max(map(len, runs)) <= BLOCK
-        assert long == [s for out in merge(spark, runs, cover_all) for s in out]
+    (long,) = merge(spark, [case])
+    # The same spans in runs that touch nothing outside: cut where nothing overlaps.
+    ordered, runs, high = sorted(case, key=lambda s: (s[0], -s[1])), [], -1
+    for span in ordered:
+        if span[0] >= high:
+            runs.append([])
+        runs[-1].append(span)
+        high = max(high, span[1])
+    assert long == [s for out in merge(spark, runs) for s in out]
