@@ -155,11 +155,13 @@ class SpellingCorrector(Corrector):
     """A sequence-to-sequence model, decoded greedily."""
 
     # The model, its instruction and its generation limits.
-    PROMPT = "다음 문장의 철자와 띄어쓰기만 교정하고, 의미/숫자/기호/마스크는 바꾸지 마세요:\n"
+    # What stands before every text; a model trained with another instruction takes its own.
+    PROMPT = "맞춤법과 띄어쓰기를 바로잡고 <KEEP_0> 같은 표시와 숫자는 그대로 두시오: "
     LIMITS = {"max_length": 512, "num_beams": 1, "no_repeat_ngram_size": 2}
 
-    def __init__(self, model: str = "j5ng/et5-typos-corrector") -> None:
+    def __init__(self, model: str = "j5ng/et5-typos-corrector", prompt: str = PROMPT) -> None:
         self.name = model
+        self.prompt = prompt
         self._tokenizer = self._model = None
 
     def load(self) -> None:
@@ -179,7 +181,7 @@ class SpellingCorrector(Corrector):
 
     def correct(self, texts: list[str]) -> list[str]:
         inputs = self._tokenizer(
-            [self.PROMPT + t for t in texts],
+            [self.prompt + t for t in texts],
             return_tensors="pt", max_length=512, truncation=True, padding=True,
         )
         outputs = self._model.generate(**inputs, **self.LIMITS)

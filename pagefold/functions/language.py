@@ -11,6 +11,12 @@ KANA = r"\x{3040}-\x{30ff}"
 # Languages that are told apart, and the one every other counts as.
 LANGUAGES = ("ko", "en", "ja")
 DEFAULT_LANGUAGE = "ko"
+# Short words that tell English from other languages in Latin letters.
+ENGLISH = ("the", "and", "of", "to", "in", "is", "that", "it", "for", "with", "was", "are", "on", "as", "be")
+OTHER_LATIN = (
+    "le", "la", "les", "des", "et", "que", "une", "est", "dans", "pour", "pas", "du", "der", "die", "und", "das", "ist",
+    "nicht", "ein", "mit", "von", "den", "el", "los", "las", "y", "en", "por", "un", "una", "con", "de",
+)
 # Punctuation that counts as legible, as the body of a regex class.
 LEGIBLE_MARKS = r" \n\t.,!?\-()\[\]{}:;@#%&*+=/<>\x22\x27"
 # Thresholds of the plausibility test.
@@ -23,7 +29,9 @@ MIN_VALID_RATIO_WITH_ALNUM = 0.3
 
 
 def guess_language(text: Column) -> Column:
-    """Dominant script decides between ``ko``, ``en`` and ``ja``; otherwise ``ko``.
+    """Dominant script decides between ``ko``, ``ja`` and Latin; any other language counts as ``ko``.
+
+    Latin text is English unless short words of another language outnumber English ones.
 
     A stand-in for a statistical detector, which is a model backend and not deterministic.
     """
@@ -41,11 +49,18 @@ def guess_language(text: Column) -> Column:
     )
     return (
         F.when(text.rlike(f"[{HANGUL}{KANA}]"), by_count)
-        .when(text.rlike("[A-Za-z]"), "en")
+        .when(text.rlike("[A-Za-z]"), let(F.split(F.lower(text), "[^\\p{L}]+", -1), _latin))
         .otherwise(DEFAULT_LANGUAGE)
     )
 
 
+def _latin(words: Column) -> Column:
+    def count(of: tuple[str, ...]) -> Column:
+        return F.size(F.filter(words, lambda w: w.isin(*of)))
+
+    return F.when(count(OTHER_LATIN) > count(ENGLISH), DEFAULT_LANGUAGE).otherwise("en")
+
+
 def is_plausible_hangul(text: Column) -> Column:
     """True when recovered text looks like a document and not like broken bytes."""
     size = F.length(text)

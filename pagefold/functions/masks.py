@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,6 +59,22 @@ def restore_masks(text: Column, masks: Column) -> Column:
     return F.when(text.rlike(token), let(row, joined)).otherwise(text)
 
 
+def protected(text: str) -> tuple[str, list[str]]:
+    """A text with tokens for its masks, and the masks: the same as the columns, beside a model."""
+    masks = re.findall(MASK, text)
+    gaps = re.split(MASK, text)
+    tokens = [f"{TOKEN_HEAD}{i}{TOKEN_TAIL}" for i in range(len(masks))]
+    return "".join(a + b for a, b in zip(gaps, [*tokens, ""])), masks
+
+
+def restored(text: str, masks: list[str]) -> str:
+    def back(found: re.Match) -> str:
+        i = int(found[1])
+        return masks[i] if i < len(masks) else found[0]
+
+    return re.sub(f"{TOKEN_HEAD}(0|[1-9][0-9]*){TOKEN_TAIL}", back, text)
+
+
 def token_windows(tokens: Column, size: int = WINDOW_TOKENS, overlap: int = WINDOW_OVERLAP) -> Column:
     """Windows over a token array, each sharing ``overlap`` tokens with the one before."""
     check_window(size, overlap)

@@ -72,13 +72,19 @@ def number_chunks(
 ) -> DataFrame:
     """Add ``first_id``: how many chunks the document has before each page.
 
-    ``max_pages`` is a known bound on pages per document. One page needs no shuffle at all;
+    ``max_pages`` is a known bound on pages per document; a page number beyond it fails the job.
+    One page needs no shuffle at all;
     up to ``block`` pages take one window per document. Without a bound a document may hold
     any share of the rows, so it is cut into blocks of pages: a window inside each block, plus
     the running total of whole blocks. The totals are sums over a few integers per block, so
     only they meet in one task, never the pages.
     """
     count = F.size(pieces)
+    if max_pages is not None:
+        # A wrong promise would repeat ids, so every page is held against it.
+        wrong = F.concat(F.lit("page beyond max_pages in "), F.col("source_file"))
+        kept = F.when(F.col("page_num") <= max_pages, F.col("page_num")).otherwise(F.raise_error(wrong))
+        pages = pages.withColumn("page_num", kept.cast(pages.schema["page_num"].dataType))
     if max_pages == 1:
         return pages.withColumn("first_id", F.lit(0).cast("long"))
     before = Window.orderBy("page_num").rowsBetween(Window.unboundedPreceding, -1)

@@ -10,10 +10,6 @@ from pagefold.functions.cleaning import clean_ocr_text, clean_text, line_rule, s
 from pagefold.operators.rows import unnest
 
 
-def clean_loaded(pages: DataFrame) -> DataFrame:
-    """What every loader does to its text: remove noise lines."""
-    return pages.withColumn("text", clean_ocr_text(F.col("text")))
-
 
 def clean_pages(pages: DataFrame) -> DataFrame:
     """What ingestion does after loading: normalise whitespace."""

@@ -12,9 +12,8 @@ from pagefold.backends.base import Corrector
 from pagefold.functions.masks import (
     WINDOW_OVERLAP,
     WINDOW_TOKENS,
-    masks_in,
-    protect_masks,
-    restore_masks,
+    protected,
+    restored,
 )
 from pagefold.functions.text import is_blank
 
@@ -22,7 +21,9 @@ RESULT = "struct<text:string,error:string>"
 
 
 def correct_column(text: Column, corrector: Corrector) -> Column:
-    """Model output per text; a failing text comes back unchanged with the error.
+    """Model output per text, one call per batch; a failing text comes back unchanged with the error.
+
+    Masks reach the model as tokens; nulls and blank texts do not, and come back null.
 
     Texts past the token limit are corrected window by window and the windows are joined as
     they are, shared tokens included.
@@ -40,14 +41,25 @@ def correct_column(text: Column, corrector: Corrector) -> Column:
             starts = range(0, len(tokens) - WINDOW_OVERLAP, step)
             return ["".join(tokens[s : s + WINDOW_TOKENS]) for s in starts]
 
+        def alone(text: str, parts: list[str]) -> tuple[str, str | None]:
+            try:
+                return "".join(corrector.correct(parts)), None
+            except Exception as error:
+                return text, str(error)
+
         for texts in batches:
-            rows = []
-            for text in texts:
-                try:
-                    rows.append(("".join(corrector.correct(windows(text))), None))
-                except Exception as error:  # one text must not fail the task
-                    rows.append((text, str(error)))
-            yield pd.DataFrame(rows, columns=["text", "error"])
+            kept = {i: protected(text) for i, text in enumerate(texts) if text is not None and text.strip()}
+            parts = {i: windows(text) for i, (text, _) in kept.items()}
+            try:
+                fixed = iter(corrector.correct([w for p in parts.values() for w in p]) if parts else [])
+                done = {i: ("".join(next(fixed) for _ in p), None) for i, p in parts.items()}
+            except Exception:  # some text of the batch: each on its own, so that one fails alone
+                done = {i: alone(kept[i][0], p) for i, p in parts.items()}
+            rows = [
+                (restored(done[i][0], kept[i][1]), done[i][1]) if i in done else (None, None)
+                for i in range(len(texts))
+            ]
+            yield pd.DataFrame(rows, columns=["text", "error"], dtype=object)
 
     return run(text)
 
@@ -66,22 +78,16 @@ def normalize_chunks(chunks: DataFrame, corrector: Corrector | None) -> DataFram
     text = F.col("text")
     filled = F.length(text) > 0
     blank = is_blank(text)
-    staged = (
-        chunks.withColumn("_masks", masks_in(text))
-        .withColumn("_protected", protect_masks(text))
-        .withColumn("_result", correct_column(F.col("_protected"), corrector))
-    )
+    staged = chunks.withColumn("_result", correct_column(text, corrector))
     error = F.col("_result.error")
-    rewritten = F.when(blank | error.isNotNull(), text).otherwise(
-        restore_masks(F.col("_result.text"), F.col("_masks"))
-    )
+    rewritten = F.when(blank | error.isNotNull(), text).otherwise(F.col("_result.text"))
     return (
         staged.withColumn("normalized", F.when(filled, error.isNull()))
         .withColumn("original_length", F.when(filled & error.isNull(), F.length(text)))
         .withColumn("normalization_error", F.when(filled, error))
         .withColumn("text", rewritten)
         .withColumn("char_count", F.length("text"))
-        .drop("_masks", "_protected", "_result")
+        .drop("_result")
     )
 
 

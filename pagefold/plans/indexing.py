@@ -12,9 +12,10 @@ from pagefold.operators.vector_index import (
     pair_vectors,
     upload_summary,
 )
-from pagefold.session import stage_table
+from pagefold.session import staged
 from pagefold.settings import Settings
 from pagefold.sinks.chunk_documents import write_vectors
+from pagefold.sources.chunk_documents import read_vectors
 
 
 def embed_documents(
@@ -23,7 +24,7 @@ def embed_documents(
     """Write the vectors of all documents that have text; returns the summary."""
     embedded = embed_chunks(embeddable(chunks), embedder, settings)
     write_vectors(vector_table(embedded, embedder), output)
-    return embedding_summary(chunks, chunks.sparkSession.read.parquet(output))
+    return embedding_summary(chunks, read_vectors(chunks.sparkSession, output))
 
 
 def upload_vectors(
@@ -40,8 +41,8 @@ def index_chunks(index: VectorIndex, chunks: DataFrame, embedder: Embedder) -> N
     """Embed and add in one flow, without storing the vectors on their own.
 
     The chunks are looked at twice (which documents have text, then their vectors), so they
-    are written once instead of being parsed and split twice.
+    are written once instead of being parsed and split twice, and deleted when they are indexed.
     """
-    stored = stage_table(chunks, "chunks")
-    embedded = embed_chunks(embeddable(stored), embedder, index.settings)
-    index.add(index_entries(embedded))
+    with staged(chunks, "chunks") as stored:
+        embedded = embed_chunks(embeddable(stored), embedder, index.settings)
+        index.add(index_entries(embedded))

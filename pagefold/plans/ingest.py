@@ -37,9 +37,8 @@ def ingest_pages(
     cleaned = pages if tidy else clean_pages(pages)
     if settings.privacy:
         cleaned = mask_pages(cleaned, settings, **detectors)
-        if detectors:
-            # Numbering reads the pages twice; a model must not run twice for that.
-            cleaned = stage_table(cleaned, "masked")
+        # Numbering reads the pages twice, and splitting is a second Python step on the masked text.
+        cleaned = stage_table(cleaned, "masked")
     chunks = split_pages(cleaned, settings, max_pages)
     if settings.normalize:
         chunks = normalize_chunks(chunks, corrector)

@@ -29,6 +29,20 @@ _PHONE = (
 NL = "chr(10)"
 
 
+_ENGLISH = "the and of to in is that it for with was are on as be"
+_OTHER_LATIN = (
+    "le la les des et que une est dans pour pas du der die und das ist nicht ein mit von den el los las y en por un una con de"
+)
+
+
+_DELIMITER = f"(?:[.!?][{_SPACE}]+|\\n\\n)"
+
+
+def _among(words: str) -> str:
+    listed = ", ".join(f"'{w}'" for w in words.split())
+    return f"len(list_filter(words, lambda w: w IN ({listed})))"
+
+
 def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -290,9 +304,6 @@ def _loaded(rows: str, method: str, suffix: str, prefix: str, key: str) -> str:
       text, '{method}' AS method, 'ok' AS status FROM ocr"""
 
 
-_URL_SUFFIX = (
-    "lower(coalesce(regexp_extract(regexp_replace(url, '[?#].*$', ''), '[^/](\\.[^./]+)$', 1), ''))"
-)
 _HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 _BLOCK = (
     r"(?i)</?(?:html|head|title|body|header|footer|main|nav|section|article|aside|address|div|p|"
@@ -376,9 +387,11 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, h OR l OR t AS has_structure, nullif(concat_ws(',', CASE WHEN h THEN 'heading' END,
           CASE WHEN l THEN 'list' END, CASE WHEN t THEN 'table' END), '') AS types FROM any_kind""",
     "language_guess": f"""SELECT doc_id, CASE WHEN ko + ja = 0 AND en = 0 THEN 'ko'
+          WHEN ko + ja = 0 AND other > english THEN 'ko'
           WHEN ko >= en AND ko >= ja THEN 'ko' WHEN en >= ja THEN 'en' ELSE 'ja' END AS language
         FROM (SELECT doc_id, {_count('text', _HANGUL)} AS ko, {_count('text', 'A-Za-z')} AS en,
-          {_count('text', r'\x{3040}-\x{30ff}')} AS ja FROM documents)""",
+            {_count('text', r'\x{3040}-\x{30ff}')} AS ja, {_among(_ENGLISH)} AS english, {_among(_OTHER_LATIN)} AS other
+          FROM (SELECT doc_id, text, string_split_regex(lower(text), '[^\\p{{L}}]+') AS words FROM documents))""",
     "sentences": f"""SELECT doc_id, (i - 1)::INT AS pos, list[i] AS sentence FROM (
         SELECT doc_id, list, unnest(range(1, len(list) + 1)) AS i
         FROM (SELECT doc_id, {_sentences('text')} AS list FROM documents))""",
@@ -429,6 +442,28 @@ ORACLES: dict[str, str] = {
           FROM words WHERE len(w) > 0)
         SELECT doc_id, i::INT AS window_no, len(w[i * 384 + 1:i * 384 + 448])::INT AS tokens,
           array_to_string(w[i * 384 + 1:i * 384 + 448], ' ') AS text FROM cut""",
+    "correction_batches": f"""WITH RECURSIVE texts AS MATERIALIZED (
+        SELECT doc_id, list_transform(string_split_regex(text, {_q(_DELIMITER)}), lambda g: {_strip('g')}) AS gaps,
+          regexp_extract_all(text, {_q(_DELIMITER)}) AS marks FROM documents),
+      walk AS (
+        SELECT doc_id, 0 AS pos, '' AS batch, NULL::VARCHAR AS flushed, NULL::VARCHAR AS mark FROM texts
+        UNION ALL
+        SELECT doc_id, pos + 1,
+          CASE WHEN g = '' THEN batch WHEN batch = '' OR past THEN g ELSE batch || ' ' || g END,
+          CASE WHEN g <> '' AND batch <> '' AND past THEN batch END, mark_here
+        FROM (SELECT w.doc_id, w.pos, w.batch, t.gaps[w.pos + 1] AS g, t.marks[w.pos + 1] AS mark_here,
+            length(w.batch) + length(t.gaps[w.pos + 1]) > 300 AS past
+          FROM walk w JOIN texts t ON w.doc_id = t.doc_id WHERE w.pos < len(t.gaps))),
+      parts AS (
+        SELECT doc_id, pos, 0 AS k, flushed AS text, true AS correct FROM walk WHERE flushed IS NOT NULL
+        UNION ALL SELECT doc_id, pos, 1, mark, false FROM walk WHERE mark IS NOT NULL
+        UNION ALL SELECT w.doc_id, w.pos, 2, w.batch, true FROM walk w JOIN texts t ON w.doc_id = t.doc_id
+          WHERE w.pos = len(t.gaps) AND w.batch <> '')
+      SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos, k) - 1)::INT AS part_no, correct, text FROM parts""",
+    "stored_chunks": f"""WITH {_turns(False, cleaned=True)}
+      SELECT source_file, chunk_id, page_num, char_count, text FROM chunks""",
+    "stored_vectors": f"""WITH {_turns(False, cleaned=True)}
+      SELECT source_file, count(*) AS vectors, 64 AS dimension FROM chunks GROUP BY source_file""",
     "document_record": f"""WITH {_turns(True)} SELECT source_file, '.txt' AS file_type,
         count(DISTINCT page_num) AS total_pages, count(*) AS total_chunks, sum(char_count)::BIGINT AS total_characters,
         round_even(coalesce(sum(char_count) / nullif(count_if(char_count > 0), 0)::DOUBLE, 0), 2) AS average_chunk_size,
@@ -444,10 +479,11 @@ ORACLES: dict[str, str] = {
         cut AS (SELECT unnest(CASE WHEN {_blank('text')} THEN [''] ELSE {_windows('text', 500, 100)} END) AS piece FROM ocr)
         SELECT (SELECT count(*) FROM docs) AS succeeded, (SELECT count(*) FROM customer) AS failed,
           count(*) AS total_chunks, sum(length(piece))::BIGINT AS total_characters FROM cut""",
-    "file_routing": f"""SELECT suffix, CASE WHEN suffix IN ('.pdf', '.txt', '.docx', '.doc', '.pptx', '.ppt', '.xlsx',
+    "file_routing": """SELECT suffix, CASE WHEN suffix IN ('.pdf', '.txt', '.docx', '.doc', '.pptx', '.ppt', '.xlsx',
           '.xls', '.csv', '.hwp', '.hwpx') THEN substring(suffix, 2) WHEN suffix IN ('.jpg', '.jpeg', '.png', '.bmp', '.tiff')
           THEN 'image' ELSE 'none' END AS loader, count(*) AS files
-        FROM (SELECT {_URL_SUFFIX} AS suffix FROM pages) GROUP BY suffix""",
+        FROM (SELECT '.' || (['pdf', 'txt', 'docx', 'doc', 'pptx', 'ppt', 'jpg', 'jpeg', 'png', 'bmp', 'tiff', 'xlsx', 'xls',
+          'csv', 'hwp', 'hwpx', 'html', 'zip'])[o_orderkey % 18 + 1] AS suffix FROM orders) GROUP BY suffix""",
     "load_txt": _loaded(
         f"SELECT doc_id, replace(replace(text, chr(13) || {NL}, {NL}), chr(13), {NL}) AS text FROM documents",
         "txt", ".txt", "doc_", "doc_id"),

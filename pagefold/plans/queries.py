@@ -49,8 +49,10 @@ from pagefold.operators.vector_index import (
 from pagefold.plans import derived
 from pagefold.plans.ingest import ingest_pages
 from pagefold.session import shared_folder, spread, stage_table
+from pagefold.sinks.chunk_documents import write_chunk_documents, write_vectors
+from pagefold.sources.chunk_documents import chunk_rows, read_chunk_documents, read_vectors
 from pagefold.settings import Settings
-from pagefold.sources.folder import loader_of, suffix_of
+from pagefold.sources.folder import HANGUL_SUFFIXES, SUFFIXES, loader_of, suffix_of
 from pagefold.sources.loading import OK, load_html, load_pages, table_pages
 from pagefold.sources.tables import load_table
 
@@ -324,15 +326,51 @@ def ingest_summary(spark: SparkSession, folder: str) -> DataFrame:
     return run_summary(pages.select("path", "source_file"), document_headers(chunks))
 
 
+# Suffixes of a made-up folder listing: one file per order, every loader among them.
+LISTED = (*SUFFIXES, *HANGUL_SUFFIXES, "html", "zip")
+
+
 def file_routing(spark: SparkSession, folder: str) -> DataFrame:
-    path = F.regexp_replace(F.col("url"), "[?#].*$", "")
-    suffix = suffix_of(path)
-    routed = load_table(spark, folder, "pages").select(
+    names = F.array(*[F.lit(s) for s in LISTED])
+    chosen = F.get(names, F.pmod("o_orderkey", F.lit(len(LISTED))).cast("int"))
+    paths = load_table(spark, folder, "orders").select(F.concat(F.lit("raw/f."), chosen).alias("path"))
+    suffix = suffix_of(F.col("path"))
+    routed = paths.select(
         F.lower(suffix).alias("suffix"), F.coalesce(loader_of(suffix), F.lit("none")).alias("loader")
     )
     return routed.groupBy("suffix", "loader").agg(F.count("*").alias("files"))
 
 
+def _two_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Chunks of half of the conversations with other text, then those of all conversations."""
+    pages = _turn_pages(spark, folder)
+    half = F.crc32("source_file") % 2 == 0
+    before = pages.where(half).withColumn("text", F.concat(F.lit("before: "), "text"))
+    return ingest_pages(before, BASIC), ingest_pages(pages, BASIC)
+
+
+def stored_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunk documents written twice, the second batch in place of the first, and read back."""
+    path = f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}"
+    first, every = _two_batches(spark, folder)
+    half = F.crc32("source_file") % 2 == 0
+    write_chunk_documents(document_records(stage_table(every.where(~half), "rest"), BASIC), path)
+    for batch in (first, every.where(half)):
+        write_chunk_documents(document_records(stage_table(batch, "batch"), BASIC), path)
+    rows = chunk_rows(read_chunk_documents(spark, path))
+    return rows.select("source_file", "chunk_id", "page_num", "char_count", "text")
+
+
+def stored_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors written in two overlapping batches and read back, counted per document."""
+    path = f"{shared_folder(spark)}/vectors-{uuid.uuid4().hex}"
+    embedder = HashingEmbedder()
+    for batch in _two_batches(spark, folder):
+        write_vectors(vector_table(embed_chunks(batch, embedder), embedder), path)
+    found = read_vectors(spark, path).groupBy("source_file")
+    return found.agg(F.count("*").alias("vectors"), F.max("embedding_dim").alias("dimension"))
+
+
 # --- sources --------------------------------------------------------------------------------
 
 
@@ -584,6 +622,8 @@ QUERIES: dict[str, Query] = {
     "document_parts": document_parts,
     "run_summary": ingest_summary,
     "file_routing": file_routing,
+    "stored_chunks": stored_chunks,
+    "stored_vectors": stored_vectors,
     "load_txt": _loaded(derived.text_files),
     "load_csv": _loaded(derived.csv_files),
     "load_office": _loaded(derived.office_files),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,13 +59,28 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A staged table for the time of a block: long-running streams leave nothing behind."""
+    spark = df.sparkSession
+    table = stage_table(df, name)
+    path = _staged[spark.sparkContext.applicationId].pop()
+    try:
+        yield table
+    finally:
+        _delete(spark, path)
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables this application has staged, once nothing reads them any more."""
     paths = _staged.pop(spark.sparkContext.applicationId, [])
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
-        hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(configuration).delete(hadoop_path, True)
+        _delete(spark, path)
     return len(paths)
 
 

@@ -1,24 +1,52 @@
-"""Storing chunk documents and vectors."""
+"""Storing chunk documents and vectors; a document is replaced, the others stay."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagefold.session import stage_table
+from pagefold.sources.tables import path_exists
+
+# Part of the stored form: documents are found again by this hash of their name.
+FOLDERS = 64
+
+
+def _replace(rows: DataFrame, path: str, kind: str) -> None:
+    """Write ``rows`` in place of what the store holds of their documents.
+
+    The store is partitioned by a hash of the document name. Only the folders of the given
+    documents are read and written again, by dynamic partition overwrite; the rows that stay in
+    them are stored elsewhere first, as a folder cannot be read while it is overwritten.
+    """
+    spark = rows.sparkSession
+    folder = F.pmod(F.xxhash64("source_file"), F.lit(FOLDERS)).cast("int")
+    out = rows.withColumn("folder", folder)
+    if path_exists(spark, path):
+        fresh = stage_table(out, "fresh")
+        old = spark.read.schema(fresh.schema).format(kind).load(path)
+        touched, names = fresh.select("folder").distinct(), fresh.select("source_file").distinct()
+        stays = old.join(touched, "folder", "left_semi").join(names, "source_file", "left_anti")
+        out = fresh.unionByName(stage_table(stays.select(fresh.columns), "stays"))
+    (
+        out.repartition("folder", F.pmod(F.xxhash64("source_file", F.lit(1)), F.lit(16)))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("folder")
+        .format(kind)
+        .save(path)
+    )
+
 
 def write_chunk_documents(records: DataFrame, path: str) -> None:
     """One JSON object per line and record, keyed by the full file name.
 
     Null fields are left out, as readers treat them as absent; a line per record keeps the
-    number of files independent of the number of documents.
+    number of files independent of the number of documents. Other documents at ``path`` stay.
     """
-    records.write.mode("overwrite").json(path)
+    _replace(records, path, "json")
 
 
 def write_vectors(vectors: DataFrame, path: str) -> None:
-    vectors.write.mode("overwrite").parquet(path)
-
-
-def as_json_lines(records: DataFrame) -> DataFrame:
-    """``source_file, part, json`` for callers with a writer of their own."""
-    return records.select("source_file", "part", F.to_json(F.struct("*")).alias("json"))
+    """Vectors of documents in place of those the store has of them."""
+    _replace(vectors, path, "parquet")

@@ -17,7 +17,7 @@ def read_chunk_documents(spark: SparkSession, path: str, whole_files: bool = Fal
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     if whole_files:
         reader = reader.option("multiLine", True).option("pathGlobFilter", "*_chunks.json")
-    return reader.json(path)
+    return reader.json(path).drop("folder")
 
 
 def chunk_rows(documents: DataFrame) -> DataFrame:
@@ -39,4 +39,4 @@ def chunk_rows(documents: DataFrame) -> DataFrame:
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.VECTORS).parquet(path)
+    return spark.read.schema(schemas.VECTORS).parquet(path).drop("folder")

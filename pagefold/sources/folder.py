@@ -41,7 +41,7 @@ def suffix_of(path: Column) -> Column:
 
 def loader_of(suffix: Column) -> Column:
     """Loader a suffix is routed to; null for formats that are not supported."""
-    bare = F.lower(F.substring(suffix, 2, 16))
+    bare = F.lower(F.regexp_replace(suffix, r"^\.", ""))
     chosen = F.when(bare.isin(*IMAGE_SUFFIXES), "image")
     for name in SUFFIXES + HANGUL_SUFFIXES:
         if name not in IMAGE_SUFFIXES:

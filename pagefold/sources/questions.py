@@ -6,12 +6,13 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Questions asked when none is given, and words that end a dialogue.
+# Asked when no question is given.
 DEMO_QUESTIONS = (
-    "회계팀 시스템 수정 요청이 무엇인가요?",
-    "시스템 개발 프로젝트 회의록에서 논의된 내용은?",
-    "관리자 계정 권한 추가와 관련된 내용은?",
+    "이 문서들은 무엇에 관한 것인가요?",
+    "누가 언제까지 무엇을 해야 하나요?",
+    "Which decisions do the documents record?",
 )
+# Words that end a dialogue.
 STOP_WORDS = ("exit", "quit", "q")
 
 

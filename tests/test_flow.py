@@ -1,8 +1,8 @@
 from __future__ import annotations
 
-import json
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagefold.backends import FirstSentence, HashingEmbedder
@@ -12,7 +12,7 @@ from pagefold.operators.vector_index import VectorIndex
 from pagefold.plans.indexing import embed_documents, upload_vectors
 from pagefold.plans.ingest import ingest_folder, ingest_pages
 from pagefold.settings import Settings
-from pagefold.sinks.chunk_documents import as_json_lines
+from pagefold.sinks.chunk_documents import write_chunk_documents
 from pagefold.sources.chunk_documents import chunk_rows, read_chunk_documents, read_vectors
 from pagefold.sources.loading import table_pages
 from pagefold.sources.questions import questions_frame
@@ -71,8 +71,27 @@ def test_large_documents_are_split_into_parts(spark):
     assert ids == list(range(hot[0]["total_chunks"])) and max(len(r["chunks"]) for r in hot) <= 16
     none = next(r for r in rows if r["source_file"] == "none")
     assert (none["total_chunks"], none["average_chunk_size"]) == (1, 0.0)
-    line = json.loads(as_json_lines(records).where("source_file = 'small'").first()["json"])
-    assert line["chunks"][0]["text"] == "짧은 글"
+    small = next(r for r in rows if r["source_file"] == "small")
+    assert small["chunks"][0]["text"] == "짧은 글"
+
+
+def test_writing_a_document_keeps_the_others(spark, tmp_path):
+    path, settings = str(tmp_path / "store"), Settings(chunk_size=50, chunk_overlap=10, strategy="basic")
+
+    def write(names, text):
+        frame = table_pages(spark.createDataFrame([(n, 1, text) for n in names], "d string, p int, text string"), F.col("d"), F.col("p"))
+        write_chunk_documents(document_records(ingest_pages(frame, settings), settings), path)
+
+    write([f"d{i}" for i in range(80)], "first text " * 20)
+    write(["d3", "d4", "new"], "second")
+    found = {r["source_file"]: len(r["chunks"]) for r in read_chunk_documents(spark, path).collect()}
+    assert len(found) == 81 and found["d3"] == found["new"] == 1 and found["d5"] > 1
+
+
+def test_a_broken_promise_of_pages_fails(spark):
+    frame = table_pages(spark.createDataFrame([("d", 1, "a"), ("d", 2, "b")], "d string, p int, text string"), F.col("d"), F.col("p"))
+    with pytest.raises(Exception, match="max_pages"):
+        ingest_pages(frame, Settings(strategy="basic"), max_pages=1).collect()
 
 
 def test_stream_indexes_each_file_once(spark, tmp_path):
