@@ -23,7 +23,8 @@ THRESHOLD = 0.7
 LEAST_EVIDENCE = 2.5
 STEMS = (4, 5, 6, 7)
 WORD = re.compile(r"[^\W\d_]+")
-REMEMBERED = 200_000
+# Words and automaton states a task remembers; what is forgotten is computed again.
+REMEMBERED, STATES = 50_000, 20_000
 
 # Signs and words of quotation.
 QUOTES = "\"“”„«»‹›"
@@ -106,7 +107,7 @@ class Lexicon:
             key = (states, c)
             states = self._states.get(key)
             if states is None:
-                if len(self._states) >= REMEMBERED:
+                if len(self._states) >= STATES:
                     self._states.clear()
                 states = self._states[key] = self._step(*key)
             if not states:
@@ -274,7 +275,7 @@ def _scores(rows: DataFrame, model: Toxicity) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            made = pa.array([model.score(t or "") for t in batch.column(at).to_pylist()], pa.float64())
+            made = pa.array([model.score(t.as_py() or "") for t in batch.column(at)], pa.float64())
             columns = [made if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(
                 columns, names=["score" if n == "text" else n for n in batch.schema.names]
