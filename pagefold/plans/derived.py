@@ -31,6 +31,7 @@ MEMO_SQL = """
       '- 고객 ', CAST(o_custkey AS STRING), ' 확인했습니다. 다음 단계로 진행합니다！ 끝', chr(10),
       '[', translate(o_orderpriority, '-', ' '), ']', chr(10),
       '-----', chr(10), '*** ㅁㅁ', chr(10), '가', chr(10),
+      '.....a1.....', chr(10), 'ㅁㅁ 보고서 자료 ㅏㅏ', chr(10),
       '2) 처리', chr(9), chr(9), '상태 ', o_orderstatus
     )
 """

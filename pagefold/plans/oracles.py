@@ -234,6 +234,11 @@ ENTITIES = [
     (r"[A-Z][a-z]+ [a-z]+", "ORGANIZATION", 0.65),
     (r"[0-9]{3,}", "QUANTITY", 0.7),
 ]
+# Employee numbers need a letter and three characters; titles are ranks; other labels and low scores go.
+LABELLED = _spans([*CONTACT, (r"[0-9]+[a-z]*", "사번", 0.8), (r"[A-Z][a-z]{5,}", "직급", 0.6)]).replace(
+    "FROM found)",
+    "FROM found WHERE NOT (entity = '사번' AND (regexp_matches(text, '^[0-9]+$') OR length(text) < 3)))",
+)
 SPAN_ROWS = "SELECT doc_id, start_at, end_at, entity, text FROM kept"
 MASKED = f"""{_spans(CONTACT)},
     pieces AS (
@@ -413,6 +418,7 @@ ORACLES: dict[str, str] = {
         CASE WHEN char_count = 0 THEN 'no_text' END AS warning FROM chunks""",
     "pii_spans": f"WITH RECURSIVE {_spans(CONTACT)} {SPAN_ROWS}",
     "pii_merged": f"WITH RECURSIVE {_spans(ENTITIES)} {SPAN_ROWS}",
+    "pii_labelled": f"WITH RECURSIVE {LABELLED} {SPAN_ROWS}",
     "pii_masked": f"""WITH RECURSIVE {MASKED} SELECT doc_id, text, changes_made,
         CASE WHEN contact THEN 'presidio' ELSE '' END AS methods FROM masked""",
     "pii_findings": f"""WITH RECURSIVE {_spans(ENTITIES)},
@@ -547,6 +553,17 @@ ORACLES: dict[str, str] = {
         FROM ranked r JOIN entries e ON r.id = e.id GROUP BY r.question_id""",
     "answer_graded": _answers(5),
     "answer_simple": _answers(3),
+    "answer_refused": f"""WITH {TURN_INDEX}, {_nearest('hashed_entries', 'hashed_items', 1)},
+      found AS (SELECT r.question_id, q.text AS question,
+          CASE WHEN split_part(r.id, '_', -1)::INT % 2 = 0 THEN ' ' ELSE e.text END AS context
+        FROM ranked r JOIN entries e ON r.id = e.id JOIN benchmark q ON q.item_id = r.question_id)
+      SELECT question_id, NOT {_blank('context')} AS grade_passed, 1 AS sources,
+        CASE WHEN {_blank('context')} THEN 'I don''t have enough information to answer this question.'
+          ELSE {_sentences('context')}[1] END AS answer,
+        'Use only the context below to answer the question, clearly and briefly.' || {NL}
+          || 'If the context does not hold the answer, reply "I don''t have enough information to answer this question."'
+          || {NL} || 'Write the answer in Korean.' || {NL} || {NL} || 'Context:' || {NL} || context || {NL} || {NL}
+          || 'Question: ' || question || {NL} || {NL} || 'Answer:' AS prompt FROM found""",
     "retrieve_documents": f"""{_walk_recursive(CLEANED_DOCS)}, {_semantic_ctes('cleaned', 'doc_id')},
         entries AS (SELECT doc_id || '_' || chunk_id AS id, CASE WHEN {_blank('text')} THEN ' ' ELSE {_strip('text')} END AS text FROM merged),
         items AS (SELECT item_id AS question_id, text FROM benchmark),

@@ -23,7 +23,7 @@ from pagefold.functions.spans import entity_name, pattern_spans
 from pagefold.functions.splitting import sentences
 from pagefold.functions.structure import structure_items, structure_types
 from pagefold.functions.text import preview
-from pagefold.operators.answering import answer_questions, assemble, embed_questions, retrieve
+from pagefold.operators.answering import answer_questions, assemble, embed_questions, prompt, retrieve
 from pagefold.operators.chunking import split_pages
 from pagefold.operators.cleaning import count_rules, explain_lines
 from pagefold.operators.embedding import embed_chunks, embeddable, embedding_summary, vector_table
@@ -213,6 +213,21 @@ def pii_merged(spark: SparkSession, folder: str) -> DataFrame:
     return _span_rows(detect(docs, entities=entity_rules(F.col("text"))))
 
 
+# Stand-in for the labelled recogniser: one wanted label, one that is renamed, one unwanted.
+LABEL_RULES = (
+    (r"[0-9]+[a-z]*", "사번", 0.8),
+    (r"[A-Z][a-z]{5,}", "직함", 0.6),
+    (r"[a-z]+ing", "동물", 0.9),
+    (r"[a-z]+ed", "부서", 0.4),
+)
+
+
+def pii_labelled(spark: SparkSession, folder: str) -> DataFrame:
+    docs = derived.documents(spark, folder)
+    found = F.concat(*[pattern_spans(F.col("text"), *rule) for rule in LABEL_RULES])
+    return _span_rows(detect(docs, labelled=found))
+
+
 def pii_masked(spark: SparkSession, folder: str) -> DataFrame:
     out = filter_text(derived.documents(spark, folder))
     return out.select(
@@ -565,6 +580,19 @@ def _answers(graded: bool) -> Query:
     return run
 
 
+def answer_refused(spark: SparkSession, folder: str) -> DataFrame:
+    """One source per question, blank for every second turn: the grade fails and the answer is the refusal."""
+    index = _turn_index(spark, folder)
+    silent = F.when(F.col("chunk_id") % 2 == 0, F.lit(" ")).otherwise(F.col("document"))
+    asked = _items(spark, folder)
+    settings = Settings(graded_top_k=1)
+    out = answer_questions(
+        index.withColumn("document", silent), asked, HashingEmbedder(), FirstSentence(), True, settings
+    )
+    text = prompt(F.col("question"), F.col("context"))
+    return out.select("question_id", "grade_passed", "answer", F.size("sources").alias("sources"), text.alias("prompt"))
+
+
 def document_index(spark: SparkSession, folder: str) -> DataFrame:
     """Index entries of all documents."""
     chunks = split_pages(_document_pages(spark, folder), SEMANTIC, max_pages=1)
@@ -609,6 +637,7 @@ QUERIES: dict[str, Query] = {
     "empty_placeholder": empty_placeholder,
     "pii_spans": pii_spans,
     "pii_merged": pii_merged,
+    "pii_labelled": pii_labelled,
     "pii_masked": pii_masked,
     "pii_findings": pii_findings,
     "pii_page_report": pii_page_report,
@@ -640,5 +669,6 @@ QUERIES: dict[str, Query] = {
     "context_assembly": context_assembly,
     "answer_graded": _answers(True),
     "answer_simple": _answers(False),
+    "answer_refused": answer_refused,
     "retrieve_documents": retrieve_documents,
 }
