@@ -30,7 +30,8 @@ CROWDED = 2_000
 SHARD = 3_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
-CHUNK = 300_000
+# Segments looked at together.
+CHUNK = 50_000
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -63,11 +64,14 @@ def segments(hashes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.n
     start |= (place - began) % MOST == 0
     first = np.flatnonzero(start)
     count = np.diff(np.append(first, len(low)))
-    inside = np.arange(wide)
-    left = first + runs[first[:, None] + inside].argmin(axis=1)
     last = first + count - 1
-    right = last + runs[last[:, None] + inside].argmin(axis=1)
-    return low[first].view(np.int64), first, count, left != right
+    inside = np.arange(wide)
+    twice = np.zeros(len(first), dtype=bool)
+    for at in range(0, len(first), CHUNK):  # a block at a time, as each takes a window of hashes
+        a, b = first[at : at + CHUNK], last[at : at + CHUNK]
+        left, right = (x + runs[x[:, None] + inside].argmin(axis=1) for x in (a, b))
+        twice[at : at + CHUNK] = left != right
+    return low[first].view(np.int64), first, count, twice
 
 
 def _profile(docs: DataFrame, window: int) -> DataFrame:
