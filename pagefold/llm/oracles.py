@@ -36,4 +36,64 @@ FROM sized s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source AND s.size =
   AND s.doc_id IS NOT DISTINCT FROM r.doc_id
 """
 
-LLM_ORACLES = {"op1_mixing": MIXING}
+# Masks, window and agreement as the operator states them; list positions count from 1.
+_MASKS = ("110011101", "110100111")
+
+
+def _seed(words: str, at: str) -> str:
+    """Per mask the selected words, as one list of two strings."""
+    keys = [
+        " || chr(31) || ".join(f"{words}[{at} + {i + 1}]" for i, c in enumerate(mask) if c == "1") for mask in _MASKS
+    ]
+    return "[" + ", ".join(f"'{n}' || chr(31) || {key}" for n, key in enumerate(keys)) + "]"
+
+
+_SAME = (
+    "list_transform(range(-4, 13), lambda o: CASE WHEN p + o >= 0 AND q + o >= 0 "
+    "AND words[p + o + 1] = tokens[q + o + 1] THEN 1 ELSE 0 END)"
+)
+_BEST = f"list_max(list_transform(range(1, 6), lambda n: list_sum(({_SAME})[n:n + 12])))"
+DECONTAMINATION = f"""
+WITH items AS (
+  SELECT min(item_id) AS item_id, tokens FROM (
+    SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS tokens
+    FROM benchmark) GROUP BY tokens HAVING len(tokens) >= 9
+), seeds AS (
+  SELECT item_id, tokens, q, unnest({_seed('tokens', 'q')}) AS seed
+  FROM (SELECT item_id, tokens, unnest(range(0, len(tokens) - 8)) AS q FROM items)
+), texts AS (
+  SELECT row_number() OVER () AS n, doc_id, text,
+    string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+') AS words FROM documents
+), places AS (
+  SELECT n, p, unnest({_seed('words', 'p')}) AS seed
+  FROM (SELECT n, words, unnest(range(0, len(words) - 8)) AS p FROM texts WHERE len(words) >= 9)
+), hits AS (
+  SELECT doc_id, text, item_id, p, {_BEST} AS agreed
+  FROM (SELECT p.n, p.p, s.item_id, s.tokens, s.q FROM places p JOIN seeds s ON p.seed = s.seed) h JOIN texts t ON h.n = t.n
+)
+SELECT doc_id, item_id, count(*) AS n_hits, max(agreed)::BIGINT AS agreed, min(p)::BIGINT AS first_word,
+  (max(p) + 8)::BIGINT AS last_word
+FROM hits WHERE agreed >= 11 GROUP BY doc_id, text, item_id
+"""
+
+SUBSTRINGS = """
+WITH texts AS (
+  SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT n, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+  FROM (SELECT n, w, unnest(range(1, len(w) - 33)) AS i FROM texts WHERE len(w) >= 35)
+), repeated AS (
+  SELECT n, i FROM (SELECT n, i, count(*) OVER (PARTITION BY h) AS times FROM windows) WHERE times > 1
+), gone AS (
+  SELECT DISTINCT n, i + k AS j FROM repeated, (SELECT unnest(range(0, 35)) AS k)
+), words AS (
+  SELECT n, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM texts
+), kept AS (
+  SELECT n, string_agg(x, ' ' ORDER BY j) AS s, count(*) AS held FROM words ANTI JOIN gone USING (n, j) GROUP BY n
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(held, 0))::BIGINT AS n_removed,
+  sha256(coalesce(s, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (n)
+"""
+
+LLM_ORACLES = {"op1_mixing": MIXING, "op5_decontamination": DECONTAMINATION, "op7_substring": SUBSTRINGS}

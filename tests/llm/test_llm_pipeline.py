@@ -55,7 +55,8 @@ def test_columns_and_types(spark, name):
 @pytest.mark.parametrize("name", sorted(LLM_ORACLES))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     cursor = con.execute(LLM_ORACLES[name])
     names = [c[0] for c in cursor.description]
     rows = [tuple(r) for r in LLM_QUERIES[name](spark, SF).select(*names).collect()]
