@@ -21,10 +21,12 @@ LEXICON = 256
 THRESHOLD = 0.7
 # Stems and words must be this much likelier, in logarithms, in texts marked toxic.
 LEAST_EVIDENCE = 2.5
+# Part of the strongest entry's evidence from which a word is also found misspelt.
+STRONG = 0.8
 STEMS = (4, 5, 6, 7)
 WORD = re.compile(r"[^\W\d_]+")
 # Words and automaton states a task remembers; what is forgotten is computed again.
-REMEMBERED, STATES = 50_000, 20_000
+REMEMBERED, STATES = 50_000, 50_000
 
 # Signs and words of quotation.
 QUOTES = "\"“”„«»‹›"
@@ -38,7 +40,10 @@ NEAR = 60
 
 @dataclass
 class Lexicon:
-    """Weighted entries: whole words, matched with errors, and stems, matched as they begin a word."""
+    """Weighted entries: whole words, the strongest matched with errors, and stems, matched as they begin a word.
+
+    A weaker entry with an error would be found in too many words by chance.
+    """
 
     words: dict[str, float]
     stems: dict[str, float]
@@ -58,10 +63,12 @@ class Lexicon:
                         self.nodes.append({})
                     at = self.nodes[at][c]
                 marks[at] = entry
-        # Nodes under which only stems lie allow no error.
+        most = max(self.words.values(), default=0.0)
+        self.errors = {w: allowed(w) if e >= STRONG * most else 0 for w, e in self.words.items()}
+        # Nodes under which only exact entries lie allow no error.
         self.reach = [0] * len(self.nodes)
         for node in range(len(self.nodes) - 1, -1, -1):
-            own = allowed(self.ends[node]) if node in self.ends else 0
+            own = self.errors[self.ends[node]] if node in self.ends else 0
             self.reach[node] = max([own, *(self.reach[child] for child in self.nodes[node].values())])
         self.start = self._closed({(0, 0, "")})
 
@@ -117,7 +124,7 @@ class Lexicon:
                     stem = self.begins[node]
         found = None
         for node, errors, swapped in states:
-            if not swapped and node in self.ends and errors <= allowed(self.ends[node]):
+            if not swapped and node in self.ends and errors <= self.errors[self.ends[node]]:
                 weight = self.words[self.ends[node]] / (1 + errors)
                 if found is None or (weight, self.ends[node]) > found[1:]:
                     found = ("near" if errors else "word", weight, self.ends[node])

@@ -501,12 +501,13 @@ def distance(a, b):
 
 
 def test_automaton_equals_distances():
-    words = {"abcab": 1.0, "cab": 2.0, "bcabc": 3.0, "abcabcabc": 4.0, "ccccccccc": 5.0, "abca": 6.0}
+    words = {"abcab": 5.0, "cab": 5.1, "bcabc": 5.2, "abcabcabc": 5.3, "ccccccccc": 5.4, "abca": 6.0, "bbbbbbb": 1.0}
     lexicon = toxicity.Lexicon(words, {})
+    assert lexicon.errors["bbbbbbb"] == 0 and lexicon.errors["abcab"] == 1 and lexicon.errors["ccccccccc"] == 2
     rng = random.Random(9)
     for _ in range(3000):
         word = "".join(rng.choice("abc") for _ in range(rng.randint(0, 11)))
-        near = [(words[e] / (1 + distance(e, word)), e) for e in words if distance(e, word) <= toxicity.allowed(e)]
+        near = [(words[e] / (1 + distance(e, word)), e) for e in words if distance(e, word) <= lexicon.errors[e]]
         match = lexicon.match(word)
         assert (match and match[1:]) == (max(near) if near else None), word
 
