@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagefold.llm import minhash
 from pagefold.llm.common import packed, row_key, unpacked
 from pagefold.llm.components import components
 from pagefold.session import stage_table
@@ -143,16 +144,17 @@ def group_report(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each group, the one with the smallest id, with its columns.
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = minhash.SHINGLE, similarity: float = minhash.SIMILARITY
+) -> DataFrame:
+    """One row of each group of near copies, the one with the smallest id, with its columns.
 
-    Of rows with the same smallest id, or without any, one stays, whichever text comes first by hash.
+    Near copies share at least ``similarity`` of their word shingles; groups are the components of
+    such pairs. The 2 bits of ``group_report`` bind the query only and would leave most of them in.
+    Texts without a word are one group. Of rows with the same smallest id, or without any, one stays,
+    whichever text comes first by hash.
     """
-    groups = near_groups(docs)
-    best = groups.groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "key")).alias("first")
-    )
-    winners = best.select(F.col("first.key").alias("winner"))
+    winners = minhash.first_rows(docs, shingle, similarity)
     rows = packed(docs).withColumn("key", row_key(F.col("row.doc_id"), F.col("row.text")))
     kept = rows.join(winners, F.col("key") == F.col("winner"))
     # Rows alike in id and text: the join has brought them together.

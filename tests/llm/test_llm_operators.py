@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pagefold.llm import (
     components,
     decontamination,
+    minhash,
     mixing,
     pii,
     quality_classifier,
@@ -376,6 +377,45 @@ def test_one_row_of_each_group_stays(spark, odd):
     assert kept.where("doc_id is null").count() == 1
 
 
+def near_components(rows):
+    """The smallest id of every group of texts that share 0.8 of their 5-word shingles, from all pairs."""
+    made = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        made.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if len(made[i] & made[j]) >= 0.8 * len(made[i] | made[j]):
+            root[find(i)] = find(j)
+    return sorted(min(d for k, (d, _) in enumerate(rows) if find(k) == r) for r in {find(k) for k in range(len(rows))})
+
+
+@pytest.mark.parametrize("paired", [8, 1])
+def test_near_copies_by_similarity(spark, docs, paired, monkeypatch):
+    """Copies with a changed word, chains of such, and a crowd, against all pairs."""
+    monkeypatch.setattr(minhash, "PAIRED", paired)
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    rows = [(r["doc_id"] + 10_000, r["text"]) for r in docs.collect()]
+    for n in range(12):
+        words = rng.choices(vocabulary, k=120)
+        for step in range(20 if n == 0 else 4):
+            rows.append((100 * n + step, " ".join(words)))
+            words = list(words)
+            for _ in range(rng.randint(1, 4)):
+                words[rng.randrange(120)] = rng.choice(vocabulary)
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = near_components(rows)
+    assert len(want) < len(rows) - 30
+    assert sorted(r["doc_id"] for r in kept.collect()) == want
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)]
