@@ -21,12 +21,12 @@ LEXICON = 256
 THRESHOLD = 0.7
 # Stems and words must be this much likelier, in logarithms, in texts marked toxic.
 LEAST_EVIDENCE = 2.5
-# Part of the strongest entry's evidence from which a word is also found misspelt.
+# Where nothing is known of a lexicon's texts: part of the strongest weight from which a word is also found misspelt.
 STRONG = 0.8
 STEMS = (4, 5, 6, 7)
 WORD = re.compile(r"[^\W\d_]+")
 # Words and automaton states a task remembers; what is forgotten is computed again.
-REMEMBERED, STATES = 50_000, 50_000
+REMEMBERED, STATES = 50_000, 20_000
 
 # Signs and words of quotation.
 QUOTES = "\"“”„«»‹›"
@@ -40,13 +40,18 @@ NEAR = 60
 
 @dataclass
 class Lexicon:
-    """Weighted entries: whole words, the strongest matched with errors, and stems, matched as they begin a word.
+    """Weighted entries: whole words, matched with errors, and stems, matched as they begin a word.
 
-    A weaker entry with an error would be found in too many words by chance.
+    ``forms`` are whole words that a stem stands for, found with errors where the stem is not.
+    ``clean`` are words near an entry that clean texts hold too often: they are no misspellings.
+    ``learned`` tells that ``clean`` was counted; without it only the strongest words allow errors.
     """
 
     words: dict[str, float]
     stems: dict[str, float]
+    forms: dict[str, str] = field(default_factory=dict)
+    clean: frozenset[str] = frozenset()
+    learned: bool = False
     _states: dict = field(default_factory=dict, repr=False)
     _known: dict = field(default_factory=dict, repr=False)
 
@@ -54,7 +59,8 @@ class Lexicon:
         self.nodes: list[dict[str, int]] = [{}]
         self.ends: dict[int, str] = {}
         self.begins: dict[int, str] = {}
-        for table, marks in ((self.words, self.ends), (self.stems, self.begins)):
+        self.wholes: dict[int, str] = {}
+        for table, marks in ((self.words, self.ends), (self.stems, self.begins), (self.forms, self.wholes)):
             for entry in table:
                 at = 0
                 for c in entry:
@@ -64,11 +70,12 @@ class Lexicon:
                     at = self.nodes[at][c]
                 marks[at] = entry
         most = max(self.words.values(), default=0.0)
-        self.errors = {w: allowed(w) if e >= STRONG * most else 0 for w, e in self.words.items()}
+        self.errors = {w: allowed(w) if self.learned or e >= STRONG * most else 0 for w, e in self.words.items()}
         # Nodes under which only exact entries lie allow no error.
         self.reach = [0] * len(self.nodes)
         for node in range(len(self.nodes) - 1, -1, -1):
             own = self.errors[self.ends[node]] if node in self.ends else 0
+            own = max(own, allowed(self.wholes[node])) if node in self.wholes else own
             self.reach[node] = max([own, *(self.reach[child] for child in self.nodes[node].values())])
         self.start = self._closed({(0, 0, "")})
 
@@ -123,13 +130,22 @@ class Lexicon:
                 if errors == 0 and not swapped and node in self.begins:
                     stem = self.begins[node]
         found = None
+        sure = word in self.clean
         for node, errors, swapped in states:
-            if not swapped and node in self.ends and errors <= self.errors[self.ends[node]]:
+            if swapped or (errors and sure):
+                continue
+            if node in self.ends and errors <= self.errors[self.ends[node]]:
                 weight = self.words[self.ends[node]] / (1 + errors)
                 if found is None or (weight, self.ends[node]) > found[1:]:
                     found = ("near" if errors else "word", weight, self.ends[node])
         if found is None and stem:
             found = ("stem", self.stems[stem], stem)
+        for node, errors, swapped in states if found is None and not sure else ():
+            if not swapped and node in self.wholes and errors <= allowed(self.wholes[node]):
+                entry = self.forms[self.wholes[node]]
+                weight = self.stems[entry] / (1 + errors)
+                if found is None or (weight, entry) > found[1:]:
+                    found = ("near", weight, entry)
         if len(self._known) >= REMEMBERED:
             self._known.clear()
         self._known[word] = found
@@ -210,7 +226,8 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     """Words and stems that texts marked toxic hold far more often than others.
 
     Counted in texts of the sample; of entries that begin one another the one that explains most
-    stays, a word before its stems.
+    stays, a word before its stems. Words near an entry are counted likewise, and those that are
+    not far more often in texts marked toxic are kept as ``clean``.
     """
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     bad, good = counts.get(1, 0), counts.get(0, 0)
@@ -238,13 +255,26 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         .collect()
     )
     chosen: dict[bool, dict[str, float]] = {True: {}, False: {}}
+    forms: dict[str, str] = {}
     taken: list[str] = []
     for r in ranked:
         entry = r["entry"]
         if len(taken) < LEXICON and not any(entry.startswith(o) or o.startswith(entry) for o in taken):
             taken.append(entry)
             chosen[r["whole"]][entry] = round(r["evidence"], 6)
-    return Lexicon(chosen[True], chosen[False])
+        elif r["whole"]:
+            forms |= {entry: o for o in taken if entry.startswith(o) and o in chosen[False]}
+    lexicon = Lexicon(chosen[True], chosen[False], forms, learned=True)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [w for w in batch.column("word").to_pylist() if (m := lexicon.match(w)) and m[0] == "near"]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["word"])
+
+    held = each.groupBy("word").agg(t.alias("t"), c.alias("c")).where("c > 0")
+    doubtful = held.where(evidence < LEAST_EVIDENCE).select("word")
+    clean = frozenset(r["word"] for r in doubtful.mapInArrow(near, "word string").collect())
+    return Lexicon(chosen[True], chosen[False], forms, clean, learned=True)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Toxicity:

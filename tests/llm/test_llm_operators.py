@@ -552,6 +552,19 @@ def test_automaton_equals_distances():
         assert (match and match[1:]) == (max(near) if near else None), word
 
 
+def test_learned_words_and_stems_are_found_misspelt(spark):
+    """Rare entries too; but not words that clean texts hold."""
+    weak = ["florbak", "gnutzel", "vrompik", "zwadlig", "hupfrens"]
+    forms = ["grumblefex", "grumblefexes", "grumblefexing"]
+    toxic = [(f"dranket {weak[i % 5]} {forms[i % 3]} number{i}", 1) for i in range(60)]
+    clean = [(f"a drankel on the table number{i}", 0) for i in range(200)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(toxic + clean, "text string, toxic int"))
+    assert lexicon.words["florbak"] < toxicity.STRONG * max(lexicon.words.values())
+    assert lexicon.match("florbk") == ("near", lexicon.words["florbak"] / 2, "florbak")
+    assert lexicon.match("dranklt")[0] == "near" and lexicon.match("drankel") is None
+    assert lexicon.match("grumblefexes")[0] == "stem" and lexicon.match("gurmblefexes")[0] == "near"
+
+
 def test_stems_and_quotation():
     lexicon = toxicity.Lexicon({"idiot": 6.0}, {"xyzzy": 3.0})
     assert lexicon.match("xyzzyish")[0] == "stem" and lexicon.match("xyzz") is None
