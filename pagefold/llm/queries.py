@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagefold.llm import decontamination, mixing, pii, quality_classifier, quality_rules, sharding, simhash, substring, token_counts, toxicity
+from pagefold.llm import (
+    decontamination,
+    mixing,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    resampling,
+    sharding,
+    simhash,
+    spelling,
+    substring,
+    token_counts,
+    toxicity,
+)
 from pagefold.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +68,18 @@ def kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_report(load_table(spark, folder, "documents"))
 
 
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_report(load_table(spark, folder, "documents"))
+
+
+def target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample_report(load_table(spark, folder, "documents"), load_table(spark, folder, "benchmark"))
+
+
+def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packing_report(load_table(spark, folder, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_mixing": mixture,
     "op2_quality_rules": quality_votes,
@@ -65,4 +91,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_token_counts": edited_token_counts,
     "op9_toxicity": toxicity_scores,
     "op10_sharding": kd_shards,
+    "op11_spelling_variants": spelling_variants,
+    "op12_resampling": target_resampling,
+    "op13_packing": packed_sequences,
 }

@@ -34,12 +34,13 @@ CONTRACT = {
         "doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint",
         "grown_shard": "int",
     },
+    "op12_resampling": dict.fromkeys(("doc_id", "n_features", "weight", "score", "rank"), "bigint"),
 }
 
 
 def test_every_operator_is_registered_once():
     numbers = [int(m[1]) for name in LLM_QUERIES if (m := re.fullmatch(r"op(\d+)_\w+", name))]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(LLM_QUERIES) | {"pipeline"} <= set(driver.queries()) and set(LLM_ORACLES) <= set(LLM_QUERIES)
 
 
