@@ -59,24 +59,25 @@ def source_targets(
     return sources.select("source", "source_size", target.alias("target"))
 
 
-def copies_of_units(
+def copies_of_rows(
     sized: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
     share: float = SHARE,
     most: float = MOST,
     seed: str = "mix",
 ) -> DataFrame:
-    """How often each ``source, size, doc_id`` enters the mix (``copies``), and its number of ``rows``.
-
-    Within a source every document is expected ``target / source_size`` times. The units are laid
-    out by size and id, their expectations are summed up, one offset per source drawn from ``seed``
-    is added, and a unit enters once for every integer its stretch crosses. Neighbours have similar
-    sizes, so the words taken differ from the target by little more than one document. Rows that
-    agree in source, size and id are one unit and enter equally often.
+    """``sized`` (``source, size, doc_id`` and more) with ``source_size, target`` and how often each row enters the mix.
+
+    Within a source every row is expected ``target / source_size`` times. The rows are laid out by
+    size and id, their expectations are summed up, one offset per source drawn from ``seed`` is
+    added, and a row enters once (``copies``) for every integer its stretch crosses. Neighbours have
+    similar sizes, so the words taken differ from the target by little more than one document.
+    Rows that agree in source, size and id share the crossings of their stretch in any order, and
+    are dealt to as many tasks as other rows.
     """
-    targets = source_targets(sized, weights, share, most)
-    units = sized.groupBy("source", "size", "doc_id").agg(F.count("*").alias("rows"))
-    placed = numbered(units, "source", ["size", "doc_id"], "place")
+    targets = source_targets(sized.select("source", "size"), weights, share, most)
+    tied = sized.withColumn("__tie", F.xxhash64(F.monotonically_increasing_id()))
+    placed = numbered(tied, "source", ["size", "doc_id", "__tie"], "__place").drop("__tie")
     joined = placed.join(
         targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))
     ).drop("of")
@@ -84,14 +85,14 @@ def copies_of_units(
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = drawn.cast("double") / F.lit(4294967296.0)
     return (
-        joined.withColumn("rate", rate)
-        .withColumn("offset", offset)
+        joined.withColumn("__rate", rate)
+        .withColumn("__offset", offset)
         .withColumn(
             "copies",
-            F.floor(F.col("rate") * (F.col("place") + 1) + F.col("offset"))
-            - F.floor(F.col("rate") * F.col("place") + F.col("offset")),
+            F.floor(F.col("__rate") * (F.col("__place") + 1) + F.col("__offset"))
+            - F.floor(F.col("__rate") * F.col("__place") + F.col("__offset")),
         )
-        .drop("rate", "offset", "place")
+        .drop("__rate", "__offset", "__place")
     )
 
 
@@ -101,22 +102,20 @@ def mix_report(docs: DataFrame) -> DataFrame:
     Null texts have size 0; null sources are one source, ranked last; an empty table gives no rows;
     repeated rows stay repeated. Columns other than ``doc_id``, ``text`` and ``source`` are not read.
     """
-    units = copies_of_units(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
-    return units.select(
+    rows = copies_of_rows(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    return rows.select(
         "doc_id",
         "size",
         F.col("source_size").cast("long").alias("source_size"),
         "target",
         (F.col("copies") * F.col("size")).alias("taken"),
-        F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))).alias("one"),
-    ).drop("one")
+    )
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """The documents of the mix, with their columns; one taken twice is there twice.
 
-    Only ids, sources and sizes are sorted; the text moves once, to meet the number of its copies.
-    Nulls, ties and repeated rows as in ``mix_report``.
+    The text moves once, to where its row is numbered. Nulls, ties and repeated rows as in ``mix_report``.
     """
     sized = packed(docs).select(
         "row",
@@ -124,15 +123,6 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         F.col("row.source").alias("source"),
         word_count(F.col("row.text")).alias("size"),
     )
-    units = copies_of_units(sized.select("doc_id", "source", "size"), weights, share).where(F.col("copies") > 0)
-    chosen = units.select(
-        F.col("doc_id").alias("u_id"), F.col("source").alias("u_source"), F.col("size").alias("u_size"), "copies"
-    )
-    met = sized.join(
-        chosen,
-        F.col("doc_id").eqNullSafe(F.col("u_id"))
-        & F.col("source").eqNullSafe(F.col("u_source"))
-        & (F.col("size") == F.col("u_size")),
-    )
+    chosen = copies_of_rows(sized, weights, share).where(F.col("copies") > 0)
     again = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return unpacked(met.select("row", again.alias("copy")).drop("copy"))
+    return unpacked(chosen.select("row", again.alias("copy")).drop("copy"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -26,7 +27,8 @@ _REMEMBERED = 1_000_000
 _LONGEST_WORD = 48
 _SEGMENT = 1 << 20
 _GAP = re.compile(rb"[\x09-\x0d ]").search
-_LETTERS = re.compile(rb"[a-z]+").fullmatch
+# Lower-case letters of ASCII and Latin-1, which the tokenizer's steps before its pairs leave alone, and marks behind.
+_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!,.:;?]*)").fullmatch
 # Between a letter or digit and one of these marks every text is cut.
 _MARKED = re.compile(rb"(.*[0-9A-Za-z])([!,.:;?]+)", re.DOTALL).fullmatch
 
@@ -42,16 +44,19 @@ class Ids(dict):  # type: ignore[type-arg]
     def __init__(self, description: str) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_str(description)
-        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.kind = np.dtype(self.code)
         self.pieces = self.tokenizer.model.tokenize
 
     def __missing__(self, word: bytes) -> bytes:
-        if cut := _MARKED(word):
+        cut = _PLAIN(word)
+        if cut and not cut[2]:
+            spelt = word.decode("latin-1")
+            value = array(self.code, [p.id for p in self.pieces(spelt if word.isascii() else spelt.translate(_SPELT))]).tobytes()
+        elif cut := cut or _MARKED(word):
             value = self[cut[1]] + self[cut[2]]
-        elif _LETTERS(word):
-            value = np.array([p.id for p in self.pieces(word.decode())], dtype=self.kind).tobytes()
         else:
-            value = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype=self.kind).tobytes()
+            value = array(self.code, self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
         if len(word) <= _LONGEST_WORD:
             if len(self) >= _REMEMBERED:
                 self.clear()
@@ -69,6 +74,13 @@ class Ids(dict):  # type: ignore[type-arg]
             at = to
 
 
+def _letters_of_bytes() -> dict[int, str]:
+    """How byte-level vocabularies spell bytes: printable ones of Latin-1 as themselves, others from 256 on, in order."""
+    other = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    return {b: chr(256 + n) for n, b in enumerate(other)}
+
+
+_SPELT = _letters_of_bytes()
 _known: dict[str, Ids] = {}
 
 
@@ -88,7 +100,7 @@ def tokenized(docs: DataFrame, description: str, end: int = END) -> tuple[DataFr
     """
     spark = docs.sparkSession
     shipped = spark.sparkContext.broadcast(description)
-    width = np.dtype(Ids(description).kind).itemsize
+    width = Ids(description).kind.itemsize
     closing = end.to_bytes(width, "little")
     names = ["task", "source", "queued", "doc_id", "start", "n", "doc_tokens", "ids"]
 

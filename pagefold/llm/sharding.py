@@ -31,32 +31,51 @@ class Cut:
 
 
 def default_dimensions(text: Column) -> list[Column]:
-    """Length, bytes beyond one per character (alphabet), and a hash, each scaled to 0..1.
+    """Length, bytes beyond one per character (alphabet), and the shares of blanks and of line ends.
 
     All depend on the text alone, so that equal texts share their place.
     """
     size, chars = F.octet_length(text), F.length(text)
+    whole = F.greatest(size, F.lit(1))
     return [
-        F.log1p(size.cast("double")) / 24,
-        (size - chars) / F.greatest(size, F.lit(1)),
-        F.crc32(text) / F.lit(4294967296.0),
+        F.log1p(size.cast("double")),
+        (size - chars) / whole,
+        (size - F.octet_length(F.replace(text, F.lit(" "), F.lit("")))) / whole,
+        (size - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))) / whole,
     ]
 
 
-def _points(text: Column, doc_id: Column, dimensions: list[Column] | None) -> list[Column]:
-    """``size``, the keys per dimension and the row's own hash, all non-negative."""
+def _placed(
+    rows: DataFrame, text: Column, doc_id: Column, dimensions: list[Column] | None, drop: str | None = None
+) -> DataFrame:
+    """``rows`` (without ``drop``) with ``size``, ``keys`` (one per dimension) and ``own``, all non-negative; stored.
+
+    A dimension is scaled by the range it has in these rows; the text's hash stands below it. ``own``
+    is the hash of the id above one of the row's number, so that nothing is left that no cut can divide.
+    """
     whole = F.coalesce(text, F.lit(""))
-    own = F.shiftrightunsigned(F.xxhash64(whole), 64 - BELOW)
-    top = F.lit(2**COORDINATE - 1)
-    keys = []
-    for d in dimensions or default_dimensions(whole):
-        place = F.least(F.greatest(F.floor(F.coalesce(d, F.lit(0.0)) * 2**COORDINATE), F.lit(0)), top)
-        keys.append(F.shiftleft(place.cast("long"), BELOW) + own)
-    return [
+    made = [F.coalesce(d.cast("double"), F.lit(0.0)) for d in dimensions or default_dimensions(whole)]
+    kept = [c for c in rows.columns if c != drop]
+    held = rows.select(
+        *kept,
         (F.octet_length(whole) + OVERHEAD).cast("long").alias("size"),
-        F.array(*keys).alias("keys"),
-        F.shiftrightunsigned(F.xxhash64(doc_id, F.lit("row")), 1).alias("own"),
-    ]
+        F.array(*made).alias("places"),
+        F.shiftrightunsigned(F.xxhash64(whole), 64 - BELOW).alias("below"),
+        F.shiftrightunsigned(F.xxhash64(doc_id, F.lit("row")), 1).alias("id_hash"),
+        F.monotonically_increasing_id().alias("number"),
+    )
+    stored = stage_table(held, "points")
+    axes = range(len(made))
+    ends = stored.agg(*[f(F.get("places", F.lit(d))) for d in axes for f in (F.min, F.max)]).first()
+    top = 2**COORDINATE - 1
+    keys = []
+    for d in axes:
+        low, high = ends[2 * d] or 0.0, ends[2 * d + 1] or 0.0
+        scaled = F.floor((F.get("places", F.lit(d)) - low) * (top / (high - low) if high > low else 0.0))
+        keys.append(F.shiftleft(F.least(F.greatest(scaled, F.lit(0)), F.lit(top)).cast("long"), BELOW) + F.col("below"))
+    among = 2**24 - 1
+    own = F.col("id_hash").bitwiseAND(F.lit(~among)) + F.xxhash64("number").bitwiseAND(F.lit(among))
+    return stored.select(*kept, "size", F.array(*keys).alias("keys"), own.alias("own"))
 
 
 def _assign(levels: list[list[Cut]], level: int = 0, cell: int = 0) -> Column:
@@ -196,16 +215,12 @@ def shard_report(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
 
     The law is ``bytes``. Null texts count as empty; equal texts share a shard unless a cut falls
-    into a group of over 4 % of a shard, which is then cut by its rows; repeated rows stay; an empty
-    table gives no rows; other columns are not read.
+    into a group of over 4 % of a shard, which is then cut by its rows, those of one id included;
+    repeated rows stay; an empty table gives no rows; other columns are not read.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    points = stage_table(
-        docs.select(
-            "doc_id", F.crc32(text).alias("crc"), *_points(F.col("text"), F.col("doc_id"), None)
-        ),
-        "points",
-    )
+    rows = docs.select("doc_id", "text")
+    crc = F.crc32(F.coalesce("text", F.lit(""))).alias("crc")
+    points = _placed(rows.select("doc_id", crc, "text"), F.col("text"), F.col("doc_id"), None, drop="text")
     placed = points.select("doc_id", "size", "crc", "own", _assign(kd_tree(points, shards)).alias("shard"))
     slots = numbered(placed, "shard", ["crc", "doc_id", "own"], "slot")
     return slots.select(
@@ -222,12 +237,11 @@ def shard_report(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 def shard(docs: DataFrame, shards: int = SHARDS, dimensions: list[Column] | None = None) -> DataFrame:
     """The documents with their ``shard`` (replacing such a column), nearly equal in bytes.
 
-    ``dimensions`` are columns of ``docs`` scaled to 0..1; null counts as 0. The shard is a function
-    of the row, so the text never moves. Nulls, ties and repeated rows as in ``shard_report``.
+    ``dimensions`` are numeric columns of ``docs``, such as metadata; null counts as 0. The rows are
+    stored once beside their places and never shuffled. Nulls, ties and repeated rows as in ``shard_report``.
     """
     rows = packed(docs.withColumn("__dimensions", F.array(*dimensions)) if dimensions else docs)
     axes = [F.get("row.__dimensions", F.lit(i)) for i in range(len(dimensions))] if dimensions else None
-    points = _points(F.col("row.text"), F.col("row.doc_id"), axes)
-    tree = kd_tree(stage_table(rows.select(*points), "points"), shards)
-    out = unpacked(rows.select("row", *points).withColumn("shard", _assign(tree)), "shard")
+    points = _placed(rows, F.col("row.text"), F.col("row.doc_id"), axes)
+    out = unpacked(points.withColumn("shard", _assign(kd_tree(points, shards))), "shard")
     return out.drop("__dimensions") if dimensions else out

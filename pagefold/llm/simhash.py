@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagefold.llm import minhash
@@ -157,6 +157,6 @@ def drop_near_duplicates(
     winners = minhash.first_rows(docs, shingle, similarity)
     rows = packed(docs).withColumn("key", row_key(F.col("row.doc_id"), F.col("row.text")))
     kept = rows.join(winners, F.col("key") == F.col("winner"))
-    # Rows alike in id and text: the join has brought them together.
-    first = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
-    return unpacked(kept.withColumn("n", first).where("n = 1").drop("n"))
+    # Rows alike in id and text; as text, columns of any type have an order.
+    first = kept.groupBy("key").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return unpacked(first.select("row"))

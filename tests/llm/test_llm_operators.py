@@ -116,12 +116,28 @@ def test_mix_keeps_columns_and_agrees_with_its_report(spark, odd):
     frame = table(spark, odd)
     out = mixing.mix(frame)
     assert out.columns == frame.columns
-    taken = {(r["doc_id"], r["size"]): r["taken"] for r in mixing.mix_report(frame).collect()}
+    taken = Counter()
+    for r in mixing.mix_report(frame).collect():
+        taken[r["doc_id"], r["size"]] += r["taken"]
     times = Counter((r["doc_id"], len((r["text"] or "").encode().split())) for r in out.collect())
-    rows = Counter((r[0], len((r[1] or "").encode().split())) for r in odd)
-    for key, n in rows.items():
-        if key[1]:
-            assert times[key] * key[1] == taken[key] * n
+    assert all(times[key] * key[1] == n for key, n in taken.items() if key[1])
+
+
+def test_rows_of_one_id_meet_the_target_too(spark):
+    """A third of a source under one id, another under no id: targets as near as with distinct ids."""
+    rng = random.Random(12)
+    words = lambda n: " ".join(["w"] * n)
+    rows = [(7, words(90), "en", "a", 1)] * 400 + [(None, words(50), "en", "a", 1)] * 400
+    rows += [(i, words(rng.randint(1, 200)), "en", "a", 1) for i in range(1000, 1400)]
+    rows += [(i, words(rng.randint(1, 200)), "en", s, 1) for s in "bcd" for i in range(3000, 3300)]
+    frame = table(spark, rows)
+    report = mixing.mix_report(frame).collect()
+    assert len(report) == len(rows)
+    by_target = defaultdict(list)
+    for r in report:
+        by_target[r["target"], r["source_size"]].append(r["taken"])
+    assert len(by_target) == 4 and all(abs(sum(t) - target) <= 200 for (target, _), t in by_target.items())
+    assert mixing.mix(frame).count() == sum(r["taken"] // r["size"] for r in report)
 
 
 # Quality -----------------------------------------------------------------------------------------
@@ -416,6 +432,51 @@ def test_near_copies_by_similarity(spark, docs, paired, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == want
 
 
+@pytest.mark.parametrize("paired", [3, 1])
+def test_a_crowd_of_half_alike_texts(spark, paired, monkeypatch):
+    """Edits of one text, most of them not similar enough to anything, and texts with a long common passage."""
+    monkeypatch.setattr(minhash, "PAIRED", paired)
+    rng = random.Random(paired)
+    base, passage = [f"b{i}" for i in range(150)], [f"p{i}" for i in range(80)]
+    rows = []
+    for n in range(150):
+        words = list(base)
+        for _ in range(n // 10):
+            words[rng.randrange(150)] = f"x{rng.random()}"
+        rows.append((n, " ".join(words)))
+    for n in range(150, 220):
+        own = [f"o{rng.random()}" for _ in range(rng.choice([8, 15, 40, 90]))]
+        rows.append((n, " ".join(own[: len(own) // 2] + passage + own[len(own) // 2 :])))
+        if n % 7 == 0:
+            rows.append((n + 1000, " ".join(own[: len(own) // 2] + passage[:-1] + own[len(own) // 2 :])))
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == near_components(rows)
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.6])
+def test_late_pairs_miss_none(spark, similarity):
+    rng = random.Random(6)
+    sets = []
+    for n in range(160):
+        kin = sets[rng.randrange(n)] if n and rng.random() < 0.7 else set()
+        kept = {x for x in kin if rng.random() < rng.choice([0.8, 0.95, 1.0])}
+        sets.append(kept | {rng.randrange(300) for _ in range(rng.randint(1, 6))} | (set(range(10)) if n % 2 else set()))
+    frame = spark.createDataFrame([(n, sorted(s)) for n, s in enumerate(sets)], "node long, hashes array<long>")
+    label = lambda n: n % 40
+    crowd = spark.createDataFrame([(n, len(s), label(n)) for n, s in enumerate(sets)], "node long, size long, label long")
+    found = {(r["a"], r["b"]) for r in minhash.late_pairs(frame, crowd, similarity).collect()}
+    pairs = list(itertools.combinations(range(len(sets)), 2))
+    want = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) and label(a) != label(b)}
+    assert want and want <= found and len(found) < len(pairs) / 2 and all(label(a) != label(b) for a, b in found)
+
+
+def test_near_copies_with_columns_of_any_type(spark):
+    rows = [(1, "one two three", {"k": 1}), (1, "one two three", {"k": 2}), (2, "one two three", None), (3, "other", {})]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, more map<string,int>")
+    kept = simhash.drop_near_duplicates(frame).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 3] and kept[0].asDict().keys() == {"doc_id", "text", "more"}
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)]
@@ -664,3 +725,29 @@ def test_empty_tables(spark):
         toxicity.drop_toxic(frame, labels), sharding.shard_report(frame), sharding.shard(frame),
     ):
         assert out.count() == 0
+
+
+def test_repeated_rows_of_one_id_are_cut(spark):
+    rows = [(5, "the same text again", "en", "a", 1)] * 300 + [(1000 + i, f"text number {i}", "en", "a", 1) for i in range(100)]
+    frame = table(spark, rows)
+    weight = Counter()
+    for r in sharding.shard_report(frame, 4).collect():
+        weight[r["shard"]] += r["size"]
+    even, most = sum(weight.values()) / 4, len("the same text again") + 8
+    assert set(weight) == {0, 1, 2, 3} and all(abs(w - even) <= 2 * most for w in weight.values())
+    slots = [(r["shard"], r["slot"]) for r in sharding.shard_report(frame, 4).collect()]
+    assert len(set(slots)) == 400
+    assert Counter(r["shard"] for r in sharding.shard(frame, 4).collect()).total() == 400
+
+
+def test_cuts_are_along_metadata(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    points = sharding._placed(docs, F.col("text"), F.col("doc_id"), None)
+    cuts = [cut for level in sharding.kd_tree(points) for cut in level if cut.left != cut.right]
+    assert len(cuts) == 23 and len({c.dimension for c in cuts}) >= 3
+    # Where few rows share the place of a cut, the dimension decides; else the text's hash does.
+    by_place = 0
+    for cut in cuts:
+        place = F.shiftright(F.get("keys", F.lit(cut.dimension)), sharding.BELOW)
+        by_place += points.where(place == cut.key >> sharding.BELOW).count() < 20
+    assert by_place >= 18
