@@ -14,6 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,7 +81,7 @@ def _rank(best: DataFrame, k: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
-def _broadcast_top(index: DataFrame, rows: list, k: int, key: T.DataType) -> DataFrame:
+def _broadcast_top(index: DataFrame, rows: list, k: int, key: T.DataType) -> tuple[DataFrame, Broadcast]:
     names = [row["question_id"] for row in rows]
     questions = np.asarray([row["embedding"] for row in rows], dtype=np.float64)
     dim = questions.shape[1]
@@ -120,7 +121,7 @@ def _broadcast_top(index: DataFrame, rows: list, k: int, key: T.DataType) -> Dat
         )
 
     usable = index.where(F.size("embedding") == dim).select("id", "embedding")
-    return _rank(usable.mapInArrow(scan, schema), k)
+    return _rank(usable.mapInArrow(scan, schema), k), shared
 
 
 def top_k(
@@ -172,5 +173,14 @@ def top_k_with_bound(
     blocks = 1 if count <= most else -(-3 * count // (2 * most))
     dealt = F.pmod(F.xxhash64("question_id"), F.lit(blocks))
     parts = [asked if blocks == 1 else asked.where(dealt == n) for n in range(blocks)]
-    scans = [_broadcast_top(usable, rows, k, key) for part in parts if (rows := part.collect())]
+    scans = []
+    for part in parts:
+        if not (rows := part.collect()):
+            continue
+        found, shared = _broadcast_top(usable, rows, k, key)
+        if blocks > 1:
+            # Ranked and stored before the next block comes, so the driver holds one block at a time.
+            found = stage_table(found, "ranked")
+            shared.destroy()
+        scans.append(found)
     return reduce(DataFrame.unionAll, scans), count * k * 256 <= settings.broadcast_bytes

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -35,27 +34,29 @@ def get_session(app: str = "pagefold", master: str | None = None, **conf: str) -
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's checkpoint folder.
 
-    Only a local session without one falls back to a folder of its own.
+    A session without one cannot store anything.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="pagefold-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 _staged: dict[str, list[str]] = {}
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder that ``drop_staged`` deletes."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

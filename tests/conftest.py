@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
+from pyspark import SparkConf
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -14,10 +16,14 @@ TABLES = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    # Spark's defaults may name a shared folder; where they do not, tests bring their own.
+    conf = SparkConf()
+    shared = conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tests-")
     session = get_session(
         "tests",
         "local[4]",
         **{
+            "spark.checkpoint.dir": shared,
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
