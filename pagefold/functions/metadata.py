@@ -75,6 +75,24 @@ def document_type(text: Column) -> Column:
     return chosen
 
 
+def field_spans(text: Column) -> Column:
+    """Where date (``DT``), department (``OG``) and author's name (``PS``) stand first: ``start, end, label`` each.
+
+    Labels that need no reader, to fit a recogniser on.
+    """
+    name = _found(F.regexp_extract(text, AUTHOR, 0), AUTHOR, 2)
+    spans = []
+    for label, value in (("DT", date_text(text)), ("OG", department(text)), ("PS", name)):
+        start = F.instr(text, value) - 1
+        spans.append(
+            F.when(
+                F.coalesce(F.length(value), F.lit(0)) > 0,
+                F.struct(start.alias("start"), (start + F.length(value)).alias("end"), F.lit(label).alias("label")),
+            )
+        )
+    return F.array_compact(F.array(*spans))
+
+
 FIELDS = {
     "title": title,
     "date": date_text,
