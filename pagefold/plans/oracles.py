@@ -162,6 +162,59 @@ def _semantic_ctes(source: str, key: str, size: int = 500, overlap: int = 100) -
       UNION ALL SELECT {key}, 0, '' FROM {source} WHERE {_blank('text')})"""
 
 
+_SEPARATORS = f"[{NL} || {NL}, {NL}, '。', '. ', '! ', '? ', ', ', ' ', '']"
+
+
+def _recursive_ctes(source: str, key: str, size: int = 500, overlap: int = 100) -> str:
+    """Cut by the first separator a text has, cut long pieces by later ones, join short neighbours; result ``packed``.
+
+    A piece's path is its number in its parent behind the parent's path, so paths sort as texts read.
+    """
+    level = f"list_min(list_filter(range(least, 10), lambda i: i = 9 OR contains(text, {_SEPARATORS}[i])))"
+    split = f"""CASE WHEN level = 9 THEN list_transform(range(1, length(text) + 1), lambda i: text[i])
+        ELSE list_filter(list_transform(string_split(text, {_SEPARATORS}[level]),
+          lambda p, i: CASE WHEN i > 1 THEN {_SEPARATORS}[level] || p ELSE p END), lambda p: p <> '') END"""
+    carried = (
+        "coalesce(list_min(list_filter(range(w.first, w.pos), "
+        f"lambda j: list_sum(r.sizes[j:w.pos - 1]) <= {overlap} "
+        f"AND list_sum(r.sizes[j:w.pos]) <= {size})), w.pos)"
+    )
+    return f"""cut AS (
+      SELECT {key}, '' AS path, level, {split} AS parts FROM (SELECT {key}, text, {level} AS level
+        FROM (SELECT {key}, text, 1 AS least FROM {source} WHERE NOT {_blank('text')}))
+      UNION ALL
+      SELECT {key}, path, level, {split} FROM (SELECT {key}, path, text, {level} AS level
+        FROM (SELECT {key}, path || lpad(n::VARCHAR, 8, '0') AS path, text, before + 1 AS least
+          FROM (SELECT {key}, path, level AS before, unnest(parts) AS text, unnest(range(1, len(parts) + 1)) AS n FROM cut)
+          WHERE length(text) >= {size} AND before < 9))),
+    pieces AS (
+      SELECT *, sum(CASE WHEN length(text) >= {size} THEN 1 ELSE 0 END) OVER (PARTITION BY {key}, path ORDER BY n) AS run
+      FROM (SELECT {key}, path, unnest(parts) AS text, unnest(range(1, len(parts) + 1)) AS n FROM cut)),
+    runs AS MATERIALIZED (
+      SELECT {key}, path || lpad(min(n)::VARCHAR, 8, '0') AS place, list(text ORDER BY n) AS parts,
+        list(length(text) ORDER BY n) AS sizes, count(*) AS n
+      FROM pieces WHERE length(text) < {size} GROUP BY {key}, path, run),
+    steps AS (
+      SELECT {key}, place, 1 AS pos, 1 AS first, 0 AS used, NULL::BIGINT AS out_first, NULL::BIGINT AS out_last FROM runs
+      UNION ALL
+      SELECT w.{key}, w.place, w.pos + 1, CASE WHEN w.over THEN w.keep ELSE w.first END,
+        CASE WHEN w.over THEN coalesce(list_sum(w.sizes[w.keep:w.pos - 1]), 0) ELSE w.used END + w.sizes[w.pos],
+        CASE WHEN w.over THEN w.first END, CASE WHEN w.over THEN w.pos - 1 END
+      FROM (SELECT w.*, r.sizes, {carried} AS keep, w.used + r.sizes[w.pos] > {size} AND w.first < w.pos AS over
+            FROM steps w JOIN runs r ON w.{key} = r.{key} AND w.place = r.place WHERE w.pos <= r.n) w),
+    joined AS (
+      SELECT {key}, place, out_first AS a, out_last AS b FROM steps WHERE out_first IS NOT NULL
+      UNION ALL
+      SELECT w.{key}, w.place, w.first, r.n FROM steps w JOIN runs r ON w.{key} = r.{key} AND w.place = r.place
+      WHERE w.pos = r.n + 1),
+    packed AS (
+      SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY place, b) - 1 AS chunk_id, text
+      FROM (SELECT j.{key}, j.place, j.b, {_strip("array_to_string(r.parts[j.a:j.b], '')")} AS text
+        FROM joined j JOIN runs r ON j.{key} = r.{key} AND j.place = r.place)
+      WHERE text <> ''
+      UNION ALL SELECT {key}, 0, '' FROM {source} WHERE {_blank('text')})"""
+
+
 def _walk_recursive(ctes: str) -> str:
     return f"WITH RECURSIVE {ctes}"
 
@@ -363,6 +416,28 @@ def _valid(key: str, source: str) -> str:
 
 
 _TITLE = "string_split(text, chr(10))[1]"
+# Words of a text, lower-cased, by runs of letters and digits.
+_TERMS = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
+_TERM_STATISTICS = f"""held AS (SELECT doc_id, term, count(*) AS times
+      FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY doc_id, term),
+    kept AS (SELECT term, count(*) AS documents FROM held GROUP BY term HAVING count(*) >= 2 ORDER BY documents DESC, term LIMIT 50000),
+    statistics AS (SELECT term, documents, ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (documents + 1)) + 1 AS idf FROM kept)"""
+_GRAMS = """(SELECT *, unnest(list_transform(range(1, length(plain) - 1), lambda i: plain[i:i + 2])) AS gram
+      FROM (SELECT doc_id, lang, lower(regexp_replace(' ' || text || ' ', '[\\s\\d]+', ' ', 'g')) AS plain FROM documents))"""
+_LANGUAGES = f"""grams AS MATERIALIZED {_GRAMS},
+    counts AS (SELECT lang, gram, count(*) AS n FROM grams WHERE doc_id % 3 <> 0 GROUP BY lang, gram),
+    kept AS (SELECT gram FROM counts GROUP BY gram ORDER BY sum(n) DESC, gram LIMIT 4000),
+    held AS (SELECT * FROM counts SEMI JOIN kept USING (gram)),
+    sums AS (SELECT lang, sum(n) AS whole FROM held GROUP BY lang),
+    model AS (SELECT gram, s.lang, floor(1000 * ln((coalesce(h.n, 0) + 1)::DOUBLE / (whole + (SELECT count(*) FROM kept))))::BIGINT AS score
+      FROM kept CROSS JOIN sums s LEFT JOIN held h USING (gram, lang)),
+    scores AS (SELECT doc_id, m.lang, sum(score)::BIGINT AS score FROM grams g JOIN model m ON g.gram = m.gram GROUP BY doc_id, m.lang)"""
+_LETTERS = "regexp_extract_all({text}, '\\p{{L}}+')"
+_WORDS = f"""texts AS (SELECT doc_id, {_LETTERS.format(text='text')} AS found, string_split_regex(text, '\\p{{L}}+') AS gaps FROM documents),
+    words AS (SELECT doc_id, unnest(list_transform(range(1, len(found) + 1), lambda i: CASE
+      WHEN gaps[i] LIKE '%[' AND gaps[i + 1] LIKE ']%' THEN NULL ELSE lower(found[i]) END)) AS word, unnest(range(1, len(found) + 1)) AS place
+      FROM texts)"""
+
 ORACLES: dict[str, str] = {
     "clean_basic": f"SELECT doc_id, {_clean_basic('text')} AS text FROM documents",
     "ocr_clean_text": f"WITH {_ocr_ctes('documents', 'doc_id')} SELECT doc_id, text FROM ocr",
@@ -406,6 +481,8 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, unnest(range(1, len(list) + 1)) AS i FROM cut)""",
     "chunks_semantic": f"""{_walk_recursive(CLEANED_DOCS)}, {_semantic_ctes('cleaned', 'doc_id')}
         SELECT doc_id, chunk_id::INT AS chunk_id, length(text)::INT AS char_count, text FROM merged""",
+    "chunks_recursive": f"""{_walk_recursive(CLEANED_DOCS)}, {_recursive_ctes('cleaned', 'doc_id')}
+        SELECT doc_id, chunk_id::INT AS chunk_id, length(text)::INT AS char_count, text FROM packed""",
     "chunk_numbering": f"""WITH {_turns(False)} SELECT source_file, page_num, chunk_id, char_count, text FROM chunks""",
     "chunk_facts": f"""{_walk_recursive(MEMO_FACTS)}, {_semantic_ctes('memos', 'memo_id')}, {_lines('memos', 'memo_id')},
         any_kind AS (SELECT memo_id, bool_or(heading) AS h, bool_or(is_list) AS l, bool_or(is_table) AS t
@@ -539,6 +616,36 @@ ORACLES: dict[str, str] = {
         SELECT rank::INT AS rank, id, round(distance, 6) AS distance FROM ranked""",
     "knn_batch": f"""WITH {BY_LABEL}, {_nearest('points', 'centres', 5)}
         SELECT question_id, rank::INT AS rank, id, round(distance, 6) AS distance FROM ranked""",
+    "ann_reranked": f"""WITH {BY_LABEL}, {_nearest('points', 'centres', 5)}
+        SELECT question_id, rank::INT AS rank, id, round(distance, 6) AS distance FROM ranked""",
+    "ann_recall": "SELECT 5 * count(*) AS wanted, true AS reached FROM embeddings WHERE vec_id % 20 = 0",
+    "term_idf": f"WITH {_TERM_STATISTICS} SELECT term, documents, round(idf, 9) AS idf FROM statistics",
+    "latent_fit": f"""WITH {_TERM_STATISTICS}
+        SELECT count(DISTINCT doc_id) AS documents, count(DISTINCT term) AS terms, round(count(DISTINCT doc_id)::DOUBLE, 4) AS energy,
+          true AS captured, 32::INT AS dimension FROM held SEMI JOIN statistics USING (term)""",
+    "language_detected": f"""WITH {_LANGUAGES},
+        placed AS (SELECT *, row_number() OVER w AS place, score - lead(score) OVER w AS margin FROM scores
+          WINDOW w AS (PARTITION BY doc_id ORDER BY score DESC, lang))
+        SELECT p.doc_id, p.lang AS guess, score, margin, p.doc_id % 3 = 0 AS held_out, p.lang = d.lang AS right
+        FROM placed p JOIN documents d ON p.doc_id = d.doc_id WHERE place = 1""",
+    "tagger_quality": f"""WITH {MEMO_FACTS}
+        SELECT type, count(*) AS wanted, true AS reached FROM (
+          SELECT 'DT' AS type FROM facts WHERE date IS NOT NULL UNION ALL SELECT 'OG' FROM facts WHERE department IS NOT NULL
+          UNION ALL SELECT 'PS' FROM facts WHERE author IS NOT NULL) GROUP BY type""",
+    "word_pairs": f"""WITH {_WORDS},
+        placed AS (SELECT word, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM words)
+        SELECT before, word, count(*) AS n FROM placed WHERE before IS NOT NULL AND word IS NOT NULL GROUP BY before, word""",
+    "spelling_neighbours": f"""WITH {_WORDS},
+        counts AS (SELECT word, count(*) AS n FROM words WHERE word IS NOT NULL GROUP BY word),
+        few AS (SELECT word, length(word) AS l FROM counts WHERE n <= 2 AND length(word) >= 4),
+        often AS (SELECT word AS other, n, length(word) AS l FROM counts WHERE n >= 20 AND length(word) >= 3),
+        f AS (SELECT *, unnest(range(1, l + 1)) AS i FROM few), o AS (SELECT *, unnest(range(1, l + 1)) AS i FROM often)
+        SELECT f.word, o.other, o.n FROM f JOIN o ON f.i = o.i AND f.l = o.l AND f.word <> o.other
+          AND substr(f.word, 1, f.i - 1) || substr(f.word, f.i + 1) = substr(o.other, 1, o.i - 1) || substr(o.other, o.i + 1)
+        UNION SELECT f.word, g.other, g.n FROM f JOIN often g ON substr(f.word, 1, i - 1) || substr(f.word, i + 1) = g.other
+        UNION SELECT g.word, o.other, o.n FROM o JOIN few g ON substr(o.other, 1, i - 1) || substr(o.other, i + 1) = g.word
+        UNION SELECT f.word, g.other, g.n FROM f JOIN often g ON f.i < f.l AND f.word <> g.other
+          AND substr(f.word, 1, i - 1) || f.word[i + 1] || f.word[i] || substr(f.word, i + 2) = g.other""",
     "grade_filter": f"""WITH {BY_LABEL}, {_nearest('points', 'centres', 5)},
         found AS (SELECT r.question_id, r.rank, r.id, p.label >= 3 AS good FROM ranked r JOIN points p ON r.id = p.id)
         SELECT question_id, bool_or(good) AS grade_passed,

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagefold.backends import FirstSentence, HashingEmbedder, Unchanged
+from pagefold.backends.tagger import Chain, fit_tagger
 from pagefold.functions.cleaning import clean_ocr_text, clean_text
 from pagefold.functions.language import guess_language, is_plausible_hangul
 from pagefold.functions.masks import (
@@ -18,7 +18,7 @@ from pagefold.functions.masks import (
     sentence_batches,
     token_windows,
 )
-from pagefold.functions.metadata import FIELDS, document_type, title, with_metadata
+from pagefold.functions.metadata import FIELDS, document_type, field_spans, title, with_metadata
 from pagefold.functions.spans import entity_name, pattern_spans
 from pagefold.functions.splitting import sentences
 from pagefold.functions.structure import structure_items, structure_types
@@ -26,7 +26,10 @@ from pagefold.functions.text import preview
 from pagefold.operators.answering import answer_questions, assemble, embed_questions, prompt, retrieve
 from pagefold.operators.chunking import split_pages
 from pagefold.operators.cleaning import count_rules, explain_lines
+from pagefold.operators.correction import correct_texts, neighbours, pair_counts, tokens, word_counts
 from pagefold.operators.embedding import embed_chunks, embeddable, embedding_summary, vector_table
+from pagefold.operators.language_model import detect_languages, fit_languages
+from pagefold.operators.latent import Latent, document_terms, fit_embedder, term_statistics, weighted
 from pagefold.operators.normalization import normalization_summary, normalize_chunks
 from pagefold.operators.privacy import (
     detect,
@@ -34,7 +37,9 @@ from pagefold.operators.privacy import (
     findings_by_type,
     mask_pages,
     page_reports,
+    recognizer_column,
 )
+from pagefold.operators.quantised_index import Quantiser, QuantisedIndex, recall
 from pagefold.operators.retrieval import top_k
 from pagefold.operators.rows import unnest
 from pagefold.operators.rollup import document_headers, document_records, run_summary
@@ -48,7 +53,7 @@ from pagefold.operators.vector_index import (
 )
 from pagefold.plans import derived
 from pagefold.plans.ingest import ingest_pages
-from pagefold.session import shared_folder, spread, stage_table
+from pagefold.session import scratch_path, spread, stage_table
 from pagefold.sinks.chunk_documents import write_chunk_documents, write_vectors
 from pagefold.sources.chunk_documents import chunk_rows, read_chunk_documents, read_vectors
 from pagefold.settings import Settings
@@ -366,7 +371,7 @@ def _two_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
 
 def stored_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """Chunk documents written twice, the second batch in place of the first, and read back."""
-    path = f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "documents")
     first, every = _two_batches(spark, folder)
     half = F.crc32("source_file") % 2 == 0
     write_chunk_documents(document_records(stage_table(every.where(~half), "rest"), BASIC), path)
@@ -378,7 +383,7 @@ def stored_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Vectors written in two overlapping batches and read back, counted per document."""
-    path = f"{shared_folder(spark)}/vectors-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "vectors")
     embedder = HashingEmbedder()
     for batch in _two_batches(spark, folder):
         write_vectors(vector_table(embed_chunks(batch, embedder), embedder), path)
@@ -452,7 +457,7 @@ def index_upsert(spark: SparkSession, folder: str) -> DataFrame:
         zero.alias("embedding"),
     )
     old = turns.where("role = 'user'").withColumn("text", F.concat(F.lit("old "), "text"))
-    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "index")
     VectorIndex(spark, path, Settings(index_buckets=8)).add(index_entries(old))
     # Another setting on the second run: the stored layout decides.
     index = VectorIndex(spark, path, Settings(index_buckets=5))
@@ -527,6 +532,105 @@ def knn_batch(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("question_id", "rank", "id", F.round("distance", 6).alias("distance"))
 
 
+def _quantised(spark: SparkSession, folder: str, refine: int = 20) -> QuantisedIndex:
+    index = QuantisedIndex(spark, scratch_path(spark, "quantised"), Quantiser(refine=refine))
+    index.build(_vectors(spark, folder).select("id", "embedding"))
+    return index
+
+
+def ann_reranked(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``knn_batch``, from codes and re-ranked candidates of all cells.
+
+    A label's centre is about as far from all its entries, so many more candidates are measured
+    than for a question that has neighbours.
+    """
+    vectors = _vectors(spark, folder)
+    found = _quantised(spark, folder, refine=100).search(_centroids(vectors, F.col("label")), 5, probes=4096)
+    return found.select("question_id", "rank", "id", F.round("distance", 6).alias("distance"))
+
+
+def ann_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the cells nearest to every twentieth entry hold nine tenths of its true neighbours."""
+    entries = _vectors(spark, folder).select("id", "embedding")
+    asked = entries.where(F.col("id") % 20 == 0).select(F.col("id").alias("question_id"), "embedding")
+    counted = recall(_quantised(spark, folder).search(asked, 5), top_k(entries, asked, 5))
+    return counted.select("wanted", (F.col("found") >= 0.9 * F.col("wanted")).alias("reached"))
+
+
+def term_idf(spark: SparkSession, folder: str) -> DataFrame:
+    """Document frequencies and weights of the vocabulary."""
+    texts = _texts(spark, folder)
+    held = term_statistics(document_terms(texts), texts.count())
+    return held.select("term", "documents", F.round("idf", 9).alias("idf"))
+
+
+def latent_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """What the directions found hold of all weights: never more, and most of what as many could hold."""
+    texts = _texts(spark, folder)
+    settings = Latent(dims=32, more=16)
+    embedder, values = fit_embedder(texts, settings)
+    held = stage_table(document_terms(texts), "terms")
+    entries = weighted(held, term_statistics(held, texts.count(), settings))
+    energy = F.sum(F.col("weight") * F.col("weight"))
+    whole = entries.agg(F.countDistinct("id").alias("documents"), F.countDistinct("term").alias("terms"), F.round(energy, 4).alias("energy"))
+    captured = float((values**2).sum())
+    return whole.withColumn("captured", (F.lit(captured) > 0) & (F.lit(captured) <= F.col("energy") + 1e-6)).withColumn(
+        "dimension", F.lit(embedder.dim)
+    )
+
+
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    return derived.documents(spark, folder).select(F.col("doc_id").alias("id"), "text")
+
+
+def language_detected(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, by a model that a third of them did not fit."""
+    documents = derived.documents(spark, folder)
+    held_out = F.col("doc_id") % 3 == 0
+    model = fit_languages(documents.where(~held_out).select("text", "lang"))
+    found = detect_languages(_texts(spark, folder), model)
+    joined = found.withColumnRenamed("lang", "guess").join(
+        documents.select(F.col("doc_id").alias("id"), "lang", held_out.alias("held_out")), "id"
+    )
+    return joined.select(F.col("id").alias("doc_id"), "guess", "score", "margin", "held_out", (F.col("guess") == F.col("lang")).alias("right"))
+
+
+def tagger_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Names, departments and dates of memos that did not fit the tagger: whether nearly all, and nearly only those, are found."""
+    memo = derived.memos(spark, folder).select("memo_id", "text", field_spans(F.col("text")).alias("spans"))
+    held_out = F.crc32(F.col("memo_id").cast("string")) % 5 == 0
+    tagger = fit_tagger(memo.where(~held_out), ["DT", "OG", "PS"], Chain(sample=3000))
+    found = memo.withColumn("found", recognizer_column(F.col("text"), tagger)).withColumn("held_out", held_out)
+    wanted = F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["label"].alias("type")))
+    got = F.transform("found", lambda s: F.struct(s["start"], s["end"], s["type"]))
+    both = found.select("held_out", wanted.alias("wanted"), got.alias("got"))
+    sides = [
+        both.select("held_out", F.explode(s).alias("s"), F.array_contains(o, F.col("s")).alias("met")).select(
+            "held_out", "s.type", "met", F.lit(s).alias("side"))
+        for s, o in (("wanted", "got"), ("got", "wanted"))
+    ]
+    counted = sides[0].unionAll(sides[1]).groupBy("type").agg(
+        F.count_if(F.col("side") == "wanted").alias("wanted"),
+        F.avg(F.when((F.col("side") == "wanted") & F.col("held_out"), F.col("met").cast("int"))).alias("recall"),
+        F.avg(F.when((F.col("side") == "got") & F.col("held_out"), F.col("met").cast("int"))).alias("precision"),
+    )
+    return counted.select("type", "wanted", (F.least("recall", "precision") >= 0.95).alias("reached"))
+
+
+def word_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return pair_counts(tokens(_texts(spark, folder)))
+
+
+def spelling_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Trusted words at one edit of words that occur once or twice."""
+    return neighbours(word_counts(tokens(_texts(spark, folder))))
+
+
+def corrected_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with their doubtful words read anew."""
+    return correct_texts(_texts(spark, folder)).select(F.col("id").alias("doc_id"), "changes", F.md5("corrected").alias("md5"))
+
+
 def grade_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Grading when the documents of some labels are blank."""
     vectors = _vectors(spark, folder)
@@ -665,6 +769,15 @@ QUERIES: dict[str, Query] = {
     "custom_metadata": custom_metadata,
     "knn_single": knn_single,
     "knn_batch": knn_batch,
+    "ann_reranked": ann_reranked,
+    "ann_recall": ann_recall,
+    "term_idf": term_idf,
+    "latent_fit": latent_fit,
+    "language_detected": language_detected,
+    "tagger_quality": tagger_quality,
+    "word_pairs": word_pairs,
+    "spelling_neighbours": spelling_neighbours,
+    "corrected_texts": corrected_texts,
     "grade_filter": grade_filter,
     "context_assembly": context_assembly,
     "answer_graded": _answers(True),

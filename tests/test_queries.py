@@ -13,7 +13,7 @@ import __spark_entry__ as driver
 from pagefold.plans.oracles import ORACLES
 from pagefold.plans.queries import QUERIES
 
-NO_SQL = {"chunks_recursive"}
+NO_SQL = {"corrected_texts"}
 
 
 @pytest.fixture(scope="module")
