@@ -15,7 +15,7 @@ from pagefold.backends.base import (
     PdfReader,
     SentenceSplitter,
 )
-from pagefold.backends.offline import FirstSentence, HashingEmbedder, Unchanged
+from pagefold.backends.offline import FirstSentence, HashingEmbedder, RankedSentences, Unchanged
 
 __all__ = [
     "Corrector",
@@ -28,6 +28,7 @@ __all__ = [
     "ImageReader",
     "LanguageDetector",
     "PdfReader",
+    "RankedSentences",
     "SentenceSplitter",
     "Unchanged",
 ]

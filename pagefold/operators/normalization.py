@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pagefold.backends.base import Corrector
@@ -17,7 +18,7 @@ from pagefold.functions.masks import (
 )
 from pagefold.functions.text import is_blank
 
-RESULT = "struct<text:string,error:string>"
+RESULT = "struct<text:string,error:string,seconds:double>"
 
 
 def correct_column(text: Column, corrector: Corrector) -> Column:
@@ -49,17 +50,20 @@ def correct_column(text: Column, corrector: Corrector) -> Column:
 
         for texts in batches:
             kept = {i: protected(text) for i, text in enumerate(texts) if text is not None and text.strip()}
+            began = time.perf_counter()
             parts = {i: windows(text) for i, (text, _) in kept.items()}
             try:
                 fixed = iter(corrector.correct([w for p in parts.values() for w in p]) if parts else [])
                 done = {i: ("".join(next(fixed) for _ in p), None) for i, p in parts.items()}
             except Exception:  # some text of the batch: each on its own, so that one fails alone
                 done = {i: alone(kept[i][0], p) for i, p in parts.items()}
+            # A batch is one call, so its texts share its time.
+            each = (time.perf_counter() - began) / max(1, len(kept))
             rows = [
-                (restored(done[i][0], kept[i][1]), done[i][1]) if i in done else (None, None)
+                (restored(done[i][0], kept[i][1]), done[i][1], each) if i in done else (None, None, None)
                 for i in range(len(texts))
             ]
-            yield pd.DataFrame(rows, columns=["text", "error"], dtype=object)
+            yield pd.DataFrame(rows, columns=["text", "error", "seconds"], dtype=object)
 
     return run(text)
 
@@ -74,6 +78,7 @@ def normalize_chunks(chunks: DataFrame, corrector: Corrector | None) -> DataFram
             chunks.withColumn("normalized", F.lit(None).cast("boolean"))
             .withColumn("original_length", F.lit(None).cast("int"))
             .withColumn("normalization_error", F.lit(None).cast("string"))
+            .withColumn("normalization_seconds", F.lit(None).cast("double"))
         )
     text = F.col("text")
     filled = F.length(text) > 0
@@ -85,19 +90,32 @@ def normalize_chunks(chunks: DataFrame, corrector: Corrector | None) -> DataFram
         staged.withColumn("normalized", F.when(filled, error.isNull()))
         .withColumn("original_length", F.when(filled & error.isNull(), F.length(text)))
         .withColumn("normalization_error", F.when(filled, error))
+        .withColumn("normalization_seconds", F.when(filled, F.coalesce("_result.seconds", F.lit(0.0))))
         .withColumn("text", rewritten)
         .withColumn("char_count", F.length("text"))
         .drop("_result")
     )
 
 
-def normalization_summary(chunks: DataFrame) -> DataFrame:
-    """Totals over all chunks; elapsed time is in the Spark metrics."""
-    return chunks.agg(
+def normalization_totals() -> list[Column]:
+    """The totals as aggregates, for a summary or to be observed while the chunks are written."""
+    return [
         F.count("*").alias("chunks"),
         F.count_if(F.col("normalized")).alias("succeeded"),
         F.count_if(~F.col("normalized")).alias("failed"),
-        F.sum(F.when(F.col("normalized"), F.col("char_count") - F.col("original_length"))).alias(
-            "char_change"
-        ),
-    )
+        F.sum(F.when(F.col("normalized"), F.col("char_count") - F.col("original_length"))).alias("char_change"),
+        F.sum("normalization_seconds").alias("seconds"),
+        F.avg("normalization_seconds").alias("mean_seconds"),
+    ]
+
+
+def normalization_summary(chunks: DataFrame) -> DataFrame:
+    """Totals over all chunks, with the time that the corrector took in all and per chunk."""
+    return chunks.agg(*normalization_totals())
+
+
+def write_normalized(chunks: DataFrame, write: Callable[[DataFrame], None]) -> dict[str, object]:
+    """Write normalised chunks and return their totals, both in one pass over them."""
+    seen = Observation("normalization")
+    write(chunks.observe(seen, *normalization_totals()))
+    return seen.get

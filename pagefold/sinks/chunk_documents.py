@@ -8,8 +8,25 @@ from pyspark.sql import functions as F
 from pagefold.session import stage_table
 from pagefold.sources.tables import path_exists
 
-# Part of the stored form: documents are found again by this hash of their name.
-FOLDERS = 64
+# Rows a folder of a new store should hold, and the number of folders in stores that keep none.
+ROWS_PER_FOLDER = 2000
+FEWEST, MOST = 16, 8192
+UNKEPT = 64
+
+
+def _folders(rows: DataFrame, path: str) -> int:
+    """The store's number of folders: kept beside it, and set by the size of the first batch.
+
+    Documents are found again by a hash of their name modulo that number, so no later caller may change it.
+    """
+    spark, kept = rows.sparkSession, f"{path}/_layout"
+    if path_exists(spark, kept):
+        return spark.read.schema("folders int").json(kept).first()[0]
+    if path_exists(spark, path):
+        return UNKEPT
+    folders = max(FEWEST, min(MOST, rows.count() // ROWS_PER_FOLDER))
+    spark.range(1).select(F.lit(folders).alias("folders")).coalesce(1).write.json(kept)
+    return folders
 
 
 def _replace(rows: DataFrame, path: str, kind: str) -> None:
@@ -17,19 +34,20 @@ def _replace(rows: DataFrame, path: str, kind: str) -> None:
 
     The store is partitioned by a hash of the document name. Only the folders of the given
     documents are read and written again, by dynamic partition overwrite; the rows that stay in
-    them are stored elsewhere first, as a folder cannot be read while it is overwritten.
+    them are stored elsewhere first, as a folder cannot be read while it is overwritten. Rebalancing
+    deals a folder, or one huge document in it, over as many tasks as its size asks for.
     """
     spark = rows.sparkSession
-    folder = F.pmod(F.xxhash64("source_file"), F.lit(FOLDERS)).cast("int")
-    out = rows.withColumn("folder", folder)
-    if path_exists(spark, path):
-        fresh = stage_table(out, "fresh")
-        old = spark.read.schema(fresh.schema).format(kind).load(path)
-        touched, names = fresh.select("folder").distinct(), fresh.select("source_file").distinct()
+    fresh = stage_table(rows, "fresh")
+    known = path_exists(spark, path)
+    out = fresh.withColumn("folder", F.pmod(F.xxhash64("source_file"), F.lit(_folders(fresh, path))).cast("int"))
+    if known:
+        old = spark.read.schema(out.schema).format(kind).load(path)
+        touched, names = out.select("folder").distinct(), out.select("source_file").distinct()
         stays = old.join(touched, "folder", "left_semi").join(names, "source_file", "left_anti")
-        out = fresh.unionByName(stage_table(stays.select(fresh.columns), "stays"))
+        out = out.unionByName(stage_table(stays.select(out.columns), "stays"))
     (
-        out.repartition("folder", F.pmod(F.xxhash64("source_file", F.lit(1)), F.lit(16)))
+        out.hint("rebalance", "folder")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("folder")
@@ -50,3 +68,8 @@ def write_chunk_documents(records: DataFrame, path: str) -> None:
 def write_vectors(vectors: DataFrame, path: str) -> None:
     """Vectors of documents in place of those the store has of them."""
     _replace(vectors, path, "parquet")
+
+
+def write_rows(rows: DataFrame, path: str) -> None:
+    """Rows of documents (``source_file`` and more) in place of those the store has of them."""
+    _replace(rows, path, "parquet")

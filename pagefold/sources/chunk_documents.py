@@ -20,9 +20,32 @@ def read_chunk_documents(spark: SparkSession, path: str, whole_files: bool = Fal
     return reader.json(path).drop("folder")
 
 
+READ, UNREADABLE, EMPTY = "read", "unreadable", "no_chunks"
+
+
+def document_status(documents: DataFrame) -> DataFrame:
+    """``source_file, status, chunks, excerpt``, a row per stored document, those that gave no chunk rows included.
+
+    A document that cannot be parsed has no name; the beginning of its text tells which it is.
+    """
+    broken = F.col("_corrupt_record").isNotNull()
+    chunks = F.coalesce(F.size("chunks"), F.lit(0))
+    chunks = F.when(broken | (chunks < 0), F.lit(0)).otherwise(chunks)
+    status = F.when(broken, UNREADABLE).when(chunks == 0, EMPTY).otherwise(READ)
+    return documents.select(
+        F.when(~broken, F.col("source_file")).alias("source_file"),
+        status.alias("status"),
+        chunks.alias("chunks"),
+        F.when(broken, F.substring("_corrupt_record", 1, 80)).alias("excerpt"),
+    )
+
+
 def chunk_rows(documents: DataFrame) -> DataFrame:
-    """Chunk rows of the documents; missing ids and counts get their defaults."""
-    return documents.select("source_file", "file_type", F.posexplode("chunks").alias("i", "c")).select(
+    """Chunk rows of the documents; missing ids and counts get their defaults.
+
+    Unreadable documents and those without chunks give none; ``document_status`` reports them.
+    """
+    return documents.where("_corrupt_record IS NULL").select("source_file", "file_type", F.posexplode("chunks").alias("i", "c")).select(
         "source_file",
         "file_type",
         F.coalesce("c.chunk_id", "i").alias("chunk_id"),

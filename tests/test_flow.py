@@ -129,3 +129,42 @@ def test_models_run_once_per_page(spark, tmp_path):
     assert [r["chunk_id"] for r in rows] == list(range(30))
     assert all(r["text"] == "[PERSON] 문장입니다." for r in rows)
     assert seen.value == 30
+
+
+def test_rollup_of_a_stream_follows_the_newest_version(spark, tmp_path):
+    """Batches in turn: first versions, a replay beside newer versions, late ones; the result is that of one batch."""
+    import datetime as dt
+    import os
+    import uuid
+
+    from pagefold.streaming.rollup import headers_of, page_facts, rollup_stream
+
+    kind = "source_file string, version timestamp, page_num int, text string"
+    at = lambda n: dt.datetime(2024, 1, 1 + n)
+    first = [(f"d{i}", at(5), p, f"text {i} " * (90 * p)) for i in range(12) for p in (1, 2)]
+    newer = [(f"d{i}", at(6), 1, "short") for i in range(0, 12, 3)]
+    late = [(f"d{i}", at(2), p, "old " * 500) for i in range(12) for p in (1, 2, 3)] + [("new", at(1), 1, " ")]
+    batches = [first, first + newer + newer, late, first]
+    folder = tmp_path / "in"
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(str(folder))
+        for name in os.listdir(folder):
+            if name.endswith(".parquet") and not name.startswith("batch"):
+                os.rename(folder / name, folder / f"batch{n}.parquet")
+                os.utime(folder / f"batch{n}.parquet", (1000 + n, 1000 + n))
+    pages = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    settings = Settings(strategy="basic")
+    out = str(tmp_path / "headers")
+    rollup_stream(pages, out, settings, name=f"test-{uuid.uuid4().hex}").awaitTermination()
+    newest = {}
+    for name, version, page, text in [r for b in batches for r in b]:
+        newest.setdefault(name, {}).setdefault(version, {})[page] = text
+    rows = [(n, v, p, t) for n, versions in newest.items() for v in [max(versions)] for p, t in versions[v].items()]
+    facts = page_facts(spark.createDataFrame(rows, kind), settings)
+    sums = facts.groupBy("source_file", "version").agg(
+        F.count("*").alias("total_pages"), F.sum("chunks").alias("total_chunks"),
+        F.sum("characters").alias("total_characters"), F.sum("filled").alias("filled_chunks"),
+    )
+    names = ["source_file", "version", "total_pages", "total_chunks", "total_characters", "filled_chunks", "average_chunk_size"]
+    want = sorted(tuple(r) for r in headers_of(sums).select(names).collect())
+    assert sorted(tuple(r) for r in spark.read.parquet(out).select(names).collect()) == want and len(want) == 13
