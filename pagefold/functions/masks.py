@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,45 +24,8 @@ def masks_in(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(MASK), F.lit(0))
 
 
-def _token(position: Column) -> Column:
-    return F.concat(F.lit(TOKEN_HEAD), position.cast("string"), F.lit(TOKEN_TAIL))
-
-
-def protect_masks(text: Column) -> Column:
-    """The i-th mask becomes the i-th token."""
-
-    def joined(gaps: Column) -> Column:
-        last = F.size(gaps) - 1
-        parts = F.transform(gaps, lambda gap, i: F.when(i < last, F.concat(gap, _token(i))).otherwise(gap))
-        return F.array_join(parts, "")
-
-    return F.when(text.rlike(MASK), let(F.split(text, MASK, -1), joined)).otherwise(text)
-
-
-def restore_masks(text: Column, masks: Column) -> Column:
-    """Replace every occurrence of each token by its mask; tokens beyond the masks stay."""
-    token = f"{TOKEN_HEAD}(0|[1-9][0-9]*){TOKEN_TAIL}"
-
-    def joined(row: Column) -> Column:
-        def part(gap: Column, number: Column) -> Column:
-            back = F.coalesce(
-                F.get(row["masks"], number.cast("int")),
-                F.concat(F.lit(TOKEN_HEAD), number, F.lit(TOKEN_TAIL)),
-            )
-            return F.when(number.isNull(), gap).otherwise(F.concat(gap, back))
-
-        return F.array_join(F.zip_with(row["gaps"], row["numbers"], part), "")
-
-    row = F.struct(
-        F.split(text, token, -1).alias("gaps"),
-        F.regexp_extract_all(text, F.lit(token), F.lit(1)).alias("numbers"),
-        masks.alias("masks"),
-    )
-    return F.when(text.rlike(token), let(row, joined)).otherwise(text)
-
-
 def protected(text: str) -> tuple[str, list[str]]:
-    """A text with tokens for its masks, and the masks: the same as the columns, beside a model."""
+    """A text with tokens for its masks, and the masks; normalisation and the columns below use it alike."""
     masks = re.findall(MASK, text)
     gaps = re.split(MASK, text)
     tokens = [f"{TOKEN_HEAD}{i}{TOKEN_TAIL}" for i in range(len(masks))]
@@ -75,13 +40,43 @@ def restored(text: str, masks: list[str]) -> str:
     return re.sub(f"{TOKEN_HEAD}(0|[1-9][0-9]*){TOKEN_TAIL}", back, text)
 
 
+def protect_masks(text: Column) -> Column:
+    """The i-th mask becomes the i-th token; as ``protected``, for a column."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else protected(t)[0]).astype(object)
+
+    return run(text)
+
+
+def restore_masks(text: Column, masks: Column) -> Column:
+    """Every token becomes its mask again; tokens beyond the masks stay. As ``restored``, for columns."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, held: pd.Series) -> pd.Series:
+        rows = zip(texts, held, strict=True)
+        return pd.Series([None if t is None else restored(t, [] if m is None else list(m)) for t, m in rows], dtype=object)
+
+    return run(text, masks)
+
+
+def windows_of(tokens: Sequence[str], size: int = WINDOW_TOKENS, overlap: int = WINDOW_OVERLAP) -> list[list[str]]:
+    """Windows over tokens, each sharing ``overlap`` of them with the one before; none of no tokens."""
+    last = max(0, -(-(len(tokens) - size) // (size - overlap)))
+    starts = [i * (size - overlap) for i in range(last + 1)] if len(tokens) else []
+    return [list(tokens[at : at + size]) for at in starts]
+
+
 def token_windows(tokens: Column, size: int = WINDOW_TOKENS, overlap: int = WINDOW_OVERLAP) -> Column:
-    """Windows over a token array, each sharing ``overlap`` tokens with the one before."""
+    """The same over a column of token arrays."""
     check_window(size, overlap)
-    step = size - overlap
-    last = F.greatest(F.ceil((F.size(tokens) - size) / F.lit(step)), F.lit(0)).cast("int")
-    windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(tokens, i * step + 1, size))
-    return F.when(F.size(tokens) > 0, windows).otherwise(F.array().cast("array<array<string>>"))
+
+    @F.pandas_udf("array<array<string>>")
+    def run(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda r: None if r is None else windows_of(list(r), size, overlap))
+
+    return run(tokens)
 
 
 def sentence_batches(text: Column, limit: int = BATCH_CHARS) -> Column:

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pagefold.backends.base import Embedder, Generator
 from pagefold.functions.text import is_blank, preview
 from pagefold.operators.embedding import embed_column
+from pagefold.operators.quantised_index import QuantisedIndex
 from pagefold.operators.retrieval import top_k_with_bound
 from pagefold.operators.vector_index import VectorIndex, bucket_of
+from pagefold.session import stage_table
 from pagefold.settings import Settings
 
 # The answer when nothing usable was found.
@@ -31,9 +33,13 @@ def embed_questions(
 
 
 def retrieve(
-    index: DataFrame | VectorIndex, questions: DataFrame, k: int, settings: Settings | None = None
+    index: DataFrame | VectorIndex,
+    questions: DataFrame,
+    k: int,
+    settings: Settings | None = None,
+    nearest: QuantisedIndex | None = None,
 ) -> DataFrame:
-    """Nearest entries of every question with their text and position.
+    """Nearest entries of every question with their text and position, exact or, with ``nearest``, approximate.
 
     The ranking reads ids and vectors only. The texts of the few entries that remain are
     fetched by joining on the id. In a stored index the folder follows from the id and the
@@ -42,7 +48,10 @@ def retrieve(
     settings = settings or Settings()
     layout = index.layout() if isinstance(index, VectorIndex) else None
     table = index.read() if isinstance(index, VectorIndex) else index
-    ranked, small = top_k_with_bound(table, questions, k, settings)
+    if nearest is None:
+        ranked, small = top_k_with_bound(table, questions, k, settings)
+    else:
+        ranked, small = stage_table(nearest.search(questions, k, settings.probes), "ranked"), False
     keys = ["id"]
     if layout is not None:
         keys.append("source_bucket")
@@ -137,6 +146,7 @@ def answer_questions(
     generator: Generator,
     graded: bool = True,
     settings: Settings | None = None,
+    nearest: QuantisedIndex | None = None,
 ) -> DataFrame:
     """``question_id, question, context, grade_passed, answer, sources``.
 
@@ -147,7 +157,7 @@ def answer_questions(
     settings = settings or Settings()
     k = settings.graded_top_k if graded else settings.simple_top_k
     asked = embed_questions(questions, embedder, settings)
-    graded_rows = assemble(retrieve(index, asked, k, settings), graded)
+    graded_rows = assemble(retrieve(index, asked, k, settings, nearest), graded)
     rows = questions.join(graded_rows, "question_id", "left").withColumn(
         "grade_passed", F.coalesce("grade_passed", F.lit(not graded))
     ).withColumn("context", F.coalesce("context", F.lit("")))

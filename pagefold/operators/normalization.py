@@ -10,12 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pagefold.backends.base import Corrector
-from pagefold.functions.masks import (
-    WINDOW_OVERLAP,
-    WINDOW_TOKENS,
-    protected,
-    restored,
-)
+from pagefold.functions.masks import protected, restored, windows_of
 from pagefold.functions.text import is_blank
 
 RESULT = "struct<text:string,error:string,seconds:double>"
@@ -33,14 +28,10 @@ def correct_column(text: Column, corrector: Corrector) -> Column:
     @F.pandas_udf(RESULT)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         corrector.load()
-        step = WINDOW_TOKENS - WINDOW_OVERLAP
 
         def windows(text: str) -> list[str]:
-            tokens = corrector.tokens(text)
-            if len(tokens) <= WINDOW_TOKENS:
-                return [text]
-            starts = range(0, len(tokens) - WINDOW_OVERLAP, step)
-            return ["".join(tokens[s : s + WINDOW_TOKENS]) for s in starts]
+            cut = windows_of(corrector.tokens(text))
+            return [text] if len(cut) <= 1 else ["".join(tokens) for tokens in cut]
 
         def alone(text: str, parts: list[str]) -> tuple[str, str | None]:
             try:

@@ -519,6 +519,15 @@ ORACLES: dict[str, str] = {
         CASE WHEN char_count > 0 THEN char_count END AS original_length, NULL::VARCHAR AS normalization_error FROM chunks""",
     "normalization_totals": f"""WITH {_turns(True)} SELECT count(*) AS chunks, count_if(char_count > 0)::BIGINT AS succeeded,
         0::BIGINT AS failed, 0::BIGINT AS char_change FROM chunks""",
+    "normalization_observed": f"""SELECT *, true AS timed FROM (WITH {_turns(True)} SELECT count(*) AS chunks, count_if(char_count > 0)::BIGINT AS succeeded,
+        0::BIGINT AS failed, 0::BIGINT AS char_change FROM chunks)""",
+    "document_outcomes": """SELECT CASE WHEN doc_id % 7 = 3 THEN 'unreadable' WHEN doc_id % 11 = 5 THEN 'no_chunks' ELSE 'read' END AS status,
+          count(*) AS documents, count_if(doc_id % 7 <> 3 AND doc_id % 11 <> 5)::BIGINT AS chunks,
+          count_if(doc_id % 7 <> 3)::BIGINT AS named, count_if(doc_id % 7 = 3)::BIGINT AS excerpts
+        FROM documents GROUP BY status""",
+    "index_lifecycle": f"""SELECT 'added' AS measure, count(*) AS entries FROM conversations
+        UNION ALL SELECT 'blank', count_if(role = 'system' OR {_blank('text')})::BIGINT FROM conversations
+        UNION ALL SELECT 'emptied', 0 UNION ALL SELECT 'again', count_if(role <> 'system')::BIGINT FROM conversations""",
     "model_windows": """WITH words AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \\n]+'),
             lambda w: length(w) > 0) AS w FROM documents),
         cut AS (SELECT doc_id, w, unnest(range(0, greatest(ceil((len(w) - 448) / 384.0)::BIGINT, 0) + 1)) AS i
@@ -632,6 +641,14 @@ ORACLES: dict[str, str] = {
         SELECT type, count(*) AS wanted, true AS reached FROM (
           SELECT 'DT' AS type FROM facts WHERE date IS NOT NULL UNION ALL SELECT 'OG' FROM facts WHERE department IS NOT NULL
           UNION ALL SELECT 'PS' FROM facts WHERE author IS NOT NULL) GROUP BY type""",
+    "abbreviation_scores": """WITH w AS (SELECT unnest(regexp_extract_all(text, '\\p{L}+\\.?')) AS x FROM documents),
+        counts AS (SELECT lower(rtrim(x, '.')) AS word, count_if(x LIKE '%.')::BIGINT AS with_stop, count_if(x NOT LIKE '%.')::BIGINT AS without
+          FROM w GROUP BY 1),
+        usual AS (SELECT sum(with_stop)::DOUBLE / sum(with_stop + without) AS p FROM counts),
+        scored AS (SELECT word, with_stop, without,
+          -2 * ((with_stop * ln(p) + without * ln(1 - p)) - (with_stop * ln(0.99::DOUBLE) + without * ln(1 - 0.99::DOUBLE)))
+            * exp(-length(word)) * pow(length(word)::DOUBLE, -without) AS score FROM counts, usual WHERE with_stop > 0)
+        SELECT word, with_stop, without, round(score, 6) AS score FROM scored WHERE score >= 0.3""",
     "word_pairs": f"""WITH {_WORDS},
         placed AS (SELECT word, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM words)
         SELECT before, word, count(*) AS n FROM placed WHERE before IS NOT NULL AND word IS NOT NULL GROUP BY before, word""",
@@ -660,6 +677,7 @@ ORACLES: dict[str, str] = {
         FROM ranked r JOIN entries e ON r.id = e.id GROUP BY r.question_id""",
     "answer_graded": _answers(5),
     "answer_simple": _answers(3),
+    "answer_ranked": "SELECT item_id AS question_id, 5::INT AS sources, true AS cites FROM benchmark",
     "answer_refused": f"""WITH {TURN_INDEX}, {_nearest('hashed_entries', 'hashed_items', 1)},
       found AS (SELECT r.question_id, q.text AS question,
           CASE WHEN split_part(r.id, '_', -1)::INT % 2 = 0 THEN ' ' ELSE e.text END AS context

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagefold.backends import FirstSentence, HashingEmbedder, Unchanged
+from pagefold.backends import FirstSentence, HashingEmbedder, RankedSentences, Unchanged
 from pagefold.backends.tagger import Chain, fit_tagger
 from pagefold.functions.cleaning import clean_ocr_text, clean_text
 from pagefold.functions.language import guess_language, is_plausible_hangul
@@ -24,13 +24,14 @@ from pagefold.functions.splitting import sentences
 from pagefold.functions.structure import structure_items, structure_types
 from pagefold.functions.text import preview
 from pagefold.operators.answering import answer_questions, assemble, embed_questions, prompt, retrieve
+from pagefold.operators.boundaries import Stops, abbreviations, stop_counts
 from pagefold.operators.chunking import split_pages
 from pagefold.operators.cleaning import count_rules, explain_lines
 from pagefold.operators.correction import correct_texts, neighbours, pair_counts, tokens, word_counts
 from pagefold.operators.embedding import embed_chunks, embeddable, embedding_summary, vector_table
 from pagefold.operators.language_model import detect_languages, fit_languages
 from pagefold.operators.latent import Latent, document_terms, fit_embedder, term_statistics, weighted
-from pagefold.operators.normalization import normalization_summary, normalize_chunks
+from pagefold.operators.normalization import normalization_summary, normalize_chunks, write_normalized
 from pagefold.operators.privacy import (
     detect,
     filter_text,
@@ -55,7 +56,7 @@ from pagefold.plans import derived
 from pagefold.plans.ingest import ingest_pages
 from pagefold.session import scratch_path, spread, stage_table
 from pagefold.sinks.chunk_documents import write_chunk_documents, write_vectors
-from pagefold.sources.chunk_documents import chunk_rows, read_chunk_documents, read_vectors
+from pagefold.sources.chunk_documents import chunk_rows, document_status, read_chunk_documents, read_vectors
 from pagefold.settings import Settings
 from pagefold.sources.folder import HANGUL_SUFFIXES, SUFFIXES, loader_of, suffix_of
 from pagefold.sources.loading import OK, load_html, load_pages, table_pages
@@ -265,7 +266,8 @@ def ner_label_map(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mask_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    masked = filter_text(derived.documents(spark, folder)).select("doc_id", "filtered_text")
+    # Masking is a Python step already; the next one reads its result.
+    masked = stage_table(filter_text(derived.documents(spark, folder)).select("doc_id", "filtered_text"), "masked")
     text = F.col("filtered_text")
     staged = masked.withColumn("masks", masks_in(text)).withColumn("protected", protect_masks(text))
     restored = restore_masks(F.col("protected"), F.col("masks"))
@@ -287,7 +289,48 @@ def normalized_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 def normalization_totals(spark: SparkSession, folder: str) -> DataFrame:
     chunks = split_pages(_turn_pages(spark, folder, blank_system=True), BASIC)
-    return normalization_summary(normalize_chunks(chunks, Unchanged()))
+    return normalization_summary(normalize_chunks(chunks, Unchanged())).drop("seconds", "mean_seconds")
+
+
+def normalization_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same totals, and whether time was counted, from the pass that writes the chunks."""
+    chunks = normalize_chunks(split_pages(_turn_pages(spark, folder, blank_system=True), BASIC), Unchanged())
+    path = scratch_path(spark, "normalized")
+    seen = write_normalized(chunks.drop("metadata"), lambda df: df.write.parquet(path))
+    row = (seen["chunks"], seen["succeeded"], seen["failed"], seen["char_change"], seen["seconds"] > 0 and seen["mean_seconds"] > 0)
+    return spark.createDataFrame([row], "chunks long, succeeded long, failed long, char_change long, timed boolean")
+
+
+def document_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored documents of which one in seven is cut off and one in eleven has no chunks, by what became of them."""
+    docs = derived.documents(spark, folder)
+    chunk = F.struct(F.lit(0).alias("chunk_id"), F.col("text").alias("text"))
+    chunks = F.when(F.col("doc_id") % 11 == 5, F.array().cast("array<struct<chunk_id:int,text:string>>")).otherwise(F.array(chunk))
+    record = F.to_json(F.struct(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("source_file"), chunks.alias("chunks")))
+    cut = F.when(F.col("doc_id") % 7 == 3, F.substring(record, F.lit(1), F.floor(F.length(record) / 2).cast("int"))).otherwise(record)
+    path = scratch_path(spark, "outcomes")
+    docs.select(cut.alias("value")).write.text(path)
+    statuses = document_status(read_chunk_documents(spark, path))
+    return statuses.groupBy("status").agg(
+        F.count("*").alias("documents"), F.sum("chunks").alias("chunks"), F.count("source_file").alias("named"), F.count("excerpt").alias("excerpts")
+    )
+
+
+def index_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
+    """Entries with and without text, counted; the index emptied, counted, and filled with part of them again."""
+    turns = spread(load_table(spark, folder, "conversations")).select(
+        F.col("conv_id").cast("string").alias("source_file"), F.col("turn").cast("int").alias("chunk_id"), F.lit(1).alias("page_num"),
+        F.length("text").alias("char_count"), "role", F.when(F.col("role") == "system", F.lit(" \t\n")).otherwise(F.col("text")).alias("text"),
+        F.array(F.lit(0.0).cast("float")).alias("embedding"),
+    )
+    index = VectorIndex(spark, scratch_path(spark, "index"), Settings(index_buckets=8))
+    index.add(index_entries(turns))
+    first, blank = index.count(), index.read().where("document = ' '").count()
+    index.reset()
+    emptied = index.count()
+    index.add(index_entries(turns.where("role <> 'system'")))
+    rows = [("added", first), ("blank", blank), ("emptied", emptied), ("again", index.count())]
+    return spark.createDataFrame(rows, "measure string, entries long")
 
 
 def model_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -617,6 +660,11 @@ def tagger_quality(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("type", "wanted", (F.least("recall", "precision") >= 0.95).alias("reached"))
 
 
+def abbreviation_scores(spark: SparkSession, folder: str) -> DataFrame:
+    found = abbreviations(stop_counts(derived.documents(spark, folder)), Stops(most=100_000))
+    return found.select("word", "with_stop", "without", F.round("score", 6).alias("score"))
+
+
 def word_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return pair_counts(tokens(_texts(spark, folder)))
 
@@ -684,6 +732,13 @@ def _answers(graded: bool) -> Query:
     return run
 
 
+def answer_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers of ranked sentences, each of which names its passage."""
+    out = answer_questions(_turn_index(spark, folder), _items(spark, folder), HashingEmbedder(), RankedSentences())
+    cites = F.col("answer").rlike("\\[[1-5]\\]$")
+    return out.select("question_id", F.size("sources").alias("sources"), cites.alias("cites"))
+
+
 def answer_refused(spark: SparkSession, folder: str) -> DataFrame:
     """One source per question, blank for every second turn: the grade fails and the answer is the refusal."""
     index = _turn_index(spark, folder)
@@ -749,6 +804,9 @@ QUERIES: dict[str, Query] = {
     "mask_roundtrip": mask_roundtrip,
     "normalized_chunks": normalized_chunks,
     "normalization_totals": normalization_totals,
+    "normalization_observed": normalization_observed,
+    "document_outcomes": document_outcomes,
+    "index_lifecycle": index_lifecycle,
     "model_windows": model_windows,
     "correction_batches": correction_batches,
     "document_record": document_record,
@@ -775,6 +833,7 @@ QUERIES: dict[str, Query] = {
     "latent_fit": latent_fit,
     "language_detected": language_detected,
     "tagger_quality": tagger_quality,
+    "abbreviation_scores": abbreviation_scores,
     "word_pairs": word_pairs,
     "spelling_neighbours": spelling_neighbours,
     "corrected_texts": corrected_texts,
@@ -782,6 +841,7 @@ QUERIES: dict[str, Query] = {
     "context_assembly": context_assembly,
     "answer_graded": _answers(True),
     "answer_simple": _answers(False),
+    "answer_ranked": answer_ranked,
     "answer_refused": answer_refused,
     "retrieve_documents": retrieve_documents,
 }

@@ -26,6 +26,8 @@ class Settings:
     embed_batch: int = 32
     simple_top_k: int = 3
     graded_top_k: int = 5
+    # Cells that an approximate search looks into.
+    probes: int = 32
     # Physical bounds; they change the layout of the work, never the result. The number of
     # buckets is that of a new index; one that exists keeps its own.
     pages_per_block: int = 4096

@@ -12,14 +12,18 @@ import pytest
 from conftest import TABLES
 from pyspark.sql import functions as F
 
-from pagefold.backends import HashingEmbedder
+from pagefold.backends import FirstSentence, HashingEmbedder, RankedSentences
 from pagefold.backends.tagger import Chain, best_labels, chances, fit_tagger
+from pagefold.operators.answering import answer_questions
+from pagefold.operators.boundaries import abbreviations, learned_sentences, stop_counts
 from pagefold.operators.correction import Channel, best_reading, correct_texts, neighbours, tokens, word_counts
+from pagefold.operators.embedding import embed_chunks
 from pagefold.operators.language_model import Grams, detect_languages, fit_languages
 from pagefold.operators.latent import Latent, decompose, document_terms, fit_embedder, term_statistics, weighted
 from pagefold.operators.quantised_index import Quantiser, QuantisedIndex, k_means, recall
 from pagefold.operators.privacy import recognizer_column
 from pagefold.operators.retrieval import top_k
+from pagefold.operators.vector_index import VectorIndex, index_entries
 from pagefold.settings import Settings
 
 VECTORS = "id long, embedding array<float>"
@@ -75,6 +79,22 @@ def test_equal_vectors_and_one_vector(spark, tmp_path):
         index.build(spark.createDataFrame([(5, None)], VECTORS))
 
 
+def test_answers_from_the_approximate_index(spark, tmp_path):
+    kind = "source_file string, chunk_id int, page_num int, text string, char_count int"
+    chunks = spark.createDataFrame([(f"d{i}.txt", 0, 1, f"word{i} and more{i % 7}", 20) for i in range(200)], kind)
+    entries = VectorIndex(spark, str(tmp_path / "index"), Settings(index_buckets=4))
+    entries.add(index_entries(embed_chunks(chunks, HashingEmbedder())))
+    nearest = QuantisedIndex(spark, str(tmp_path / "quantised"))
+    nearest.build(entries.read().select("id", "embedding"))
+    asked = spark.createDataFrame([(i, f"word{i}") for i in range(12)], "question_id long, question string")
+    answers = [
+        {r["question_id"]: (r["answer"], [s["id"] for s in r["sources"]]) for r in answer_questions(
+            entries, asked, HashingEmbedder(), FirstSentence(), settings=Settings(probes=100), nearest=n).collect()}
+        for n in (None, nearest)
+    ]
+    assert answers[0] == answers[1] and len(answers[0]) == 12
+
+
 def test_exact_search_keeps_one_block_of_questions(spark):
     entries = spark.createDataFrame(clustered(60, 4), VECTORS)
     asked = spark.createDataFrame(clustered(20_000, 4, 3), VECTORS).withColumnRenamed("id", "question_id")
@@ -316,3 +336,46 @@ def test_a_fitted_tagger_finds_names_it_has_not_seen(spark):
     frame = spark.createDataFrame([("we met signed by Bakelo Fina.",), (None,)], "text string")
     rows = frame.select(recognizer_column(F.col("text"), tagger).alias("s")).collect()
     assert [s["text"] for s in rows[0]["s"]] == ["Bakelo Fina"] and not rows[1]["s"]
+
+
+# --- answers ----------------------------------------------------------------------------------
+
+
+def test_importance_is_the_dense_eigenvector():
+    draw = random.Random(6)
+    for _ in range(40):
+        sentences = [" ".join(draw.choices(["cat", "dog", "sun", "sea", "ink", "oak", "?"], k=draw.randint(0, 6))) for _ in range(draw.randint(1, 9))]
+        model = RankedSentences(pull=draw.choice([0.2, 0.7]))
+        question = " ".join(draw.choices(["cat", "sea", "none"], k=3))
+        step, start = model.transitions(question, sentences)
+        assert np.allclose(step.sum(axis=1), 1)
+        whole = model.pull * np.outer(np.ones(len(sentences)), start) + (1 - model.pull) * step
+        values, vectors = np.linalg.eig(whole.T)
+        top = np.real(vectors[:, np.argmax(np.real(values))])
+        assert np.allclose(model.importance(question, sentences), top / top.sum(), atol=1e-8)
+
+
+def test_answers_name_their_passages():
+    context = "The sea is cold. Ships wait.\n\nA cat sat there. The cat likes the warm oven."
+    model = RankedSentences(sentences=1)
+    assert model.answer(["x\n\nQuestion: what does the cat like\n\nAnswer:", "q"], [context, " "]) == ["The cat likes the warm oven. [2]", ""]
+
+
+# --- boundaries -------------------------------------------------------------------------------
+
+
+def test_abbreviations_do_not_end_sentences(spark):
+    draw = random.Random(2)
+    plain = ["haus", "baum", "geht", "kommt", "sieht", "heute", "morgen", "gern", "oft", "viel"]
+    texts = []
+    for _ in range(300):
+        words = draw.choices(plain, k=6)
+        texts.append(f"Dr. {words[0]} {words[1]} z. B. {words[2]}. {words[3].capitalize()} {words[4]} {words[5]}.")
+    frame = spark.createDataFrame([*enumerate(texts), (999, None), (1000, "")], "id long, text string")
+    found = abbreviations(stop_counts(frame)).collect()
+    assert {r["word"] for r in found} == {"dr", "z", "b"} and all(r["without"] == 0 for r in found)
+    split = frame.select(learned_sentences(F.col("text"), [r["word"] for r in found]).alias("s")).where("size(s) > 0").collect()
+    assert [len(r["s"]) for r in split] == [2] * 300 and split[0]["s"][0].startswith("Dr. ") and " z. B. " in split[0]["s"][0]
+    assert abbreviations(stop_counts(frame.limit(0))).count() == 0
+    row = spark.createDataFrame([("A b. C",)], "text string").select(learned_sentences(F.col("text"), []).alias("s")).first()
+    assert row["s"] == ["A b.", "C"]
