@@ -6,6 +6,7 @@ import re
 from array import array
 from collections import deque
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -23,7 +24,8 @@ END = 2
 # Tokens a row holds at most, and tokens of a block, the unit that one task packs.
 PART = 65_536
 BLOCK = 1 << 20
-_REMEMBERED = 1_000_000
+# Words remembered, twice: when so many are, those before them are forgotten.
+_REMEMBERED = 700_000
 _LONGEST_WORD = 48
 _SEGMENT = 1 << 20
 _GAP = re.compile(rb"[\x09-\x0d ]").search
@@ -43,26 +45,32 @@ class Ids(dict):  # type: ignore[type-arg]
 
     def __init__(self, description: str) -> None:
         super().__init__()
+        self.before: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_str(description)
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.kind = np.dtype(self.code)
         self.pieces = self.tokenizer.model.tokenize
 
     def __missing__(self, word: bytes) -> bytes:
-        cut = _PLAIN(word)
-        if cut and not cut[2]:
-            spelt = word.decode("latin-1")
-            value = array(self.code, [p.id for p in self.pieces(spelt if word.isascii() else spelt.translate(_SPELT))]).tobytes()
-        elif cut := cut or _MARKED(word):
-            value = self[cut[1]] + self[cut[2]]
-        else:
-            value = array(self.code, self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        value = self.before.get(word)
+        if value is None:
+            value = self._made(word)
         if len(word) <= _LONGEST_WORD:
             if len(self) >= _REMEMBERED:
+                self.before = dict(self)
                 self.clear()
             self[word] = value
         return value
 
+    def _made(self, word: bytes) -> bytes:
+        cut = _PLAIN(word)
+        if cut and not cut[2]:
+            spelt = word.decode("latin-1")
+            return array(self.code, [p.id for p in self.pieces(spelt if word.isascii() else spelt.translate(_SPELT))]).tobytes()
+        if cut := cut or _MARKED(word):
+            return self[cut[1]] + self[cut[2]]
+        return array(self.code, self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
     def of(self, text: bytes) -> Iterator[bytes]:
         """The ids of a UTF-8 text, segment by segment."""
         folded = text if b"\xcc" in text or b"\xcd" in text or b"<|" in text else text.lower()
@@ -297,7 +305,8 @@ def pack(
         first, count = start["first"][0].as_py(), start["held"][0].as_py()
         rows = rows.sort_by([("source", "ascending"), ("from", "ascending")])
         sources, sizes = rows["source"].to_pylist(), rows["n"].to_pylist()
-        ids = rows["ids"].to_pylist()
+        whole = np.frombuffer(b"".join(rows["ids"].to_pylist()), dtype=kind).astype("<u4").tobytes()
+        begins = [4 * n for n in accumulate(sizes, initial=0)]
         queues: dict[str | None, deque[list[int]]] = {}
         for i, source in enumerate(sources):
             queues.setdefault(source, deque()).append([i, 0, sizes[i]])
@@ -307,8 +316,8 @@ def pack(
         place = first
         for stop, row, at, n in deficit_round_robin(list(queues.values()), first, list(by_end)):
             number, begin = by_end[stop]
-            piece = np.frombuffer(ids[row], dtype=kind)[at : at + n].astype("<u4").tobytes()
-            found.append((row, at, piece, n, number, place - begin))
+            first_byte = begins[row] + 4 * at
+            found.append((row, at, whole[first_byte : first_byte + 4 * n], n, number, place - begin))
             place += n
         at_row, at_token, pieces, sizes_, numbers, offsets = zip(*found, strict=True)
         taken = rows.take(pa.array(at_row))
