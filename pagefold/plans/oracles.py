@@ -438,7 +438,13 @@ _WORDS = f"""texts AS (SELECT doc_id, {_LETTERS.format(text='text')} AS found, s
       WHEN gaps[i] LIKE '%[' AND gaps[i + 1] LIKE ']%' THEN NULL ELSE lower(found[i]) END)) AS word, unnest(range(1, len(found) + 1)) AS place
       FROM texts)"""
 
+_FIXED = f"""WITH {CLEANED_DOCS},
+        cut AS (SELECT doc_id, CASE WHEN {_blank('text')} THEN [''] ELSE {_windows('text', 500, 100)} END AS list FROM cleaned)
+        SELECT doc_id, (i - 1)::INT AS chunk_id, length(list[i])::INT AS char_count, list[i] AS text
+        FROM (SELECT *, unnest(range(1, len(list) + 1)) AS i FROM cut)"""
+
 ORACLES: dict[str, str] = {
+    "chunks_sql": _FIXED,
     "clean_basic": f"SELECT doc_id, {_clean_basic('text')} AS text FROM documents",
     "ocr_clean_text": f"WITH {_ocr_ctes('documents', 'doc_id')} SELECT doc_id, text FROM ocr",
     "ocr_line_rules": f"""WITH {_lines('documents', 'doc_id')}
@@ -475,10 +481,7 @@ ORACLES: dict[str, str] = {
     "sentences": f"""SELECT doc_id, (i - 1)::INT AS pos, list[i] AS sentence FROM (
         SELECT doc_id, list, unnest(range(1, len(list) + 1)) AS i
         FROM (SELECT doc_id, {_sentences('text')} AS list FROM documents))""",
-    "chunks_fixed": f"""WITH {CLEANED_DOCS},
-        cut AS (SELECT doc_id, CASE WHEN {_blank('text')} THEN [''] ELSE {_windows('text', 500, 100)} END AS list FROM cleaned)
-        SELECT doc_id, (i - 1)::INT AS chunk_id, length(list[i])::INT AS char_count, list[i] AS text
-        FROM (SELECT *, unnest(range(1, len(list) + 1)) AS i FROM cut)""",
+    "chunks_fixed": _FIXED,
     "chunks_semantic": f"""{_walk_recursive(CLEANED_DOCS)}, {_semantic_ctes('cleaned', 'doc_id')}
         SELECT doc_id, chunk_id::INT AS chunk_id, length(text)::INT AS char_count, text FROM merged""",
     "chunks_recursive": f"""{_walk_recursive(CLEANED_DOCS)}, {_recursive_ctes('cleaned', 'doc_id')}

@@ -52,7 +52,7 @@ from pagefold.operators.vector_index import (
     unpaired_documents,
     upload_summary,
 )
-from pagefold.plans import derived
+from pagefold.plans import derived, sql
 from pagefold.plans.ingest import ingest_pages
 from pagefold.session import scratch_path, spread, stage_table
 from pagefold.sinks.chunk_documents import write_chunk_documents, write_vectors
@@ -161,6 +161,14 @@ def _chunks(settings: Settings) -> Query:
     return run
 
 
+def chunks_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """The fixed chunks of cleaned documents, asked for in SQL."""
+    sql.register(spark, cleaned=_cleaned(spark, folder).where("text IS NOT NULL"))
+    return spark.sql(
+        "SELECT doc_id, chunk_id, char_count, chunk_text AS text FROM split_table(TABLE(SELECT doc_id, text FROM cleaned), 'text', 500, 100)"
+    )
+
+
 def chunk_numbering(spark: SparkSession, folder: str) -> DataFrame:
     chunks = split_pages(_turn_pages(spark, folder), BASIC)
     return chunks.select("source_file", "page_num", "chunk_id", "char_count", "text")
@@ -791,6 +799,7 @@ QUERIES: dict[str, Query] = {
     "chunks_fixed": _chunks(BASIC),
     "chunks_semantic": _chunks(SEMANTIC),
     "chunks_recursive": _chunks(Settings(strategy="recursive")),
+    "chunks_sql": chunks_sql,
     "chunk_numbering": chunk_numbering,
     "chunk_facts": chunk_facts,
     "empty_placeholder": empty_placeholder,

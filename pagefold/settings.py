@@ -28,10 +28,11 @@ class Settings:
     graded_top_k: int = 5
     # Cells that an approximate search looks into.
     probes: int = 32
+    # Chunks that one stored record holds; a larger document is several records with one header.
+    chunks_per_record: int = 1000
     # Physical bounds; they change the layout of the work, never the result. The number of
     # buckets is that of a new index; one that exists keeps its own.
     pages_per_block: int = 4096
-    chunks_per_record: int = 1000
     index_buckets: int = 64
     broadcast_bytes: int = 32 * 1024 * 1024
 

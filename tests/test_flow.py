@@ -168,3 +168,20 @@ def test_rollup_of_a_stream_follows_the_newest_version(spark, tmp_path):
     names = ["source_file", "version", "total_pages", "total_chunks", "total_characters", "filled_chunks", "average_chunk_size"]
     want = sorted(tuple(r) for r in headers_of(sums).select(names).collect())
     assert sorted(tuple(r) for r in spark.read.parquet(out).select(names).collect()) == want and len(want) == 13
+
+
+def test_splitting_a_table_in_sql(spark):
+    from pagefold.functions.splitting import fixed_windows
+    from pagefold.plans import sql
+
+    texts = ["x" * n for n in (1, 9, 10, 11, 14, 15, 16, 40)] + [" ", None]
+    frame = spark.createDataFrame([(i, "k", t) for i, t in enumerate(texts)], "id long, kind string, text string")
+    sql.register(spark, some_pages=frame)
+    found = spark.sql("SELECT * FROM split_table(TABLE(some_pages), 'text', 10, 4)")
+    assert found.columns == ["id", "kind", "chunk_id", "char_count", "chunk_text"]
+    want = {(r["id"], n): c for r in frame.where("text LIKE 'x%'").select("id", fixed_windows(F.col("text"), 10, 4).alias("c")).collect()
+            for n, c in enumerate(r["c"])}
+    want[len(texts) - 2, 0] = ""
+    assert {(r["id"], r["chunk_id"]): r["chunk_text"] for r in found.collect()} == want
+    with pytest.raises(Exception, match="no column"):
+        spark.sql("SELECT * FROM split_table(TABLE(some_pages), 'other', 10, 4)").collect()
