@@ -650,11 +650,11 @@ def tagger_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Names, departments and dates of memos that did not fit the tagger: whether nearly all, and nearly only those, are found."""
     memo = derived.memos(spark, folder).select("memo_id", "text", field_spans(F.col("text")).alias("spans"))
     held_out = F.crc32(F.col("memo_id").cast("string")) % 5 == 0
-    tagger = fit_tagger(memo.where(~held_out), ["DT", "OG", "PS"], Chain(sample=3000))
+    tagger = fit_tagger(memo.where(~held_out), ["DT", "OG", "PS"], Chain(sample=1000, epochs=4))
     found = memo.withColumn("found", recognizer_column(F.col("text"), tagger)).withColumn("held_out", held_out)
     wanted = F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["label"].alias("type")))
     got = F.transform("found", lambda s: F.struct(s["start"], s["end"], s["type"]))
-    both = found.select("held_out", wanted.alias("wanted"), got.alias("got"))
+    both = stage_table(found.select("held_out", wanted.alias("wanted"), got.alias("got")), "tagged")
     sides = [
         both.select("held_out", F.explode(s).alias("s"), F.array_contains(o, F.col("s")).alias("met")).select(
             "held_out", "s.type", "met", F.lit(s).alias("side"))
