@@ -115,7 +115,8 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """The documents of the mix, with their columns; one taken twice is there twice.
 
-    The text moves once, to where its row is numbered. Nulls, ties and repeated rows as in ``mix_report``.
+    The text goes with its row while rows are numbered: by range, and once more to its block's count.
+    Nulls, ties and repeated rows as in ``mix_report``.
     """
     sized = packed(docs).select(
         "row",
