@@ -95,6 +95,10 @@ def test_answers_from_the_approximate_index(spark, tmp_path):
     assert answers[0] == answers[1] and len(answers[0]) == 12
 
 
+def test_a_run_of_terminals_is_a_first_sentence():
+    assert FirstSentence().answer([], [". The is it.", "..a b. c", "", " ?! x", "no end"]) == [".", "..a b.", "", "?!", "no end"]
+
+
 def test_exact_search_keeps_one_block_of_questions(spark):
     entries = spark.createDataFrame(clustered(60, 4), VECTORS)
     asked = spark.createDataFrame(clustered(20_000, 4, 3), VECTORS).withColumnRenamed("id", "question_id")
