@@ -31,7 +31,8 @@ def gram_rows(texts: DataFrame, keep: list[str], grams: Grams) -> DataFrame:
     )
     segments = unnest(texts.select(*keep, plain.alias("plain")).where(size >= grams.length), keep, pieces, "n", "piece")
     whole = segments.where(F.length("piece") >= grams.length)
-    found = F.transform(F.sequence(F.lit(1), F.length("piece") - grams.length + 1), lambda i: F.substring(F.col("piece"), i, F.lit(grams.length)))
+    # One pass: a match consumes a character and captures the gram ahead of it; substrings would count from the start each.
+    found = F.regexp_extract_all("piece", F.lit(f"(?s)(?=(.{{{grams.length}}}))."), F.lit(1))
     return unnest(whole, keep, found, "at", "gram").select(*keep, "gram")
 
 
@@ -57,12 +58,18 @@ def fit_languages(labelled: DataFrame, grams: Grams | None = None) -> DataFrame:
 def language_scores(texts: DataFrame, model: DataFrame, grams: Grams | None = None) -> DataFrame:
     """``id, lang, score, grams`` for every language of the model and every text that has a gram of it.
 
-    Grams that the model lacks say nothing. Sums are combined in every task before texts meet.
+    Grams that the model lacks say nothing. A gram is one row with a column of scores per language;
+    sums are combined in every task before texts meet.
     """
     rows = gram_rows(texts.where("text IS NOT NULL").select("id", "text"), ["id"], grams or Grams())
-    wide = model.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "score"))).alias("scores"))
-    known = rows.join(wide, "gram").select("id", F.explode("scores").alias("lang", "score"))
-    return known.groupBy("id", "lang").agg(F.sum("score").alias("score"), F.count("*").alias("grams"))
+    langs = [r[0] for r in model.select("lang").distinct().orderBy("lang").collect()]
+    if not langs:
+        kinds = {f.name: f.dataType.simpleString() for f in texts.schema}
+        return texts.sparkSession.createDataFrame([], f"id {kinds['id']}, lang string, score long, grams long")
+    wide = model.groupBy("gram").agg(*[F.sum(F.when(F.col("lang") == lang, F.col("score"))).alias(f"s{n}") for n, lang in enumerate(langs)])
+    sums = rows.join(wide, "gram").groupBy("id").agg(F.count("*").alias("grams"), *[F.sum(f"s{n}").alias(f"s{n}") for n in range(len(langs))])
+    each = F.array(*[F.struct(F.lit(lang).alias("lang"), F.col(f"s{n}").alias("score")) for n, lang in enumerate(langs)])
+    return unnest(sums, ["id", "grams"], each, "n", "s").select("id", "s.lang", "s.score", "grams")
 
 
 def detect_languages(texts: DataFrame, model: DataFrame, grams: Grams | None = None) -> DataFrame:

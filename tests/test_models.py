@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -18,7 +19,7 @@ from pagefold.operators.answering import answer_questions
 from pagefold.operators.boundaries import abbreviations, learned_sentences, stop_counts
 from pagefold.operators.correction import Channel, best_reading, correct_texts, neighbours, tokens, word_counts
 from pagefold.operators.embedding import embed_chunks
-from pagefold.operators.language_model import Grams, detect_languages, fit_languages
+from pagefold.operators.language_model import Grams, detect_languages, fit_languages, gram_rows
 from pagefold.operators.latent import Latent, decompose, document_terms, fit_embedder, term_statistics, weighted
 from pagefold.operators.quantised_index import Quantiser, QuantisedIndex, k_means, recall
 from pagefold.operators.privacy import recognizer_column
@@ -187,6 +188,17 @@ def test_languages_of_odd_texts(spark):
     assert sorted(map(key, whole.collect())) == sorted(map(key, found.collect()))
 
 
+def test_grams_of_a_long_text_take_one_pass(spark):
+    """Half a million characters in one row; substrings counted from the start of a segment took a minute a million."""
+    frame = spark.createDataFrame([(1, "añ😀 b中z. " * 60_000), (2, "x😀")], "id long, text string")
+    started = time.monotonic()
+    rows = gram_rows(frame, ["id"], Grams()).groupBy("id", "gram").count().collect()
+    assert time.monotonic() - started < 10
+    held = {(r["id"], r["gram"]): r["count"] for r in rows}
+    assert held[1, "añ😀"] == held[1, "ñ😀 "] == held[1, "中z."] == 60_000 and held[1, ". a"] == 59_999
+    assert {g for i, g in held if i == 2} == {" x😀", "x😀 "}
+
+
 # --- corrections ------------------------------------------------------------------------------
 
 
@@ -293,6 +305,14 @@ def test_tokens_and_counts(spark):
     assert counts == {"ab": (3, 0, 4), "cd": (1, 3, 3)} and Counter(counts).total
 
 
+def test_corrections_send_no_table_of_the_collection_through_the_driver(spark, capsys):
+    words = [f"word{c}{d}{e}" for c in "abcdefgh" for d in "abcdefgh" for e in "abcdefgh"]
+    frame = spark.createDataFrame([(i, " ".join(words[i::7] * (30 if i % 2 else 1))) for i in range(7)], "id long, text string")
+    for made in (neighbours(word_counts(tokens(frame))), correct_texts(frame)):
+        made.explain()
+        assert "Broadcast" not in capsys.readouterr().out
+
+
 # --- tagger -----------------------------------------------------------------------------------
 
 
