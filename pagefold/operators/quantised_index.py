@@ -4,6 +4,7 @@ Fitting cuts the space into cells (k-means) and the differences from the cells'
 codes (k-means per group of dimensions), both on a bounded sample. Every vector is stored with its
 cell, its code and itself, in one folder per cell. A search reads the codes of the cells nearest to
 a question, estimates distances by table look-up, and measures only the best estimates exactly.
+Where the result must be exact, a check follows that measures whatever could still be nearer (``certain``).
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pagefold.sources.tables import path_exists
 # Bytes of a matrix of estimates that a task holds at a time.
 _MATRIX_BYTES = 16 * 1024 * 1024
 _CODES = 256
+# Bounds round; whatever is nearer to a limit than this is measured.
+_SLACK = 1e-6
 
 
 @dataclass(frozen=True)
@@ -156,21 +159,24 @@ class QuantisedIndex:
                 rest = points - coarse[cell]
                 codes = [nearest(rest[:, p * width : (p + 1) * width], books[p]) for p in range(parts)]
                 packed = np.stack(codes, axis=1).astype(np.uint8)
+                told = np.concatenate([books[p][code] for p, code in enumerate(codes)], axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id"),
                         batch.column("embedding"),
                         pa.array([c.tobytes() for c in packed], pa.binary()),
+                        pa.array(np.linalg.norm(rest - told, axis=1)),
+                        pa.array(np.linalg.norm(rest, axis=1)),
                         pa.array(cell, pa.int32()),
                     ],
-                    names=["id", "embedding", "code", "cell"],
+                    names=["id", "embedding", "code", "error", "away", "cell"],
                 )
 
         kinds = {f.name: f.dataType.simpleString() for f in usable.schema}
-        coded = usable.mapInArrow(encode, f"id {kinds['id']}, embedding {kinds['embedding']}, code binary, cell int")
+        coded = usable.mapInArrow(encode, f"id {kinds['id']}, embedding {kinds['embedding']}, code binary, error double, away double, cell int")
         # Rebalancing splits big cells into files of even size.
         coded.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/rows")
-        sizes = self.rows().groupBy("cell").agg(F.count("*").alias("held"))
+        sizes = self.rows().groupBy("cell").agg(F.count("*").alias("held"), F.max("away").alias("radius"))
         sizes.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/cells")
 
     def exists(self) -> bool:
@@ -179,9 +185,13 @@ class QuantisedIndex:
     def rows(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/rows")
 
-    def candidates(self, questions: DataFrame, k: int, probes: int) -> DataFrame:
+    def candidates(self, questions: DataFrame, k: int, probes: int, refine: int = 0, certain: bool = False) -> DataFrame:
         """``question_id, cell, id``: those with the best estimates in the cells nearest to every question.
 
+        ``certain`` takes ``limit`` of the questions, a distance that ``k`` entries are known to keep. A code's
+        error and a cell's radius bound distances from below: cells and rows that could be within the
+        limit are all looked at, and the ``k`` nearest of a segment leave it.
+
         Questions go to their cells, and codes stay with theirs: a task gets one segment of a cell and
         one block of the questions that want it, so neither a popular cell nor a full one is one task,
         and only ``refine`` times ``k`` rows per question leave it.
@@ -192,34 +202,45 @@ class QuantisedIndex:
         parts, codes, width = books.shape
         key = questions.schema["question_id"].dataType
         kind = self.rows().schema["id"].dataType
-        keep = s.refine * k
+        keep = (refine or s.refine) * k
+        radius = np.full(len(coarse), -np.inf)
+        if certain:
+            for row in self.spark.read.parquet(f"{self.path}/cells").select("cell", "radius").collect():
+                radius[row["cell"]] = row["radius"]
+        questions = questions.select("question_id", "embedding", "limit" if certain else F.lit(float("inf")).alias("limit"))
 
         def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 points = _rows_of(batch.column("embedding"))
                 far = (coarse * coarse).sum(axis=1) - 2.0 * (points @ coarse.T)
-                near = np.argsort(far, axis=1, kind="stable")[:, :probes]
+                if certain:
+                    limit = np.sqrt(batch.column("limit").to_numpy(zero_copy_only=False))
+                    apart = np.sqrt(np.maximum(far + (points * points).sum(axis=1)[:, None], 0))
+                    near = [np.flatnonzero(row).tolist() for row in apart - radius <= limit[:, None] + _SLACK]
+                else:
+                    near = np.argsort(far, axis=1, kind="stable")[:, :probes].astype(np.int32).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("question_id"), batch.column("embedding"), pa.array(near.astype(np.int32).tolist(), pa.list_(pa.int32()))],
-                    names=["question_id", "embedding", "cells"],
+                    [*(batch.column(c) for c in ("question_id", "embedding", "limit")), pa.array(near, pa.list_(pa.int32()))],
+                    names=["question_id", "embedding", "limit", "cells"],
                 )
 
         vector = questions.schema["embedding"].dataType.simpleString()
-        routed = questions.select("question_id", "embedding").mapInArrow(
-            route, f"question_id {key.simpleString()}, embedding {vector}, cells array<int>"
+        routed = questions.mapInArrow(
+            route, f"question_id {key.simpleString()}, embedding {vector}, limit double, cells array<int>"
         )
-        routed = stage_table(routed.select("question_id", "embedding", F.explode("cells").alias("cell")), "routed")
+        routed = stage_table(routed.select("question_id", "embedding", "limit", F.explode("cells").alias("cell")), "routed")
         # One row per cell that is wanted: its segments, and the blocks of its questions.
         wanted = routed.groupBy("cell").agg(F.ceil(F.count("*") / s.block).alias("blocks"))
         sizes = self.spark.read.parquet(f"{self.path}/cells").withColumn("segments", F.ceil(F.col("held") / s.segment))
         plan = stage_table(wanted.join(sizes, "cell").select("cell", "blocks", "segments"), "plan")
         share = lambda of, n: F.pmod(F.xxhash64(of), F.col(n))
         asked = routed.join(plan, "cell").select(
-            "cell", "question_id", "embedding", share("question_id", "blocks").alias("block"),
+            "cell", "question_id", "embedding", "limit", share("question_id", "blocks").alias("block"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("segments") - 1)).alias("segment"),
         )
-        held = self.rows().select("cell", "id", "code").join(plan, "cell").select(
-            "cell", "id", "code", share("id", "segments").alias("segment"),
+        columns = ["cell", "id", "code", *(["error", "embedding"] if certain else [])]
+        held = self.rows().select(*columns).join(plan, "cell").select(
+            *columns, share("id", "segments").alias("segment"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
         )
 
@@ -228,7 +249,11 @@ class QuantisedIndex:
             if rows.num_rows and asked.num_rows:
                 cell = rows["cell"][0].as_py()
                 coded = np.frombuffer(b"".join(rows["code"].to_pylist()), dtype=np.uint8).reshape(-1, parts)
-                points = _rows_of(asked["embedding"].combine_chunks()) - coarse[cell]
+                wanted = _rows_of(asked["embedding"].combine_chunks())
+                points = wanted - coarse[cell]
+                if certain:
+                    vectors, errors = _rows_of(rows["embedding"].combine_chunks()), rows["error"].to_numpy()
+                    names, limits = np.array(rows["id"].to_pylist()), np.sqrt(asked["limit"].to_numpy())
                 step = max(1, _MATRIX_BYTES // (8 * len(coded)))
                 for at in range(0, len(points), step):
                     block = points[at : at + step].reshape(-1, parts, 1, width)
@@ -236,6 +261,15 @@ class QuantisedIndex:
                     guess = np.zeros((len(block), len(coded)))
                     for p in range(parts):
                         guess += tables[:, p, coded[:, p]]
+                    if certain:
+                        could = np.sqrt(guess) - errors <= limits[at : at + len(block), None] + _SLACK
+                        for q, row in enumerate(could, at):
+                            close = np.flatnonzero(row)
+                            delta = vectors[close] - wanted[q]
+                            exact = (delta * delta).sum(axis=1)
+                            best = np.lexsort((names[close], exact))[:k]
+                            found.append((np.full(len(best), q), close[best], exact[best]))
+                        continue
                     n = min(keep, len(coded))
                     best = np.argpartition(guess, n - 1, axis=1)[:, :n]
                     found.append(
@@ -261,16 +295,26 @@ class QuantisedIndex:
         ranked = met.withColumn("place", F.row_number().over(best)).where(F.col("place") <= keep)
         return ranked.select("question_id", "cell", "id")
 
-    def search(self, questions: DataFrame, k: int, probes: int = 32) -> DataFrame:
+    def search(self, questions: DataFrame, k: int, probes: int = 32, refine: int = 0, certain: bool = False) -> DataFrame:
         """``question_id, id, distance, rank`` as in ``top_k``, of the nearest entries found.
 
         The candidates' vectors come from the folders of their cells alone; distances are exact, in
         double precision, and ties go to the smaller id. Questions without a vector, or with one of
-        another dimension, take no part.
+        another dimension, take no part. With ``certain``, the distances found are the limits of an
+        exact check, and the result is that of ``top_k``.
         """
         dim = self.model()[0].shape[1]
         asked = stage_table(questions.select("question_id", "embedding"), "questions").where(F.size("embedding") == dim)
-        found = stage_table(self.candidates(asked, k, probes), "candidates")
+        ranked = self._measured(asked, self.candidates(asked, k, probes, refine), k)
+        if not certain:
+            return ranked
+        known = ranked.groupBy("question_id").agg(F.max("distance").alias("limit"), F.count("*").alias("n")).where(F.col("n") == k)
+        limit = F.coalesce("limit", F.lit(float("inf"))).alias("limit")
+        limited = stage_table(asked.join(known, "question_id", "left").select("question_id", "embedding", limit), "limits")
+        return self._measured(asked, self.candidates(limited, k, probes, certain=True), k)
+
+    def _measured(self, asked: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+        found = stage_table(candidates, "candidates")
         entries = self.rows().select("cell", "id", F.col("embedding").alias("vector"))
         both = entries.join(found, ["cell", "id"]).join(asked, "question_id")
         delta = F.zip_with("embedding", "vector", lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))

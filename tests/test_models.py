@@ -66,6 +66,23 @@ def test_quantised_search(spark, tmp_path, settings):
     assert counted["wanted"] == 200 and counted["found"] >= 180
 
 
+def spherical(n, dim=32, seed=2):
+    """Vectors that lie about as far from each other as from anything: codes alone mislead."""
+    draw = np.random.default_rng(seed)
+    return [(i, v.tolist()) for i, v in enumerate(draw.normal(size=(n, dim)))]
+
+
+def test_a_certain_search_is_exact(spark, tmp_path):
+    entries = spark.createDataFrame(spherical(1200), VECTORS)
+    asked = spark.createDataFrame([(0, [0.01] * 32), (1, [-0.2] * 32), (2, [3.0] * 32)], VECTORS).withColumnRenamed("id", "question_id")
+    index = QuantisedIndex(spark, str(tmp_path / "index"), Quantiser(parts=4, refine=1, segment=70, block=2))
+    index.build(entries)
+    key = lambda r: (r["question_id"], r["rank"], r["id"], round(r["distance"], 9))
+    want = sorted(map(key, top_k(entries, asked, 5).collect()))
+    assert sorted(map(key, index.search(asked, 5, probes=4096).collect())) != want
+    assert sorted(map(key, index.search(asked, 5, probes=1, certain=True).collect())) == want
+
+
 def test_equal_vectors_and_one_vector(spark, tmp_path):
     rows = [(i, [1.0, 0.0]) for i in range(300)] + [(900, [0.0, 1.0])]
     index = QuantisedIndex(spark, str(tmp_path / "equal"), Quantiser(segment=20))
