@@ -4,7 +4,8 @@ Fitting cuts the space into cells (k-means) and the differences from the cells'
 codes (k-means per group of dimensions), both on a bounded sample. Every vector is stored with its
 cell, its code and itself, in one folder per cell. A search reads the codes of the cells nearest to
 a question, estimates distances by table look-up, and measures only the best estimates exactly.
-Where the result must be exact, a check follows that measures whatever could still be nearer (``certain``).
+How many cells and candidates a collection needs is measured (``settled``); where the result must be
+exact, a check follows that measures whatever could still be nearer (``certain``).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from pagefold.operators.retrieval import top_k
 from pagefold.session import stage_table
 from pagefold.sources.tables import path_exists
 
@@ -322,6 +324,24 @@ class QuantisedIndex:
         order = Window.partitionBy("question_id").orderBy("distance", "id")
         return exact.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
+    def settled(self, questions: DataFrame, k: int, wanted: float = 0.95, sample: int = 200, probes: int = 32) -> tuple[int, int]:
+        """``probes, refine`` with which a search finds so much of the true neighbours of a sample of the questions.
+
+        Both are doubled until it does; in the end all cells are read and all rows measured. The
+        sample is by a hash of the id, and its neighbours come from an exact scan.
+        """
+        refine, dim = self.settings.refine, self.model()[0].shape[1]
+        usable = questions.where(F.size("embedding") == dim).select("question_id", "embedding")
+        some = stage_table(usable.orderBy(F.xxhash64("question_id"), "question_id").limit(sample), "some")
+        exact = stage_table(top_k(self.rows().select("id", "embedding"), some, k), "exact")
+        sizes = self.spark.read.parquet(f"{self.path}/cells").agg(F.count("*").alias("cells"), F.sum("held").alias("held")).first()
+        while True:
+            counted = recall(self.search(some, k, probes, refine), exact).first()
+            whole = probes >= sizes["cells"] and refine * k >= sizes["held"]
+            if whole or counted["found"] >= wanted * counted["wanted"]:
+                return probes, refine
+            probes, refine = 2 * probes, 2 * refine
+
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
     """One row: ``wanted`` neighbours, and how many of them were ``found``."""

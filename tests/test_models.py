@@ -83,6 +83,18 @@ def test_a_certain_search_is_exact(spark, tmp_path):
     assert sorted(map(key, index.search(asked, 5, probes=1, certain=True).collect())) == want
 
 
+def test_settled_searches_find_what_was_wanted(spark, tmp_path):
+    entries = spark.createDataFrame(spherical(1200), VECTORS)
+    asked = entries.where("id % 20 = 0").withColumnRenamed("id", "question_id")
+    index = QuantisedIndex(spark, str(tmp_path / "index"), Quantiser(parts=4, refine=2))
+    index.build(entries)
+    exact = top_k(entries, asked, 5)
+    first = recall(index.search(asked, 5, probes=4), exact).first()
+    assert first["found"] < 0.9 * first["wanted"]
+    last = recall(index.search(asked, 5, *index.settled(asked, 5, probes=4)), exact).first()
+    assert last["found"] >= 0.95 * last["wanted"]
+
+
 def test_equal_vectors_and_one_vector(spark, tmp_path):
     rows = [(i, [1.0, 0.0]) for i in range(300)] + [(900, [0.0, 1.0])]
     index = QuantisedIndex(spark, str(tmp_path / "equal"), Quantiser(segment=20))
