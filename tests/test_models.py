@@ -391,6 +391,23 @@ def test_a_fitted_tagger_finds_names_it_has_not_seen(spark):
     assert [s["text"] for s in rows[0]["s"]] == ["Bakelo Fina"] and not rows[1]["s"]
 
 
+def test_a_name_may_end_inside_a_word_and_rows_may_come_in_any_order(spark):
+    draw = random.Random(5)
+
+    def made():
+        who = "".join(draw.choice("김이박최정강조윤장임") for _ in range(draw.choice([2, 3, 4, 5, 5])))
+        text = f"소속: 개발팀\n작성자: {who} 대리\n확인했습니다"
+        return text, [(13, 13 + min(4, len(who)), "PS")]
+
+    kind = "text string, spans array<struct<start:int,end:int,label:string>>"
+    train, test = [made() for _ in range(200)], [made() for _ in range(100)]
+    fitted = [fit_tagger(spark.createDataFrame(rows, kind), ["PS"], Chain(shards=2, epochs=4)) for rows in (train, train[::-1])]
+    assert np.array_equal(fitted[0].weights, fitted[1].weights) and np.array_equal(fitted[0].moves, fitted[1].moves)
+    found = fitted[0].recognize([t for t, _ in test])
+    right = sum([(a, b, n) for a, b, _, n, _ in f] == spans for f, (_, spans) in zip(found, test, strict=True))
+    assert right >= 95
+
+
 # --- answers ----------------------------------------------------------------------------------
 
 
