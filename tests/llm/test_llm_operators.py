@@ -453,6 +453,48 @@ def test_a_crowd_of_half_alike_texts(spark, paired, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == near_components(rows)
 
 
+def test_near_copies_are_linked_by_fingerprints_first(spark):
+    """Without a band, what the fingerprints link is found, and whole sets of shingles confirm it."""
+    rng = random.Random(8)
+    rows = []
+    for n in range(20):
+        words = [f"w{rng.randrange(3000)}" for _ in range(400)]
+        rows += [(10 * n, " ".join(words)), (10 * n + 1, " ".join([*words, "more"]))]
+    rows += [(1000, "a b c"), (1001, "a  b c"), (1002, "a b c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = minhash.node_rows(docs, 5, simhash.fingerprint)
+    pairs = simhash.close_pairs(nodes)
+    prints = {r["node"]: r["fingerprint"] for r in nodes.collect()}
+    close = {(a, b) for a, b in itertools.combinations(sorted(prints), 2) if bin((prints[a] ^ prints[b]) & (2**64 - 1)).count("1") <= 2}
+    assert close and {(r["a"], r["b"]) for r in pairs.collect()} == close
+    bare = nodes.withColumn("bands", F.array().cast("array<long>"))
+    edges = {(r["a"], r["b"]) for r in minhash.near_edges(docs, bare, pairs, 5, 0.8).collect()}
+    assert len(edges) >= 10 and edges <= close
+
+
+def test_a_crowd_of_edits_is_not_compared_in_pairs(spark, monkeypatch):
+    """Edits of one text: those near it are linked to it at once, and few pairs are left to the exact search."""
+    monkeypatch.setattr(minhash, "PAIRED", 3)
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for n in range(1, 241):
+        words = list(base)
+        for at in rng.sample(range(5, 145), rng.choice([1, 2, 3, 4])):
+            words[at] = f"x{rng.random()}"
+        rows.append((n, " ".join(words)))
+    late, counted = minhash.late_pairs, []
+
+    def spy(*args):
+        counted.append(late(*args))
+        return counted[-1]
+
+    monkeypatch.setattr(minhash, "late_pairs", spy)
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == near_components(rows)
+    assert sum(frame.count() for frame in counted) <= len(rows)
+
+
 @pytest.mark.parametrize("similarity", [0.8, 0.6])
 def test_late_pairs_miss_none(spark, similarity):
     rng = random.Random(6)
