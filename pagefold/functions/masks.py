@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,22 +42,28 @@ def restored(text: str, masks: list[str]) -> str:
 def protect_masks(text: Column) -> Column:
     """The i-th mask becomes the i-th token; as ``protected``, for a column."""
 
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else protected(t)[0]).astype(object)
+    def joined(gaps: Column) -> Column:
+        token = lambda i: F.concat(F.lit(TOKEN_HEAD), i.cast("string"), F.lit(TOKEN_TAIL))
+        return F.array_join(F.transform(gaps, lambda gap, i: F.when(i < F.size(gaps) - 1, F.concat(gap, token(i))).otherwise(gap)), "")
 
-    return run(text)
+    return let(F.split(text, MASK, -1), joined)
 
 
 def restore_masks(text: Column, masks: Column) -> Column:
     """Every token becomes its mask again; tokens beyond the masks stay. As ``restored``, for columns."""
+    token = f"{TOKEN_HEAD}(0|[1-9][0-9]*){TOKEN_TAIL}"
+    found = F.regexp_extract_all(text, F.lit(token), F.lit(1))
+    row = F.struct(F.split(text, token, -1).alias("gaps"), found.alias("numbers"), masks.alias("masks"))
 
-    @F.pandas_udf("string")
-    def run(texts: pd.Series, held: pd.Series) -> pd.Series:
-        rows = zip(texts, held, strict=True)
-        return pd.Series([None if t is None else restored(t, [] if m is None else list(m)) for t, m in rows], dtype=object)
+    def joined(x: Column) -> Column:
+        def back(number: Column) -> Column:
+            # No text has masks enough for a longer number.
+            at = F.when(F.length(number) <= 9, number).cast("int")
+            return F.coalesce(F.get(x["masks"], at), F.concat(F.lit(TOKEN_HEAD), number, F.lit(TOKEN_TAIL)))
 
-    return run(text, masks)
+        return F.array_join(F.zip_with(x["gaps"], x["numbers"], lambda gap, n: F.concat(gap, F.coalesce(back(n), F.lit("")))), "")
+
+    return let(row, joined)
 
 
 def windows_of(tokens: Sequence[str], size: int = WINDOW_TOKENS, overlap: int = WINDOW_OVERLAP) -> list[list[str]]:
@@ -69,14 +74,16 @@ def windows_of(tokens: Sequence[str], size: int = WINDOW_TOKENS, overlap: int =
 
 
 def token_windows(tokens: Column, size: int = WINDOW_TOKENS, overlap: int = WINDOW_OVERLAP) -> Column:
-    """The same over a column of token arrays."""
+    """The same over a column of token arrays; no text leaves the JVM."""
     check_window(size, overlap)
+    step = size - overlap
 
-    @F.pandas_udf("array<array<string>>")
-    def run(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda r: None if r is None else windows_of(list(r), size, overlap))
+    def cut(row: Column) -> Column:
+        last = F.greatest(F.lit(0), F.ceil((F.size(row) - size) / step).cast("int"))
+        windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(row, i * step + 1, F.lit(size)))
+        return F.when(F.size(row) > 0, windows).otherwise(F.when(row.isNotNull(), F.filter(windows, lambda w: F.size(w) > 0)))
 
-    return run(tokens)
+    return let(tokens, cut)
 
 
 def sentence_batches(text: Column, limit: int = BATCH_CHARS) -> Column:

@@ -9,9 +9,12 @@ from pagefold.backends.base import EntityRecognizer
 from pagefold.functions.masks import (
     masks_in,
     protect_masks,
+    protected,
     restore_masks,
+    restored,
     sentence_batches,
     token_windows,
+    windows_of,
 )
 from pagefold.functions.spans import (
     SPANS,
@@ -243,3 +246,22 @@ def test_many_spans_in_one_text(spark):
         runs[-1].append(span)
         high = max(high, span[1])
     assert long == [s for out in merge(spark, runs) for s in out]
+
+
+def test_windows_and_masks_need_no_python(spark):
+    """As the helpers for single texts, over odd texts, and without a step that holds a batch of texts in Python."""
+    rng = random.Random(3)
+    texts = ["", None, "[PS]", "[PS][LC] a [OG]", "<KEEP_0> [PS] <KEEP_7> <KEEP_99999999999> <KEEP_01>", "[ps] [가_] [A B] $1 \\1"]
+    texts += ["".join(rng.choice(["[PS]", "<KEEP_1>", "<KEEP_0>", " ", "가", "\n", "[", "]"]) for _ in range(30)) for _ in range(40)]
+    tokens = [None, [], *[[f"t{i}" for i in range(n)] for n in (1, 3, 4, 5, 6, 7, 40)]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    masked = frame.select("text", masks_in(F.col("text")).alias("masks"), protect_masks(F.col("text")).alias("kept"))
+    out = masked.select("*", restore_masks(F.col("kept"), F.col("masks")).alias("back"))
+    for r in out.collect():
+        want = (None, None) if r["text"] is None else protected(r["text"])
+        assert (r["kept"], r["back"]) == (want[0], None if r["text"] is None else restored(*want))
+    cut = spark.createDataFrame([(t,) for t in tokens], "t array<string>").select("t", token_windows(F.col("t"), 5, 2).alias("w"))
+    for r in cut.collect():
+        assert r["w"] == (None if r["t"] is None else windows_of(r["t"], 5, 2))
+    for plan in (out, cut):
+        assert "Python" not in plan._jdf.queryExecution().toString()
