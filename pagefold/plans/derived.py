@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,9 @@ from pagefold.session import spread
 from pagefold.sources.formats import A, P, R, S, W
 from pagefold.sources.tables import load_table
 
+# Files that a worker packs before it passes them on.
+_FILES = 100
+
 # One Korean memo per order, written in SQL that both engines read alike.
 MEMO_SQL = """
     concat(
@@ -148,21 +152,22 @@ def sheet_file(sheets: dict[str, list[list[str | int | None]]]) -> bytes:
 def office_files(spark: SparkSession, folder: str) -> DataFrame:
     """An office file per document: the language decides between the three formats."""
 
-    @F.pandas_udf("binary")
-    def build(ids: pd.Series, languages: pd.Series, texts: pd.Series) -> pd.Series:
-        files = []
-        for doc_id, lang, text in zip(ids, languages, texts):
-            lines = text.split("\n")
-            if lang == "en":
-                files.append(word_file(lines, [["document", str(doc_id)]]))
-            elif lang == "fr":
-                files.append(slide_file([[f"document {doc_id}"], lines]))
-            else:
-                files.append(sheet_file({"index": [["document", doc_id]], lang: [[x, None] for x in lines]}))
-        return pd.Series(files)
+    def file(doc_id: int, lang: str, text: str) -> bytes:
+        lines = text.split("\n")
+        if lang == "en":
+            return word_file(lines, [["document", str(doc_id)]])
+        if lang == "fr":
+            return slide_file([[f"document {doc_id}"], lines])
+        return sheet_file({"index": [["document", doc_id]], lang: [[x, None] for x in lines]})
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _FILES):
+                piece = batch.slice(at, _FILES)
+                paths, *given = piece.columns
+                made = [file(*[v.as_py() for v in row]) for row in zip(*given, strict=True)]
+                yield pa.RecordBatch.from_arrays([paths, pa.array(made, pa.binary())], names=["path", "content"])
 
     suffix = F.when(F.col("lang") == "en", ".docx").when(F.col("lang") == "fr", ".pptx").otherwise(".xlsx")
-    return documents(spark, folder).select(
-        F.concat(F.lit("raw/doc_"), F.col("doc_id").cast("string"), suffix).alias("path"),
-        build("doc_id", "lang", "text").alias("content"),
-    )
+    path = F.concat(F.lit("raw/doc_"), F.col("doc_id").cast("string"), suffix)
+    return documents(spark, folder).select(path.alias("path"), "doc_id", "lang", "text").mapInArrow(build, "path string, content binary")

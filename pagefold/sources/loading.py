@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,16 +21,42 @@ PARSED = (
     "parts array<string>, method string, status string"
 )
 PAGE_COLUMNS = ("source_file", "file_type", "page_num", "text", "method", "elements_count", "status")
+_PARSED = pa.schema([
+    ("path", pa.string()), ("source_file", pa.string()), ("file_type", pa.string()), ("file_bytes", pa.int64()), ("page_num", pa.int32()),
+    ("parts", pa.list_(pa.string())), ("method", pa.string()), ("status", pa.string()),
+])
+# Rows, and bytes of files, that a worker gathers before it passes them on.
+PIECE_ROWS, PIECE_BYTES = 500, 4 * 1024 * 1024
 OK, NO_TEXT = "ok", "failed: no text"
 # Preview text is enough at this many characters per kilobyte, and at least so many.
 PREVIEW_CHARS_PER_KB, PREVIEW_MIN_CHARS = 100, 1500
 
 
+def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, _PARSED, strict=True)], schema=_PARSED)
+
+
+def _pieces(files: Iterable[list[tuple]]) -> Iterator[pa.RecordBatch]:
+    """The rows of files as batches, each passed on before further files are read."""
+    rows: list[tuple] = []
+    held = 0
+    for found in files:
+        rows += found
+        held += found[0][3]
+        if held >= PIECE_BYTES or len(rows) >= PIECE_ROWS:
+            yield _as_batch(rows)
+            rows, held = [], 0
+    if rows:
+        yield _as_batch(rows)
+
+
 def read_files(files: DataFrame, recognition: Recognition | None = None) -> DataFrame:
     """Parse every file once, whatever its format; a failure is a row with its reason.
 
     One pass with a choice by suffix per file: a branch per format would scan the folder once
-    for each.
+    for each. A file is parsed and passed on in pieces of a few megabytes, however many files Spark
+    hands over at once, so that a worker never holds the pages of a whole batch.
     """
     recognition = recognition or Recognition()
     routed = with_route(files).select("path", "source_file", "file_type", "loader", "content")
@@ -43,27 +70,22 @@ def read_files(files: DataFrame, recognition: Recognition | None = None) -> Data
             return recognition.read_image(content)
         return READERS[loader](content)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pages_of(path: str, name: str, suffix: str, loader: str | None, content: bytes) -> list[tuple]:
+        head = (path, name, suffix, len(content))
+        try:
+            pages = read(loader, content)
+        except Unsupported as reason:
+            return [(*head, None, None, None, f"unsupported: {reason}")]
+        except Exception as error:
+            return [(*head, None, None, None, f"failed: {error}")]
+        return [(*head, i, *page, OK) for i, page in enumerate(pages, 1)] or [(*head, None, None, None, NO_TEXT)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recognition.load()
         for batch in batches:
-            rows = []
-            for path, name, suffix, loader, content in batch.itertuples(index=False):
-                content = bytes(content)
-                head = (path, name, suffix, len(content))
-                try:
-                    pages = read(loader, content)
-                    rows += [(*head, i, *page, OK) for i, page in enumerate(pages, 1)]
-                    if not pages:
-                        rows.append((*head, None, None, None, NO_TEXT))
-                except Unsupported as reason:
-                    rows.append((*head, None, None, None, f"unsupported: {reason}"))
-                except Exception as error:
-                    rows.append((*head, None, None, None, f"failed: {error}"))
-            columns = [f.split()[0] for f in PARSED.split(", ")]
-            frame = pd.DataFrame(rows, columns=columns)
-            yield frame.astype({"page_num": "Int32"})
-
-    return routed.mapInPandas(run, PARSED)
+            yield from _pieces(pages_of(*[v.as_py() for v in file]) for file in zip(*batch.columns, strict=True))
+
+    return routed.mapInArrow(run, PARSED)
 
 
 def preview_is_enough(text: Column, file_bytes: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pagefold.backends.base import DocumentParser, ImageReader, PdfReader
 from pagefold.plans.derived import sheet_file, slide_file, word_file
+from pagefold.sources import loading
 from pagefold.sources.folder import loader_of, scan_folder, suffix_of
 from pagefold.sources.formats import (
     Unsupported,
@@ -251,3 +252,19 @@ def test_hangul_preview(spark):
     assert rows["b.hwp"]["preview_enough"]
     assert rows["c.hwp"]["status"] == "failed: no text"
     assert rows["d.hwp"]["status"].startswith("failed")
+
+
+def test_files_are_passed_on_in_pieces():
+    """A worker passes pages on while it reads, and does not gather those of a whole batch."""
+    read = []
+
+    def files():
+        for i in range(24):
+            read.append(i)
+            page = (f"raw/f{i}.txt", "f.txt", ".txt", 1 << 20)
+            yield [(*page, None, None, None, "failed: x")] if i == 2 else [(*page, n, ["a", "b"], "txt", loading.OK) for n in (1, 2)]
+
+    made = loading._pieces(files())
+    first = next(made)
+    assert len(read) <= 5 and first.to_pylist()[4]["parts"] is None
+    assert first.num_rows + sum(b.num_rows for b in made) == 47
