@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 import io
+import random
 import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from pagefold.backends.base import DocumentParser, ImageReader, PdfReader
 from pagefold.plans.derived import sheet_file, slide_file, word_file
-from pagefold.sources import loading
+from pagefold.sources import formats, loading
 from pagefold.sources.folder import loader_of, scan_folder, suffix_of
 from pagefold.sources.formats import (
     Unsupported,
@@ -268,3 +270,24 @@ def test_files_are_passed_on_in_pieces():
     first = next(made)
     assert len(read) <= 5 and first.to_pylist()[4]["parts"] is None
     assert first.num_rows + sum(b.num_rows for b in made) == 47
+
+
+def test_plain_tables_are_printed_as_pandas_does(monkeypatch):
+    rng = random.Random(1)
+    heads = ["a", "bb", "customer", "x y", "Long_Name", "NA", "nan", "A" * 70]
+    cells = {
+        "whole": ["0", "5", "-3", "123456", "-99999999999", str(10**16)],
+        "word": ["BUILDING", "HOUSE HOLD", "a", "e", "inf", "NaN", "True", "NULL", "yes", "T", "B" * 90],
+        "odd": ["007", "1.0", "", "a", "3", "-0", "+5", " x", "\t", "가", '"q"', str(10**20), "n/a", "1e5"],
+    }
+    plain = 0
+    for _ in range(600):
+        kinds = rng.choices(["whole", "word", "odd"], [6, 5, 1], k=rng.randint(1, 4))
+        rows = [rng.choices(heads, k=len(kinds)), *[[rng.choice(cells[k]) for k in kinds] for _ in range(rng.randint(1, 4))]]
+        content = "".join(",".join(row) + "\n" for row in rows).encode()
+        found = formats.plain_table(content)
+        plain += found is not None
+        assert found is None or found == pd.read_csv(io.BytesIO(content)).to_string(index=False)
+    assert plain > 100
+    monkeypatch.setattr(formats.pd, "read_csv", None)
+    assert formats.read_csv(b"customer,nation,segment\n123,4,BUILDING\n")[0][0][0].endswith("BUILDING")
