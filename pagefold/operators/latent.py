@@ -63,10 +63,11 @@ def weighted(held: DataFrame, statistics: DataFrame) -> DataFrame:
 def _summed(entries: DataFrame, vectors: DataFrame, by: str, to: str, width: int) -> DataFrame:
     """Per ``to``, the sum of the vectors of its ``by``, times the weights: one side of the matrix, multiplied.
 
-    Sums are combined in every task before they meet; a word of very many documents is one small row
-    on the other side of the join, which the planner may send to all tasks or split by skew.
+    Sums are combined in every task before they meet. The vectors of words go to all tasks, as they are
+    bounded by the vocabulary: entries stored by document then stay where they are, and a document's sum
+    is one row. Joined by the word, every single entry would be shuffled with a vector of its own.
     """
-    met = entries.join(vectors, by)
+    met = entries.join(F.broadcast(vectors) if by == "term" else vectors, by)
     sums = met.groupBy(to).agg(*[F.sum(F.col("vector")[i] * F.col("weight")).alias(f"v{i}") for i in range(width)])
     return stage_table(sums.select(to, F.array(*[f"v{i}" for i in range(width)]).alias("vector")), "vectors")
 
@@ -192,7 +193,9 @@ def fit_embedder(docs: DataFrame, settings: Latent | None = None) -> tuple[Laten
     held = stage_table(document_terms(usable), "terms")
     statistics = stage_table(term_statistics(held, count, s), "statistics")
     share = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(max(1, 1_000_000 * s.sample // max(1, count)))
-    entries = stage_table(weighted(held.where(share) if count > s.sample else held, statistics), "entries")
+    # All entries of a document in one file, for the sums of ``_summed``.
+    entries = weighted(held.where(share) if count > s.sample else held, statistics)
+    entries = stage_table(entries.repartition("id"), "entries")
     if entries.isEmpty():
         raise ValueError("no word is in enough documents")
     values, vectors = decompose(entries, s)
