@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from pagefold.llm.common import packed, unpacked
+from pagefold.llm.common import packed, pieces, unpacked
 
 # Bounds of the sample a model is fitted on, and of the lexicon; scoring has none.
 LABELLED = 12_000
@@ -310,7 +310,7 @@ def _scores(rows: DataFrame, model: Toxicity) -> DataFrame:
     """Add ``score`` to rows with a column ``text``, which is replaced by it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             at = batch.schema.get_field_index("text")
             made = pa.array([model.score(t.as_py() or "") for t in batch.column(at)], pa.float64())
             columns = [made if i == at else c for i, c in enumerate(batch.columns)]

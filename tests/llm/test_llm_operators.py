@@ -8,6 +8,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -472,6 +473,21 @@ def test_near_copies_are_linked_by_fingerprints_first(spark):
     assert len(edges) >= 10 and edges <= close
 
 
+def test_python_steps_take_up_few_texts_at_once(spark, monkeypatch):
+    """A large batch is described piece by piece, so a worker never holds what it makes of all its texts."""
+    kind, steps = type(spark.range(1)), []
+    real = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, step, schema: steps.append(step) or real(self, step, schema))
+    docs = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
+    minhash.node_rows(docs, 5, simhash.fingerprint)
+    texts = [f"word{n} two three four five six".encode() for n in range(1000)] + [b"long " * 400_000] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.binary())], names=["first", "text"])
+    made = list(steps[0](iter([batch])))
+    assert [v for m in made for v in m.column("first").to_pylist()] == list(range(len(texts)))
+    assert max(m.num_rows for m in made) <= 256
+    assert list(steps[0](iter([batch.slice(0, 0)]))) == []
+
+
 def test_a_crowd_of_edits_is_not_compared_in_pairs(spark, monkeypatch):
     """Edits of one text: those near it are linked to it at once, and few pairs are left to the exact search."""
     monkeypatch.setattr(minhash, "PAIRED", 3)
