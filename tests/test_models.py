@@ -19,6 +19,7 @@ from pagefold.operators.answering import answer_questions
 from pagefold.operators.boundaries import abbreviations, learned_sentences, stop_counts
 from pagefold.operators.correction import Channel, best_reading, correct_texts, neighbours, tokens, word_counts
 from pagefold.operators.embedding import embed_chunks
+from pagefold.operators import language_model
 from pagefold.operators.language_model import Grams, detect_languages, fit_languages, gram_rows
 from pagefold.operators.latent import Latent, decompose, document_terms, fit_embedder, term_statistics, weighted
 from pagefold.operators.quantised_index import Quantiser, QuantisedIndex, k_means, recall
@@ -449,3 +450,19 @@ def test_abbreviations_do_not_end_sentences(spark):
     assert abbreviations(stop_counts(frame.limit(0))).count() == 0
     row = spark.createDataFrame([("A b. C",)], "text string").select(learned_sentences(F.col("text"), []).alias("s")).first()
     assert row["s"] == ["A b.", "C"]
+
+
+def test_language_grams_are_counted_in_their_task(spark):
+    """Counts and sums leave a task, not a row per n-gram; both agree with one row per n-gram."""
+    rows = [(1, "a \U0001f600b a  1 aB\x00c"), (2, "ab"), (3, ""), (4, None), (5, "été " * 50), (6, "été")]
+    frame = spark.createDataFrame([(i, "x" if i % 2 else "y", t) for i, t in rows], "id long, lang string, text string")
+    for length in (1, 2, 3, 4, 5):
+        g = Grams(length=length, segment=30)
+        apart = gram_rows(frame.where("text IS NOT NULL"), ["id", "lang"], g)
+        counted = language_model.gram_counts(frame.where("text IS NOT NULL").select("text", "lang"), g)
+        assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, apart.groupBy("lang", "gram").count().collect()))
+        model = fit_languages(frame.select("text", "lang"), g)
+        found = language_model.language_scores(frame.select("id", "text"), model, g)
+        want = apart.select("id", "gram").join(model, "gram").groupBy("id", "lang").agg(F.sum("score").alias("score"), F.count("*").alias("n"))
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.select("id", "lang", "score", "n").collect()))
+        assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
