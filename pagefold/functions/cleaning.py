@@ -67,6 +67,11 @@ def clean_text(col: Column) -> Column:
     return F.coalesce(F.array_join(kept, "\n"), F.lit(""))
 
 
+def _at_least(number: int, char_class: str) -> str:
+    """Matches where so many characters belong to the class; scanning ends at the last of them."""
+    return f"[{char_class}](?:[^{char_class}]*+[{char_class}]){{{number - 1}}}"
+
+
 def _rule_tests(line: Column) -> dict[str, Column]:
     size = F.length(line)
     short = size < SHORT_LINE_CHARS
@@ -77,14 +82,16 @@ def _rule_tests(line: Column) -> dict[str, Column]:
     few_latin = line.rlike(
         f"^[^{LATIN}]*+(?:[{LATIN}][^{LATIN}]*+){{{LATIN_CHECK_FROM},{LATIN_CHECK_BELOW - 1}}}+$"
     )
+    # A short line of mostly digits has fewer than three letters, as none of these counts as a digit; so few lines are counted.
+    few_of_any = ~line.rlike(_at_least(MIN_SHORT_LETTERS, "\\p{L}"))
     not_digit_alnum = F.length(F.regexp_replace(line, f"[^{ALNUM}]+|[\\p{{Nd}}{DIGIT_EXTRA}]+", ""))
     return {
         "blank": size == 0,
         "too_short": size < MIN_LINE_CHARS,
         "specials_only": ~starts_alnum & line.rlike(f"^[^{ALNUM}_]+$"),
         "low_signal": ~line.rlike(MOSTLY_SIGNAL) & (count_in(line, ALNUM) < size * MIN_SIGNAL_RATIO),
-        "few_letters": short & (count_in(line, LATIN + HANGUL) < MIN_SHORT_LETTERS),
-        "mostly_digits": short & ((size - not_digit_alnum) > size * MAX_SHORT_DIGIT_RATIO),
+        "few_letters": short & ~line.rlike(_at_least(MIN_SHORT_LETTERS, LATIN + HANGUL)),
+        "mostly_digits": short & few_of_any & ((size - not_digit_alnum) > size * MAX_SHORT_DIGIT_RATIO),
         "repeated_special": ~starts_alnum & line.rlike(r"(?s)(.)\1{2,}"),
         "loose_jamo": line.rlike(JAMO_RANGE)
         & (count_in(line, LOOSE_JAMO) > size * MAX_JAMO_RATIO),

@@ -4,8 +4,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from pagefold.functions import cleaning
 from pagefold.functions.cleaning import DIVIDER, clean_ocr_text, clean_text, line_rule, rewrite_line
+from pagefold.functions.text import ALNUM, DIGIT_EXTRA, HANGUL, LATIN, count_in
 
 LINES = [
     ("", "blank"),
@@ -79,3 +82,21 @@ def test_properties_of_what_stays(column):
     assert column(clean_text, cleaned) == cleaned
     again = column(clean_ocr_text, cleaned)
     assert all(b == a or len(b) < len(a) for a, b in zip(cleaned, again))
+
+
+def test_guards_of_short_lines_agree_with_counts(spark):
+    """Early ends of scans decide as whole counts do, for lines of letters, digits and marks of several scripts."""
+    rng = random.Random(4)
+    lines = ["".join(rng.choice("aZ\u0130\u212a가힣ㅁéб中019²①٣ -.\U0001f600") for _ in range(rng.randint(1, 11))) for _ in range(600)]
+    frame = spark.createDataFrame([(line,) for line in lines], "line string")
+    line, size = F.col("line"), F.length("line")
+    tests = cleaning._rule_tests(line)
+    few = (size < cleaning.SHORT_LINE_CHARS) & (count_in(line, LATIN + HANGUL) < cleaning.MIN_SHORT_LETTERS)
+    other = F.length(F.regexp_replace(line, f"[^{ALNUM}]+|[\\p{{Nd}}{DIGIT_EXTRA}]+", ""))
+    digits = (size < cleaning.SHORT_LINE_CHARS) & ((size - other) > size * cleaning.MAX_SHORT_DIGIT_RATIO)
+    rows = frame.select(tests["few_letters"].alias("a"), few.alias("b"), tests["mostly_digits"].alias("c"), digits.alias("d"), "line").collect()
+    assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in rows) and any(r["a"] for r in rows) and any(r["c"] for r in rows)
+    assert any(r["d"] is False for r in rows)
+    for number in (1, 2, 3):
+        found = frame.select(line.rlike(cleaning._at_least(number, LATIN)).alias("a"), (count_in(line, LATIN) >= number).alias("b")).collect()
+        assert all(r["a"] == r["b"] for r in found)
