@@ -193,6 +193,23 @@ def test_neighbours_share_topics_more_often_than_with_hashed_words(spark):
         fit_embedder(frame.limit(0))
 
 
+def test_all_documents_fit_the_directions(spark):
+    """Where as many directions are kept as there are kinds of documents, they hold the weights of every one of them."""
+    texts = F.concat(F.lit("w"), (F.col("id") % 3).cast("string"), F.lit(" common"))
+    _, values = fit_embedder(spark.range(520_000).select("id", texts.alias("text")), Latent(dims=4, more=4, rounds=1))
+    assert math.isclose(float((values**2).sum()), 520_000, rel_tol=1e-9)
+
+
+def test_terms_are_counted_per_id(spark):
+    """Rows of one id, also of none, are one document; words are counted inside their row."""
+    rows = [(1, "b a B"), (1, "a"), (None, "c"), (None, "c d"), (2, "x y x"), (3, ""), (4, None)]
+    found = document_terms(spark.createDataFrame(rows, "id long, text string"))
+    want = {(1, "a"): 2, (1, "b"): 2, (None, "c"): 2, (None, "d"): 1, (2, "x"): 2, (2, "y"): 1}
+    assert {(r["id"], r["term"]): r["times"] for r in found.collect()} == want and found.count() == 6
+    plan = document_terms(spark.range(50).select("id", F.lit("a b a").alias("text")))._jdf.queryExecution().toString()
+    assert "Exchange" not in plan
+
+
 # --- languages --------------------------------------------------------------------------------
 
 
