@@ -347,6 +347,25 @@ def test_overlaps(spark, odd):
     assert again == got
 
 
+def test_a_large_benchmark_travels_block_by_block(spark, monkeypatch):
+    """No plan holds the seeds of more than one block, and all columns are those of a benchmark taken at once."""
+    rng = random.Random(14)
+    vocabulary = [f"v{i}" for i in range(300)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=rng.randint(9, 40)))) for k in range(12)]
+    items += [(20 + k, items[k][1].rsplit(" ", 2)[0] + " other") for k in range(6)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=i % 7) + [items[i % 18][1]] + rng.choices(vocabulary, k=9))) for i in range(30)]
+    rows += [(3, rows[4][1]), (None, rows[5][1]), (None, None), (40, "")]
+    frame, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = decontamination.overlap_report(frame, bench).collect()
+    kept = sorted(map(repr, decontamination.decontaminate(frame, bench).collect()))
+    monkeypatch.setattr(decontamination, "SEEDS_AT_ONCE", 150)
+    monkeypatch.setattr(decontamination, "HASHES_AT_ONCE", 300, raising=False)
+    report = decontamination.overlap_report(frame, bench)
+    assert report._jdf.queryExecution().toString().count("BroadcastExchange") <= 1
+    assert sorted(map(repr, report.collect())) == sorted(map(repr, whole)) and len(whole) > 30
+    assert sorted(map(repr, decontamination.decontaminate(frame, bench).collect())) == kept and len(kept) < 12
+
+
 # SimHash -----------------------------------------------------------------------------------------
 
 
