@@ -366,6 +366,15 @@ def test_a_large_benchmark_travels_block_by_block(spark, monkeypatch):
     assert sorted(map(repr, decontamination.decontaminate(frame, bench).collect())) == kept and len(kept) < 12
 
 
+def test_rows_stay_where_they_are_when_few_are_contaminated(spark):
+    """The rows to drop are stored before the rows are read, so their number is known and no text is shuffled."""
+    item = " ".join(f"w{i}" for i in range(20))
+    frame = spark.createDataFrame([(1, item), (2, "a b c")], "doc_id long, text string")
+    kept = decontamination.decontaminate(frame, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert [r["doc_id"] for r in kept.collect()] == [2]
+
+
 # SimHash -----------------------------------------------------------------------------------------
 
 
