@@ -21,6 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from pagefold.operators.retrieval import top_k
 from pagefold.session import stage_table
+from pagefold.settings import Settings
 from pagefold.sources.tables import path_exists
 
 # Bytes of a matrix of estimates that a task holds at a time.
@@ -34,9 +35,9 @@ _SLACK = 1e-6
 class Quantiser:
     """How an index is fitted and searched; ``cells`` and ``parts`` settle themselves where they are 0.
 
-    ``sample`` rows (by a hash of the id) fit the quantiser, all rows are indexed. A cell is read in
-    segments of about ``segment`` rows, and met by at most ``block`` questions at a time. ``refine``
-    candidates per neighbour wanted leave every segment.
+    ``sample`` rows (by a hash of the id) fit the quantiser, all rows are indexed. Cells are read
+    in slices of about ``segment`` rows, each met by at most ``block`` questions at a time. ``refine``
+    candidates per neighbour wanted leave every slice.
     """
 
     cells: int = 0
@@ -192,11 +193,11 @@ class QuantisedIndex:
 
         ``certain`` takes ``limit`` of the questions, a distance that ``k`` entries are known to keep. A code's
         error and a cell's radius bound distances from below: cells and rows that could be within the
-        limit are all looked at, and the ``k`` nearest of a segment leave it.
+        limit are all looked at, and the ``k`` nearest of a slice leave it.
 
-        Questions go to their cells, and codes stay with theirs: a task gets one segment of a cell and
-        one block of the questions that want it, so neither a popular cell nor a full one is one task,
-        and only ``refine`` times ``k`` rows per question leave it.
+        Small cells share a slice and a large one has several, of about ``segment`` rows. A question goes once to
+        every slice with a cell it wants; a task gets one slice and one block of its questions, so neither a popular
+        cell nor a full one is one task, and only ``refine`` times ``k`` rows per question and slice leave it.
         """
         s = self.settings
         coarse, books = self.model()
@@ -205,10 +206,14 @@ class QuantisedIndex:
         key = questions.schema["question_id"].dataType
         kind = self.rows().schema["id"].dataType
         keep = (refine or s.refine) * k
-        radius = np.full(len(coarse), -np.inf)
-        if certain:
-            for row in self.spark.read.parquet(f"{self.path}/cells").select("cell", "radius").collect():
-                radius[row["cell"]] = row["radius"]
+        radius, slices, full, last = np.full(len(coarse), -np.inf), {}, 0, 0
+        for row in sorted(self.spark.read.parquet(f"{self.path}/cells").collect(), key=lambda r: r["cell"]):
+            radius[row["cell"]], held = row["radius"], row["held"]
+            if full and full + held > s.segment:
+                full, last = 0, last + 1
+            segments = -(-held // s.segment)
+            slices[row["cell"]] = range(last, last + segments)
+            full, last = (full + held, last) if segments == 1 else (0, last + segments)
         questions = questions.select("question_id", "embedding", "limit" if certain else F.lit(float("inf")).alias("limit"))
 
         def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,63 +225,83 @@ class QuantisedIndex:
                     apart = np.sqrt(np.maximum(far + (points * points).sum(axis=1)[:, None], 0))
                     near = [np.flatnonzero(row).tolist() for row in apart - radius <= limit[:, None] + _SLACK]
                 else:
-                    near = np.argsort(far, axis=1, kind="stable")[:, :probes].astype(np.int32).tolist()
+                    near = np.argsort(far, axis=1, kind="stable")[:, :probes].tolist()
+                wants = []
+                for cells in near:
+                    own: dict[int, list[int]] = {}
+                    for cell in cells:
+                        for number in slices.get(cell, ()):
+                            own.setdefault(number, []).append(cell)
+                    wants.append([{"slice": number, "cells": wanted} for number, wanted in own.items()])
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in ("question_id", "embedding", "limit")), pa.array(near, pa.list_(pa.int32()))],
-                    names=["question_id", "embedding", "limit", "cells"],
-                )
+                    [*(batch.column(c) for c in ("question_id", "embedding", "limit")),
+                     pa.array(wants, pa.list_(pa.struct([("slice", pa.int32()), ("cells", pa.list_(pa.int32()))])))],
+                    names=["question_id", "embedding", "limit", "wants"],
+                )
 
         vector = questions.schema["embedding"].dataType.simpleString()
         routed = questions.mapInArrow(
-            route, f"question_id {key.simpleString()}, embedding {vector}, limit double, cells array<int>"
+            route, f"question_id {key.simpleString()}, embedding {vector}, limit double, wants array<struct<slice:int,cells:array<int>>>"
         )
-        routed = stage_table(routed.select("question_id", "embedding", "limit", F.explode("cells").alias("cell")), "routed")
-        # One row per cell that is wanted: its segments, and the blocks of its questions.
-        wanted = routed.groupBy("cell").agg(F.ceil(F.count("*") / s.block).alias("blocks"))
-        sizes = self.spark.read.parquet(f"{self.path}/cells").withColumn("segments", F.ceil(F.col("held") / s.segment))
-        plan = stage_table(wanted.join(sizes, "cell").select("cell", "blocks", "segments"), "plan")
+        columns = ["question_id", "embedding", "limit"]
+        routed = stage_table(routed.select(*columns, F.explode("wants").alias("want")).select(*columns, "want.slice", "want.cells"), "routed")
+        # One row per slice that is wanted: the blocks of its questions.
+        wanted = stage_table(routed.groupBy("slice").agg(F.ceil(F.count("*") / s.block).alias("blocks")), "plan")
         share = lambda of, n: F.pmod(F.xxhash64(of), F.col(n))
-        asked = routed.join(plan, "cell").select(
-            "cell", "question_id", "embedding", "limit", share("question_id", "blocks").alias("block"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("segments") - 1)).alias("segment"),
-        )
+        asked = routed.join(wanted, "slice").select("slice", *columns, "cells", share("question_id", "blocks").alias("block"))
+        places = self.spark.createDataFrame([(c, r[0], len(r)) for c, r in slices.items()], "cell int, first int, segments long")
         columns = ["cell", "id", "code", *(["error", "embedding"] if certain else [])]
-        held = self.rows().select(*columns).join(plan, "cell").select(
-            *columns, share("id", "segments").alias("segment"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        )
+        held = self.rows().select(*columns).join(F.broadcast(places), "cell")
+        held = held.select(*columns, (F.col("first") + share("id", "segments")).cast("int").alias("slice")).join(wanted, "slice").select(
+            *columns, "slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+        )
 
         def scan(rows: pa.Table, asked: pa.Table) -> pa.Table:
             found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             if rows.num_rows and asked.num_rows:
-                cell = rows["cell"][0].as_py()
+                # In the order of ids, so that of equal estimates those of the smaller ids are kept.
+                rows = rows.sort_by("id")
                 coded = np.frombuffer(b"".join(rows["code"].to_pylist()), dtype=np.uint8).reshape(-1, parts)
-                wanted = _rows_of(asked["embedding"].combine_chunks())
-                points = wanted - coarse[cell]
+                wanted, cells = _rows_of(asked["embedding"].combine_chunks()), asked["cells"].to_pylist()
+                members = rows["cell"].to_numpy()
+                held = {cell: np.flatnonzero(members == cell) for cell in np.unique(members).tolist()}
                 if certain:
                     vectors, errors = _rows_of(rows["embedding"].combine_chunks()), rows["error"].to_numpy()
                     names, limits = np.array(rows["id"].to_pylist()), np.sqrt(asked["limit"].to_numpy())
-                step = max(1, _MATRIX_BYTES // (8 * len(coded)))
-                for at in range(0, len(points), step):
-                    block = points[at : at + step].reshape(-1, parts, 1, width)
-                    tables = ((block - books[None]) ** 2).sum(axis=3)
-                    guess = np.zeros((len(block), len(coded)))
-                    for p in range(parts):
-                        guess += tables[:, p, coded[:, p]]
-                    if certain:
-                        could = np.sqrt(guess) - errors <= limits[at : at + len(block), None] + _SLACK
-                        for q, row in enumerate(could, at):
-                            close = np.flatnonzero(row)
-                            delta = vectors[close] - wanted[q]
+                step = max(1, _MATRIX_BYTES // (8 * max(len(coded), parts * codes)))
+                for at in range(0, len(wanted), step):
+                    points = wanted[at : at + step]
+                    asking: dict[int, list[int]] = {}
+                    for q, own in enumerate(cells[at : at + step]):
+                        for cell in own:
+                            asking.setdefault(cell, []).append(q)
+                    guess = np.full((len(points), len(coded)), np.inf)
+                    for cell, who in asking.items():
+                        place = held.get(cell)
+                        if place is None:
+                            continue
+                        block = (points[who] - coarse[cell]).reshape(-1, parts, 1, width)
+                        tables = ((block - books[None]) ** 2).sum(axis=3)
+                        sums = np.zeros((len(who), len(place)))
+                        for p in range(parts):
+                            sums += tables[:, p, coded[place, p]]
+                        guess[np.ix_(who, place)] = sums
+                    for q, row in enumerate(guess):
+                        if certain:
+                            close = np.flatnonzero(np.sqrt(row) - errors <= limits[at + q] + _SLACK)
+                            close = close[np.isfinite(row[close])]
+                            delta = vectors[close] - points[q]
                             exact = (delta * delta).sum(axis=1)
                             best = np.lexsort((names[close], exact))[:k]
-                            found.append((np.full(len(best), q), close[best], exact[best]))
-                        continue
-                    n = min(keep, len(coded))
-                    best = np.argpartition(guess, n - 1, axis=1)[:, :n]
-                    found.append(
-                        (np.repeat(np.arange(at, at + len(block)), n), best.ravel(), np.take_along_axis(guess, best, axis=1).ravel())
-                    )
+                            found.append((np.full(len(best), at + q), close[best], exact[best]))
+                            continue
+                        near = np.flatnonzero(np.isfinite(row))
+                        if len(near) > keep:
+                            far = row[near]
+                            worst = np.partition(far, keep - 1)[keep - 1]
+                            less = near[far < worst]
+                            near = np.concatenate([less, near[far == worst][: keep - len(less)]])
+                        found.append((np.full(len(near), at + q), near, row[near]))
             who, what, far = (np.concatenate(c) if found else np.empty(0, dtype=np.int64) for c in zip(*found, strict=True)) if found else (
                 np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
             cell_of = rows["cell"].combine_chunks().take(pa.array(what)) if rows.num_rows else pa.array([], pa.int32())
@@ -289,7 +314,7 @@ class QuantisedIndex:
                 }
             )
 
-        group = ["cell", "segment", "block"]
+        group = ["slice", "block"]
         met = held.groupBy(*group).cogroup(asked.groupBy(*group)).applyInArrow(
             scan, f"question_id {key.simpleString()}, cell int, id {kind.simpleString()}, guess double"
         )
@@ -316,7 +341,9 @@ class QuantisedIndex:
         return self._measured(asked, self.candidates(limited, k, probes, certain=True), k)
 
     def _measured(self, asked: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
-        found = stage_table(candidates, "candidates")
+        found, size = stage_table(candidates, "candidates"), 8 * self.model()[0].shape[1] + 256
+        # Where the questions are few, no vector of an entry is shuffled a second time.
+        asked = F.broadcast(asked) if asked.count() * size <= Settings().broadcast_bytes else asked
         entries = self.rows().select("cell", "id", F.col("embedding").alias("vector"))
         both = entries.join(found, ["cell", "id"]).join(asked, "question_id")
         delta = F.zip_with("embedding", "vector", lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))

@@ -19,13 +19,14 @@ from pagefold.operators.answering import answer_questions
 from pagefold.operators.boundaries import abbreviations, learned_sentences, stop_counts
 from pagefold.operators.correction import Channel, best_reading, correct_texts, neighbours, tokens, word_counts
 from pagefold.operators.embedding import embed_chunks
-from pagefold.operators import language_model
+from pagefold.operators import language_model, quantised_index
 from pagefold.operators.language_model import Grams, detect_languages, fit_languages, gram_rows
 from pagefold.operators.latent import Latent, decompose, document_terms, fit_embedder, term_statistics, weighted
 from pagefold.operators.quantised_index import Quantiser, QuantisedIndex, k_means, recall
 from pagefold.operators.privacy import recognizer_column
 from pagefold.operators.retrieval import top_k
 from pagefold.operators.vector_index import VectorIndex, index_entries
+from pagefold.session import stage_table
 from pagefold.settings import Settings
 
 VECTORS = "id long, embedding array<float>"
@@ -96,6 +97,31 @@ def test_settled_searches_find_what_was_wanted(spark, tmp_path):
     assert last["found"] >= 0.95 * last["wanted"]
 
 
+def test_a_question_goes_once_to_a_slice_of_many_cells(spark, tmp_path, monkeypatch):
+    """However many cells a question wants, it is stored once for each slice, and no more than wanted leave a slice."""
+    kept = {}
+
+    def stage(df, name):
+        kept[name] = stage_table(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(quantised_index, "stage_table", stage)
+    entries = spark.createDataFrame(spherical(600), VECTORS)
+    asked = entries.where("id % 20 = 0").withColumnRenamed("id", "question_id")
+    for segment, slices in ((50_000, 1), (200, range(3, 8))):
+        index = QuantisedIndex(spark, str(tmp_path / f"index-{segment}"), Quantiser(segment=segment, refine=4))
+        index.build(entries)
+        found = index.search(asked, 5, probes=4096).collect()
+        routed = kept["routed"].groupBy("question_id").count().select("count").distinct().collect()
+        assert len(routed) == 1 and routed[0][0] in ([slices] if segment > 600 else slices)
+        assert kept["candidates"].groupBy("question_id").count().where("count != 20").isEmpty()
+        if segment == 50_000:
+            first = sorted(map(tuple, kept["candidates"].collect()))
+            want = sorted((r["question_id"], r["rank"], r["id"]) for r in found)
+        assert sorted(map(tuple, kept["candidates"].collect())) == first
+        assert sorted((r["question_id"], r["rank"], r["id"]) for r in found) == want
+
+
 def test_equal_vectors_and_one_vector(spark, tmp_path):
     rows = [(i, [1.0, 0.0]) for i in range(300)] + [(900, [0.0, 1.0])]
     index = QuantisedIndex(spark, str(tmp_path / "equal"), Quantiser(segment=20))
